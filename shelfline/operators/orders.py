@@ -47,8 +47,10 @@ def normal_label(raw: DataFrame, name: str, mapping: Mapping[str, str] | None =
 
 def parsed_date(raw: DataFrame, name: str) -> Column:
     """The date a text holds in any of the known formats, else null."""
-    if name not in raw.columns:
-        return F.lit(None).cast("date")
+    return parsed_date_of(name) if name in raw.columns else F.lit(None).cast("date")
+
+
+def parsed_date_of(name: str) -> Column:
     text = F.col(name).cast("string")
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS]).cast("date")
 

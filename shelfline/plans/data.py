@@ -9,8 +9,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.operators import forecast, panel, policy, replay, segments
 from shelfline.operators import orders as orders_ops
-from shelfline.operators import panel
 from shelfline.session import materialize, tune
 from shelfline.settings import DEFAULTS, Settings
 from shelfline.sources import testdata
@@ -78,8 +78,9 @@ class Data:
     def demand(self) -> DataFrame:
         return testdata.demand(self.sold, *self.dates)
 
-    @property
-    def wide(self) -> DataFrame:
+    @stored()
+    def wide(self):
+        """One column per day, as the panel source delivers it."""
         lo, hi = self.dates
         return testdata.wide_demand(self.demand, (hi - lo).days + 1)
 
@@ -106,3 +107,91 @@ class Data:
     @stored()
     def delivery(self):
         return orders_ops.one_row_per_order(self.cleaned)
+
+    # --- forecasts ---
+
+    @property
+    def folds(self) -> list[forecast.Fold]:
+        return forecast.rolling_folds(self.end, self.settings)
+
+    @property
+    def test_origin(self) -> dt.date:
+        return self.folds[-1].origin
+
+    @stored()
+    def backtest(self):
+        return forecast.backtest(self.sales, self.folds, self.settings.fold_days)
+
+    @stored()
+    def champion(self):
+        return forecast.champion(forecast.model_metrics(self.backtest))
+
+    @stored()
+    def test(self):
+        """Held-out forecasts of the champion with intervals."""
+        return forecast.selected_test(self.backtest, self.champion, self.settings)
+
+    @property
+    def errors(self) -> DataFrame:
+        return forecast.pretest_errors(self.backtest, self.champion, self.settings)
+
+    @stored()
+    def future(self):
+        return forecast.production_forecast(
+            self.sales, self.end, self.champion, self.errors, self.settings.forecast_horizon
+        )
+
+    @property
+    def history(self) -> DataFrame:
+        return panel.history_summary(self.sales, self.today, self.settings)
+
+    @property
+    def pretest_history(self) -> DataFrame:
+        return panel.history_summary(self.sales, F.lit(self.test_origin), self.settings)
+
+    @stored()
+    def segments(self):
+        return segments.segmentation(self.history, self.settings)
+
+    @stored()
+    def pretest_segments(self):
+        return segments.segmentation(self.pretest_history, self.settings)
+
+    # --- inventory ---
+
+    @stored()
+    def policy(self):
+        """Policies at the end of history."""
+        return policy.compute_policies(
+            self.history, self.future, policy.create_assumptions(self.history, self.settings), self.errors,
+            self.settings.service_levels, self.end,
+        )
+
+    def _pretest_policies(self, cases) -> DataFrame:
+        """Policies as they would have been set at the test origin, from what was known then."""
+        history = self.pretest_history
+        return policy.compute_policies(
+            history, self.test, policy.create_assumptions(history, self.settings), self.errors,
+            self.settings.service_levels, self.test_origin, cases,
+        )
+
+    @property
+    def lead_draws(self) -> DataFrame:
+        return replay.hashed_lead_draws(self.test, self.settings.replay_runs, self.settings.fold_days)
+
+    @stored()
+    def pretest_policy(self):
+        return self._pretest_policies(policy.BASE_CASE)
+
+    @stored()
+    def ledger(self):
+        return replay.replay(self.test, self.pretest_policy, self.lead_draws, self.settings)
+
+    @stored()
+    def kpis(self):
+        return replay.ledger_kpis(self.ledger)
+
+    @stored()
+    def sensitivity(self):
+        grid = self._pretest_policies(policy.sensitivity_cases())
+        return replay.ledger_kpis(replay.replay(self.test, grid, self.lead_draws, self.settings))

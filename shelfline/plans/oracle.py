@@ -13,10 +13,12 @@ TABLES: dict[str, str] = {}
 
 def with_tables(statement: str) -> str:
     needed: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for word in re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text):
-            if word in TABLES and word not in needed:
+            if word in TABLES and word not in seen:
+                seen.add(word)
                 visit(TABLES[word])
                 needed.append(word)
 
@@ -138,6 +140,14 @@ SELECT *, abc || '-' || xyz AS abc_xyz FROM (
         FROM {table}))"""
 
 
+TABLES["cohort_revenue"] = """
+SELECT item_id, store_id, sum(revenue) AS revenue FROM sales
+WHERE date <= (SELECT hi FROM bounds) - 84 AND date > (SELECT hi FROM bounds) - 84 - 90 GROUP BY ALL"""
+TABLES["cohort"] = """
+SELECT item_id, store_id FROM cohort_revenue
+WHERE store_id IN (SELECT store_id FROM cohort_revenue GROUP BY 1 ORDER BY sum(revenue) DESC, store_id LIMIT 2)
+ORDER BY revenue DESC, item_id, store_id LIMIT 24"""
+
 TABLES["history_now"] = history("(SELECT hi FROM bounds)")
 TABLES["segments_now"] = segmented("history_now")
 
@@ -175,3 +185,238 @@ FROM (SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
       FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(round(l_discount * 100) AS BIGINT) AS disc,
                    (CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) + 50) // 100 AS net FROM lineitem)
            JOIN order_heads ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey)"""
+
+# --- forecasts ----------------------------------------------------------------------------------
+
+TABLES["folds"] = """
+SELECT CAST(f AS INTEGER) AS fold, CAST(hi - (4 - f) * 28 AS DATE) AS origin, ['calibration', 'selection', 'test'][f] AS split_role
+FROM (SELECT hi, unnest(range(1, 4))::INTEGER AS f FROM bounds)"""
+
+TABLES["steps"] = """
+SELECT item_id, store_id, date, (units_sold - lag(units_sold) OVER (PARTITION BY item_id, store_id ORDER BY date)) ** 2 AS squared_step,
+       min(date) FILTER (units_sold <> 0) OVER (PARTITION BY item_id, store_id) AS first_sale FROM sales"""
+
+TABLES["origins"] = """
+SELECT fold, origin, split_role, h FROM (SELECT fold, origin, split_role FROM folds UNION ALL SELECT 0, hi, 'production' FROM bounds),
+     (SELECT CAST(unnest(range(1, 29)) AS INTEGER) AS h)"""
+
+TABLES["forecasts"] = """
+SELECT s.item_id, s.store_id, s.state_id, s.category_id, s.department_id, o.fold, o.split_role, o.origin, CAST(o.origin + o.h AS DATE) AS date,
+       CAST(strftime(o.origin + o.h, '%Y%m%d') AS INTEGER) AS date_key, o.h AS horizon, o.model, CAST(s.units_sold AS DOUBLE) AS forecast_units
+FROM sales AS s JOIN (
+       SELECT *, 'naive' AS model, origin AS source FROM origins UNION ALL
+       SELECT *, 'seasonal_7', CAST(origin - 6 + (h - 1) % 7 AS DATE) FROM origins UNION ALL
+       SELECT *, 'seasonal_28', CAST(origin - 27 + (h - 1) % 28 AS DATE) FROM origins) AS o ON o.source = s.date
+UNION ALL
+SELECT s.item_id, s.store_id, s.state_id, s.category_id, s.department_id, o.fold, o.split_role, o.origin, CAST(o.origin + o.h AS DATE),
+       CAST(strftime(o.origin + o.h, '%Y%m%d') AS INTEGER), o.h, 'moving_average', avg(s.units_sold)
+FROM sales AS s JOIN origins AS o ON s.date <= o.origin AND s.date > o.origin - 28 GROUP BY ALL"""
+
+TABLES["scales"] = """
+SELECT item_id, store_id, fold, CASE WHEN avg(squared_step) FILTER (date > first_sale) > 0 THEN avg(squared_step) FILTER (date > first_sale) END AS scale
+FROM steps JOIN (SELECT DISTINCT fold, origin FROM origins) AS o ON date <= o.origin GROUP BY ALL"""
+
+TABLES["backtest"] = """
+SELECT p.*, a.units_sold AS actual_units, c.scale, p.forecast_units - a.units_sold AS error, abs(p.forecast_units - a.units_sold) AS absolute_error
+FROM forecasts AS p JOIN sales AS a ON a.item_id = p.item_id AND a.store_id = p.store_id AND a.date = p.date
+     JOIN scales AS c ON c.item_id = p.item_id AND c.store_id = p.store_id AND c.fold = p.fold WHERE p.fold > 0"""
+
+ACCURACY = """avg(abs(forecast_units - actual_units)) AS mae, sqrt(avg((forecast_units - actual_units) ** 2)) AS rmse,
+ sum(abs(forecast_units - actual_units)) / nullif(sum(actual_units), 0) AS wape,
+ avg(abs(forecast_units - actual_units) / actual_units) FILTER (actual_units <> 0) AS mape,
+ sum(forecast_units - actual_units) / nullif(sum(actual_units), 0) AS bias,
+ sqrt(avg((forecast_units - actual_units) ** 2 / scale) FILTER (scale > 0)) AS rmsse"""
+
+TABLES["champion"] = """
+SELECT model FROM backtest WHERE fold = 2 GROUP BY 1
+ORDER BY sum(absolute_error) / nullif(sum(actual_units), 0) ASC NULLS LAST, avg(absolute_error), model LIMIT 1"""
+
+TABLES["errors"] = "SELECT * FROM backtest WHERE fold < 3 AND model IN (SELECT model FROM champion)"
+
+
+def _interval(rows: str, residuals: str) -> str:
+    ends = {"lower_80": 0.1, "upper_80": 0.9, "lower_95": 0.025, "upper_95": 0.975}
+    quantiles = ", ".join(f"quantile_cont(actual_units - forecast_units, {p}::DOUBLE) AS q_{n}" for n, p in ends.items())
+    bounds = ", ".join(
+        f"{'least' if n.startswith('lower') else 'greatest'}(greatest(0, r.forecast_units + q_{n}), r.forecast_units) AS {n}" for n in ends
+    )
+    return f"""
+SELECT r.*, {bounds} FROM ({rows}) AS r JOIN (SELECT horizon AS ahead, {quantiles} FROM ({residuals}) GROUP BY 1) ON ahead = r.horizon"""
+
+
+TABLES["test"] = f"""
+SELECT *, actual_units BETWEEN lower_80 AND upper_80 AS covered_80, actual_units BETWEEN lower_95 AND upper_95 AS covered_95 FROM ({_interval(
+    "SELECT * FROM backtest WHERE fold = 3 AND model IN (SELECT model FROM champion)",
+    "SELECT * FROM backtest WHERE fold < 2 AND model IN (SELECT model FROM champion)")})"""
+
+TABLES["future"] = _interval(
+    "SELECT p.* EXCLUDE (fold, split_role), c.scale FROM forecasts AS p JOIN scales AS c ON c.item_id = p.item_id AND c.store_id = p.store_id AND c.fold = p.fold WHERE p.fold = 0 AND p.model IN (SELECT model FROM champion)",
+    "SELECT * FROM errors")
+
+TABLES["history_pretest"] = history("(SELECT origin FROM folds WHERE fold = 3)")
+TABLES["segments_pretest"] = segmented("history_pretest")
+
+# --- inventory ----------------------------------------------------------------------------------
+
+def draw(modulus: int, *parts: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8)) AS BIGINT) % {modulus}"
+
+
+def normal_cdf(x: str) -> str:
+    """Hart's approximation as in `shelfline.functions.columns`."""
+    from shelfline.functions import columns as c
+
+    def polynomial(coefficients) -> str:
+        text = f"{coefficients[0]!r}::DOUBLE"
+        for k in coefficients[1:]:
+            text = f"({text} * {a} + {k!r}::DOUBLE)"
+        return text
+
+    a = f"abs({x})"
+    tail = f"({a} + 0.65::DOUBLE)"
+    for k in ("4.0", "3.0", "2.0", "1.0"):
+        tail = f"({a} + {k}::DOUBLE / {tail})"
+    upper = (
+        f"CASE WHEN {a} > 37 THEN 0.0::DOUBLE WHEN {a} < 7.071::DOUBLE THEN exp(-{a} * {a} / 2) * {polynomial(c._NUMERATOR)} / {polynomial(c._DENOMINATOR)} "
+        f"ELSE exp(-{a} * {a} / 2) / {tail} / 2.506628274631::DOUBLE END"
+    )
+    return f"(CASE WHEN {x} > 0 THEN 1.0::DOUBLE - {upper} ELSE {upper} END)"
+
+
+def assumptions(history_table: str) -> str:
+    return f"""
+SELECT item_id, store_id, 'SUP_' || category_id AS supplier_id, CAST(3 + {draw(8, 'item_id', 'store_id', "'42'")} AS DOUBLE) AS average_lead_time_days,
+       1.5::DOUBLE AS lead_time_standard_deviation, 25.0::DOUBLE AS ordering_cost_per_order, 0.25::DOUBLE AS annual_holding_cost_rate,
+       greatest(0.01::DOUBLE, last_price * 0.65::DOUBLE) AS estimated_unit_cost, 0.95::DOUBLE AS target_service_level,
+       ceil(average_daily_demand * 14) AS initial_inventory, 7.0::DOUBLE AS review_period_days, last_price * 0.4::DOUBLE AS lost_sale_penalty,
+       6.0::DOUBLE AS minimum_order_quantity, 6.0::DOUBLE AS case_pack_size, 'simulated' AS assumption_type, 42 AS seed
+FROM {history_table}"""
+
+
+def lot(q: str) -> str:
+    return f"(CASE WHEN {q} > 0 THEN ceil(greatest({q}, minimum_order_quantity) / case_pack_size) * case_pack_size ELSE 0.0::DOUBLE END)"
+
+
+def policy(history_table: str, forecast_table: str, as_of: str, cases: str) -> str:
+    scaled = ", ".join(
+        f"a.{c} * CASE WHEN k.sensitivity_factor = '{c}' THEN k.multiplier ELSE 1.0::DOUBLE END AS {c}"
+        for c in ("average_lead_time_days", "lead_time_standard_deviation", "annual_holding_cost_rate", "ordering_cost_per_order", "lost_sale_penalty")
+    )
+    return f"""
+SELECT * EXCLUDE (sigma, protection_sigma), expected_lead_time_demand + safety_stock AS reorder_point,
+       CASE WHEN sigma > 0 THEN 1.0::DOUBLE - {normal_cdf('((initial_inventory - expected_lead_time_demand) / sigma)')}
+            ELSE CAST(initial_inventory < expected_lead_time_demand AS INTEGER) END AS stockout_probability,
+       CASE WHEN initial_inventory < order_up_to_level THEN {lot('greatest(eoq, order_up_to_level - initial_inventory)')} ELSE 0.0::DOUBLE END AS recommended_order_quantity,
+       greatest(0.0::DOUBLE, initial_inventory - order_up_to_level) AS excess_units,
+       greatest(0.0::DOUBLE, initial_inventory - order_up_to_level) * estimated_unit_cost AS excess_value
+FROM (SELECT *, z * sigma AS safety_stock, mu * average_lead_time_days AS expected_lead_time_demand, z * protection_sigma AS protection_safety_stock,
+             mu * (average_lead_time_days + review_period_days) + z * protection_sigma AS order_up_to_level,
+             sqrt(2 * (mu * 365) * ordering_cost_per_order / (estimated_unit_cost * annual_holding_cost_rate)) AS eoq,
+             initial_inventory / nullif(mu, 0) AS days_of_supply, initial_inventory * estimated_unit_cost AS inventory_value, mu AS forecast_daily_demand
+      FROM (SELECT *, sqrt(average_lead_time_days * demand_uncertainty_std ** 2 + mu ** 2 * lead_time_standard_deviation ** 2) AS sigma,
+                   sqrt((average_lead_time_days + review_period_days) * demand_uncertainty_std ** 2 + mu ** 2 * lead_time_standard_deviation ** 2) AS protection_sigma
+            FROM (SELECT h.*, {as_of} AS as_of_date, k.scenario, k.sensitivity_factor, k.multiplier, {scaled}, a.supplier_id, a.estimated_unit_cost, a.initial_inventory,
+                         a.review_period_days, a.minimum_order_quantity, a.case_pack_size, l.target_service_level, l.z, f.mu,
+                         coalesce(e.sd * CASE WHEN k.sensitivity_factor = 'forecast_error' THEN k.multiplier ELSE 1.0::DOUBLE END, h.demand_std) AS demand_uncertainty_std
+                  FROM {history_table} AS h JOIN ({assumptions(history_table)}) AS a ON a.item_id = h.item_id AND a.store_id = h.store_id
+                       JOIN (SELECT item_id, store_id, avg(forecast_units) AS mu FROM {forecast_table} GROUP BY 1, 2) AS f ON f.item_id = h.item_id AND f.store_id = h.store_id
+                       LEFT JOIN (SELECT item_id, store_id, stddev_samp(error) AS sd FROM errors GROUP BY 1, 2) AS e ON e.item_id = h.item_id AND e.store_id = h.store_id,
+                       (SELECT unnest([0.9, 0.95, 0.98])::DOUBLE AS target_service_level, unnest([1.2815515655446008, 1.6448536269514715, 2.053748910631822])::DOUBLE AS z) AS l,
+                       ({cases}) AS k)))"""
+
+
+BASE_CASE = "SELECT 'base' AS scenario, 'none' AS sensitivity_factor, 1.0::DOUBLE AS multiplier"
+GRID = BASE_CASE + "".join(
+    f" UNION ALL SELECT '{n}_{f}', '{n}', {f}::DOUBLE"
+    for n in ("average_lead_time_days", "lead_time_standard_deviation", "annual_holding_cost_rate", "ordering_cost_per_order", "forecast_error", "lost_sale_penalty")
+    for f in (0.5, 1.5)
+)
+TABLES["assumptions_now"] = assumptions("history_now")
+TABLES["policy_now"] = policy("history_now", "future", "(SELECT hi FROM bounds)", BASE_CASE)
+_TEST_ORIGIN = "(SELECT origin FROM folds WHERE fold = 3)"
+TABLES["policy_pretest"] = policy("history_pretest", "test", _TEST_ORIGIN, BASE_CASE)
+TABLES["policy_grid"] = policy("history_pretest", "test", _TEST_ORIGIN, GRID)
+
+
+def replay_days(policy_table: str) -> str:
+    """One row per world and day, with the lead time of an order placed that day and its target."""
+    z = f"(({draw(4001, 'item_id', 'store_id', 'run_id', 'day')}) / 2000.0::DOUBLE - 1.0::DOUBLE) * 1.7320508075688772::DOUBLE"
+    return f"""
+SELECT w.* EXCLUDE (ahead), t.day, t.date, CAST(t.actual_units AS DOUBLE) AS demand, t.forecast_units AS pred,
+       CAST(greatest(1, round_even(w.average_lead_time_days + w.lead_time_standard_deviation * u.z, 0)) AS INTEGER) AS lead,
+       CASE WHEN w.policy = 'baseline' THEN w.average_daily_demand * 14
+            ELSE coalesce(list_sum(list_slice(s.preds, t.day + 2, t.day + 1 + ahead)), 0.0::DOUBLE)
+                 + (ahead - greatest(0, least(ahead, 27 - t.day))) * s.preds[28] + w.protection_safety_stock END AS target
+FROM (SELECT *, CAST(ceil(average_lead_time_days + review_period_days) AS INTEGER) AS ahead FROM {policy_table},
+             (SELECT CAST(unnest(range(0, 3)) AS INTEGER) AS run_id), (SELECT unnest(['baseline', 'optimized']) AS policy)) AS w
+     JOIN (SELECT *, CAST(date_diff('day', origin, date) - 1 AS INTEGER) AS day FROM test) AS t ON t.item_id = w.item_id AND t.store_id = w.store_id
+     JOIN (SELECT item_id, store_id, list(forecast_units ORDER BY date) AS preds FROM test GROUP BY 1, 2) AS s ON s.item_id = w.item_id AND s.store_id = w.store_id
+     JOIN (SELECT item_id, store_id, run_id, day, {z} AS z FROM (SELECT DISTINCT item_id, store_id FROM test),
+             (SELECT CAST(unnest(range(0, 3)) AS INTEGER) AS run_id), (SELECT CAST(unnest(range(0, 28)) AS INTEGER) AS day)) AS u
+       ON u.item_id = w.item_id AND u.store_id = w.store_id AND u.run_id = w.run_id AND u.day = t.day"""
+
+
+WORLD = "item_id, store_id, policy, scenario, target_service_level, run_id"
+
+
+def replay(days_table: str, own: str) -> str:
+    """The daily fold: state of the previous day joined to the next day of the same world."""
+    names = [c.strip() for c in WORLD.split(",")]
+    match = " AND ".join(f"x.{c} = r.{c}" for c in names)
+    order = f"""CASE WHEN day % review_period_days <> 0 THEN 0.0::DOUBLE WHEN policy = 'baseline' THEN {lot('(target - position)')}
+                WHEN position < target THEN {lot('greatest(eoq, target - position)')} ELSE 0.0::DOUBLE END"""
+    return f"""
+SELECT {WORLD}, -1 AS day, initial_inventory AS closing_inventory, 0.0::DOUBLE AS in_transit_units, false AS lost_since, false AS started,
+       CAST(list_transform(range(0, 28), lambda v: 0) AS DOUBLE[]) AS due, 0.0::DOUBLE AS opening_inventory, 0.0::DOUBLE AS arrivals,
+       0.0::DOUBLE AS fulfilled_units, 0.0::DOUBLE AS lost_sales_units, 0.0::DOUBLE AS order_quantity, 0 AS completed_cycles, 0 AS successful_cycles
+FROM {days_table} WHERE day = 0
+UNION ALL -- step
+SELECT {WORLD}, day, stock - served, transit + q, (CASE WHEN came > 0 THEN false ELSE lost_since END) OR lost > 0, was_started OR came > 0,
+       list_transform(due, lambda v, i: CASE WHEN i = day + 1 + lead THEN v + q ELSE v END), opening, came, served, lost, q,
+       CAST(came > 0 AND was_started AS INTEGER), CAST(came > 0 AND was_started AND NOT lost_since AS INTEGER)
+FROM (SELECT *, {order} AS q
+      FROM (SELECT *, stock - served + transit AS position
+            FROM (SELECT *, least(stock, demand) AS served, demand - least(stock, demand) AS lost
+                  FROM (SELECT x.*, r.due, r.lost_since, r.started AS was_started, r.closing_inventory AS opening, r.due[x.day + 1] AS came,
+                               r.closing_inventory + r.due[x.day + 1] AS stock, r.in_transit_units - r.due[x.day + 1] AS transit
+                        FROM {own} AS r JOIN {days_table} AS x ON {match} AND x.day = r.day + 1))))"""
+
+
+def ledger(days_table: str, steps_table: str) -> str:
+    names = [c.strip() for c in WORLD.split(",")]
+    match = " AND ".join(f"x.{c} = r.{c}" for c in names)
+    return f"""
+SELECT *, holding_cost + ordering_cost + lost_sale_cost AS total_inventory_cost FROM (
+  SELECT r.* EXCLUDE (day, due, lost_since, started), x.date, x.pred AS forecast_demand, x.demand AS actual_demand, x.sensitivity_factor, x.multiplier,
+         CAST(r.lost_sales_units > 0 AS INTEGER) AS stockout_event, r.closing_inventory * x.estimated_unit_cost * x.annual_holding_cost_rate / 365 AS holding_cost,
+         CASE WHEN r.order_quantity > 0 THEN x.ordering_cost_per_order ELSE 0.0::DOUBLE END AS ordering_cost,
+         r.lost_sales_units * x.lost_sale_penalty AS lost_sale_cost, r.lost_sales_units * x.last_price AS lost_sales_value
+  FROM {steps_table} AS r JOIN {days_table} AS x ON {match} AND x.day = r.day)"""
+
+
+def kpis(ledger_table: str) -> str:
+    return f"""
+SELECT k.*, k.fulfilled_units / nullif(k.actual_demand, 0) AS fill_rate, k.successful_cycles::DOUBLE / nullif(k.completed_cycles, 0) AS cycle_service_level,
+       k.fulfilled_units / nullif(k.average_inventory, 0) * 365 / k.days AS inventory_turnover, b.total_inventory_cost AS baseline_cost,
+       b.lost_sales_value AS baseline_lost_sales_value, b.total_inventory_cost - k.total_inventory_cost AS estimated_cost_reduction,
+       b.lost_sales_value - k.lost_sales_value AS estimated_revenue_protected
+FROM {ledger_table}_sums AS k JOIN {ledger_table}_sums AS b ON b.policy = 'baseline' AND b.item_id = k.item_id AND b.store_id = k.store_id
+     AND b.scenario = k.scenario AND b.target_service_level = k.target_service_level AND b.run_id = k.run_id"""
+
+
+def kpi_sums(ledger_table: str) -> str:
+    return f"""
+SELECT {WORLD}, any_value(sensitivity_factor) AS sensitivity_factor, any_value(multiplier) AS multiplier, sum(actual_demand) AS actual_demand,
+       sum(fulfilled_units) AS fulfilled_units, sum(lost_sales_units) AS lost_sales_units, sum(lost_sales_value) AS lost_sales_value,
+       avg(closing_inventory) AS average_inventory, max(closing_inventory) AS maximum_inventory, CAST(sum(stockout_event) AS BIGINT) AS stockout_days,
+       sum(holding_cost) AS holding_cost, sum(ordering_cost) AS ordering_cost, sum(lost_sale_cost) AS lost_sale_cost,
+       sum(total_inventory_cost) AS total_inventory_cost, CAST(sum(completed_cycles) AS BIGINT) AS completed_cycles,
+       CAST(sum(successful_cycles) AS BIGINT) AS successful_cycles, count(*) AS days FROM {ledger_table} GROUP BY {WORLD}"""
+
+
+for _name, _policy in (("ledger", "policy_pretest"), ("grid_ledger", "policy_grid")):
+    TABLES[f"{_name}_days"] = replay_days(_policy)
+    TABLES[f"{_name}_steps"] = replay(f"{_name}_days", f"{_name}_steps")
+    TABLES[_name] = f"SELECT * FROM ({ledger(f'{_name}_days', f'{_name}_steps')}) AS whole WHERE date IS NOT NULL"
+    TABLES[f"{_name}_sums"] = kpi_sums(_name)
+    TABLES[f"{_name}_kpis"] = kpis(_name)

@@ -96,10 +96,15 @@ def demand(sold_rows: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
 
 
 def wide_demand(long_demand: DataFrame, days: int) -> DataFrame:
-    """The long demand as one row per series and one column per day."""
-    return long_demand.groupBy("id", "item_id", "dept_id", "cat_id", "store_id", "state_id").pivot(
-        "d", [f"d_{n}" for n in range(1, days + 1)]
-    ).agg(F.sum("units_sold"))
+    """The long demand as one row per series and one column per day. The days of a series are
+    gathered in date order (a bounded array: the calendar) and spread over the columns; a pivot over
+    thousands of values ran much longer."""
+    day = F.substring("d", 3, 10).cast("int")
+    gathered = long_demand.groupBy("id", "item_id", "dept_id", "cat_id", "store_id", "state_id").agg(
+        F.array_sort(F.collect_list(F.struct(day.alias("n"), "units_sold"))).alias("days")
+    )
+    units = gathered.select(*[c for c in gathered.columns if c != "days"], F.col("days.units_sold").alias("units"))
+    return units.select("*", *[F.col("units")[n].alias(f"d_{n + 1}") for n in range(days)]).drop("units")
 
 
 def prices(sold_rows: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
