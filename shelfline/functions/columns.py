@@ -96,8 +96,8 @@ def hashed_draw(modulus: int, *parts: ColumnOrName) -> Column:
 
 
 def tidy(x: ColumnOrName) -> Column:
-    """Presentation rounding: four decimals from a thousand on, six below."""
+    """Presentation rounding: four decimals from a million on, six below."""
     x = col(x)
     coarse = F.floor(x * 1e4 + 0.5).cast("double") / 1e4
     fine = F.floor(x * 1e6 + 0.5).cast("double") / 1e6
-    return F.when(F.abs(x) >= 1000.0, coarse).otherwise(fine)
+    return F.when(F.abs(x) >= 1e6, coarse).otherwise(fine)

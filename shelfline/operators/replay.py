@@ -124,6 +124,10 @@ def replay(
         .join(windows, SERIES).join(draws, SERIES)
         .withColumn("policy", F.explode(F.array(*[F.lit(p) for p in POLICIES])))
     )
+    # The fold is work per row, not per byte: a fixed partition count keeps adaptive execution from
+    # gathering these small rows into a few tasks.
+    partitions = int(demand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    worlds = worlds.repartition(partitions, *WORLD)
     ahead = F.ceil(F.col("average_lead_time_days") + F.col("review_period_days")).cast("int")
     preds = F.col("window")["pred"]
 

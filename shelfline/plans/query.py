@@ -28,7 +28,7 @@ class Query:
         if self.sql is None:
             return None
         columns = ", ".join(
-            f"CASE WHEN abs({c}) >= 1000.0 THEN floor({c}::DOUBLE * 1e4 + 0.5) / 1e4 "
+            f"CASE WHEN abs({c}) >= 1e6 THEN floor({c}::DOUBLE * 1e4 + 0.5) / 1e4 "
             f"ELSE floor({c}::DOUBLE * 1e6 + 0.5) / 1e6 END AS {c}"
             for c in self.rounded.split()
         )
