@@ -201,10 +201,10 @@ def table_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
         profile = profile.join(outliers, "column_name", "left")
     else:
         profile = profile.withColumn("outliers_iqr", none.cast("long"))
-    repeats = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).agg(
+    repeats = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).agg(F.struct(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
-    )
-    return profile.join(F.broadcast(repeats)).select("rows", "duplicate_rows", *profile.columns)  # one row
+    ).alias("whole")).scalar()
+    return profile.select(repeats["rows"].alias("rows"), repeats["duplicate_rows"].alias("duplicate_rows"), *profile.columns)
 
 
 def personal_columns(tables: Mapping[str, Sequence[str]]) -> list[tuple[str, str]]:

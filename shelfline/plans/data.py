@@ -9,8 +9,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.operators import forecast, panel, policy, replay, segments
+from shelfline.operators import forecast, learned, panel, policy, replay, risk, segments
 from shelfline.operators import orders as orders_ops
+from shelfline.operators.features import add_features
 from shelfline.session import materialize, tune
 from shelfline.settings import DEFAULTS, Settings
 from shelfline.sources import testdata
@@ -195,3 +196,28 @@ class Data:
     def sensitivity(self):
         grid = self._pretest_policies(policy.sensitivity_cases())
         return replay.ledger_kpis(replay.replay(self.test, grid, self.lead_draws, self.settings))
+
+    # --- learned models ---
+
+    @property
+    def features(self) -> DataFrame:
+        return add_features(self.sales)
+
+    @stored()
+    def training(self):
+        return learned.training_rows(self.features, self.test_origin, self.settings)
+
+    def learned_forecast(self, learner: str) -> DataFrame:
+        """Held-out forecast of a model trained up to the test origin."""
+        return learned.learned_forecast(
+            self.features, self.sales, self.calendar, self.test_origin, self.settings.forecast_horizon,
+            self.settings, learner,
+        )
+
+    @property
+    def risk(self) -> tuple[DataFrame, DataFrame]:
+        """(scores, feature weights) of the late-delivery models, fitted once."""
+        key = (self.spark.sparkContext.applicationId, self.folder, self.settings, "risk")
+        if key not in _BUILT:
+            _BUILT[key] = risk.fit_risk_models(self.delivery, self.settings)
+        return _BUILT[key]

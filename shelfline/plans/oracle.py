@@ -420,3 +420,9 @@ for _name, _policy in (("ledger", "policy_pretest"), ("grid_ledger", "policy_gri
     TABLES[_name] = f"SELECT * FROM ({ledger(f'{_name}_days', f'{_name}_steps')}) AS whole WHERE date IS NOT NULL"
     TABLES[f"{_name}_sums"] = kpi_sums(_name)
     TABLES[f"{_name}_kpis"] = kpis(_name)
+
+# --- learned models -----------------------------------------------------------------------------
+
+TABLES["training"] = """
+SELECT * FROM features WHERE date <= (SELECT origin FROM folds WHERE fold = 3) AND date > (SELECT origin FROM folds WHERE fold = 3) - 365
+  AND lag_56 IS NOT NULL ORDER BY md5(concat_ws('|', item_id, store_id, strftime(date, '%Y-%m-%d'), '42')) LIMIT 500000"""

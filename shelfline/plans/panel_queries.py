@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.columns import normal_cdf, snake_case
 from shelfline.operators import dimensions, features, ordered, panel, quality, segments
-from shelfline.plans import marts, reports
+from shelfline.plans import marts, oracle, reports
 from shelfline.plans.data import Data
 from shelfline.plans.query import Query
 from shelfline.sources import testdata
@@ -75,27 +75,6 @@ def _profile_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
-def _polynomial_sql(x: str, coefficients) -> str:
-    text = f"{coefficients[0]!r}::DOUBLE"
-    for c in coefficients[1:]:
-        text = f"({text} * {x} + {c!r}::DOUBLE)"
-    return text
-
-
-def normal_cdf_sql(x: str) -> str:
-    from shelfline.functions import columns as c
-
-    a = f"abs({x})"
-    tail = f"({a} + 0.65::DOUBLE)"
-    for k in ("4.0", "3.0", "2.0", "1.0"):
-        tail = f"({a} + {k}::DOUBLE / {tail})"
-    upper = (
-        f"CASE WHEN {a} > 37 THEN 0.0::DOUBLE WHEN {a} < 7.071::DOUBLE THEN exp(-{a} * {a} / 2) * {_polynomial_sql(a, c._NUMERATOR)} / {_polynomial_sql(a, c._DENOMINATOR)} "
-        f"ELSE exp(-{a} * {a} / 2) / {tail} / 2.506628274631::DOUBLE END"
-    )
-    return f"(CASE WHEN {x} > 0 THEN 1.0::DOUBLE - {upper} ELSE {upper} END)"
-
-
 QUERIES = [
     # --- analytical queries ---
     Query("i01_monthly_revenue", lambda d: panel.sales_by(d.sales, panel.month_start("date"), "month"),
@@ -294,6 +273,6 @@ QUERIES = [
           """SELECT p_partkey, trim(regexp_replace(lower(trim(concat_ws(' / ', p_brand, p_name, p_type))), '[^a-z0-9]+', '_', 'g'), '_') AS label FROM part"""),
     Query("f07_normal_cdf",
           lambda d: testdata.table(d.spark, d.folder, "customer").select("c_custkey", normal_cdf((F.col("c_acctbal") - 4500.0) / 600.0).alias("probability")),
-          f"SELECT c_custkey, {normal_cdf_sql('x')} AS probability FROM (SELECT c_custkey, (c_acctbal - 4500.0::DOUBLE) / 600.0::DOUBLE AS x FROM customer)",
+          f"SELECT c_custkey, {oracle.normal_cdf('x')} AS probability FROM (SELECT c_custkey, (c_acctbal - 4500.0::DOUBLE) / 600.0::DOUBLE AS x FROM customer)",
           "probability"),
 ]

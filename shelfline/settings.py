@@ -17,6 +17,11 @@ class Settings:
     max_training_rows: int = 500_000
     minimum_history_days: int = 180
 
+    # Learners.
+    boosting_rounds: int = 120
+    forest_trees: int = 100
+    classifier_rounds: int = 100
+
     # Backtest.
     forecast_horizon: int = 28
     backtest_folds: int = 3
