@@ -15,8 +15,15 @@ from shelfline.settings import DEFAULTS, Settings
 
 # Order states that exclude an order from delivery rates.
 EXCLUDED_STATUS = ("canceled", "cancelled", "suspected_fraud", "suspected fraud")
-# Date formats tried in turn; the time of day is dropped.
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
+# Known date formats by the shape of the text; the time of day is dropped. The shape is tested first
+# because a failed parse costs far more than a match.
+DATE_SHAPES = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+)
 
 LABELS = {
     "shipping_mode": "shipping_mode", "market": "market", "order_region": "region", "category_name": "category",
@@ -51,8 +58,11 @@ def parsed_date(raw: DataFrame, name: str) -> Column:
 
 
 def parsed_date_of(name: str) -> Column:
-    text = F.col(name).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS]).cast("date")
+    text = F.trim(F.col(name).cast("string"))
+    parsed = F.lit(None).cast("timestamp")
+    for shape, pattern in reversed(DATE_SHAPES):
+        parsed = F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern))).otherwise(parsed)
+    return parsed.cast("date")
 
 
 def number(raw: DataFrame, name: str) -> Column:

@@ -22,6 +22,11 @@ def _padded(prefix: str, number: Column, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
 
 
+def hundredths(name: str) -> Column:
+    """A non-negative amount with two decimals as a whole number; `round` goes through decimals."""
+    return F.floor(F.col(name) * 100 + 0.5)
+
+
 def date_range(spark: SparkSession, folder: str) -> tuple[dt.date, dt.date]:
     lo, hi = table(spark, folder, "orders").agg(
         F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")
@@ -61,7 +66,7 @@ def sold(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", item_number("l_partkey").alias("item_no"), "l_suppkey",
         F.col("l_quantity").cast("long").alias("quantity"),
-        F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
+        hundredths("l_extendedprice").alias("cents"),
     )
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
     stores = table(spark, folder, "supplier").join(
@@ -166,20 +171,20 @@ def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     parts = table(spark, folder, "part").select(
-        "p_partkey", "p_name", "p_type", F.round(F.col("p_retailprice") * 100).cast("long").alias("retail_cents")
+        "p_partkey", "p_name", "p_type", hundredths("p_retailprice").alias("retail_cents")
     )
     quantity = F.col("l_quantity").cast("long")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    discount = F.round(F.col("l_discount") * 100).cast("long")
+    cents = hundredths("l_extendedprice")
+    discount = hundredths("l_discount")
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", quantity.alias("quantity"), cents.alias("cents"),
         # A line has no key of its own: the text of all its columns makes one.
         F.md5(F.concat_ws(
             "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", quantity, cents, discount,
-            F.round(F.col("l_tax") * 100).cast("long"), "l_returnflag", "l_linestatus",
-            F.date_format("l_shipdate", "yyyy-MM-dd"),
+            hundredths("l_tax"), "l_returnflag", "l_linestatus",
+            F.col("l_shipdate").cast("date").cast("string"),
         )).alias("line_id"),
-        F.expr("(cast(round(l_extendedprice * 100) as bigint) * (100 - cast(round(l_discount * 100) as bigint)) + 50) DIV 100").alias("net_cents"),
+        F.floor((cents * (100 - discount) + 50) / 100).alias("net_cents"),
         ((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)).alias("returned"),
     )
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
