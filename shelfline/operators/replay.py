@@ -64,8 +64,7 @@ def _one_day(state: Column, x: Column) -> Column:
             (state["started"] | (arrivals > 0)).alias("started"),
         )
 
-    def place(now: Column) -> Column:
-        position = now["closing"] + _total(now["open"])
+    def place(now: Column, position: Column) -> Column:
         gap = F.col("_target_base") - position
         baseline = round_to_lots(gap, "minimum_order_quantity", "case_pack_size")
         ahead = x["target"] - position
@@ -75,14 +74,14 @@ def _one_day(state: Column, x: Column) -> Column:
         review = x["day"] % F.col("review_period_days").cast("int") == 0
         return F.when(review, F.when(F.col("policy") == "baseline", baseline).otherwise(optimized)).otherwise(F.lit(0.0))
 
-    def next_state(now: Column, order: Column) -> Column:
+    def next_state(now: Column, transit: Column, order: Column) -> Column:
         placed = F.struct((x["day"] + x["lead"]).cast("int").alias("t"), order.alias("q"))
         still_open = F.when(order > 0, F.concat(now["open"], F.array(placed))).otherwise(now["open"])
         row = F.struct(
             x["date"].alias("date"), x["pred"].alias("forecast_demand"), x["demand"].alias("actual_demand"),
             state["on_hand"].alias("opening_inventory"), now["arrivals"].alias("arrivals"),
             now["served"].alias("fulfilled_units"), now["lost"].alias("lost_sales_units"),
-            order.alias("order_quantity"), (_total(now["open"]) + order).alias("in_transit_units"),
+            order.alias("order_quantity"), (transit + order).alias("in_transit_units"),
             now["closing"].alias("closing_inventory"), now["completed"].cast("int").alias("completed_cycles"),
             now["successful"].cast("int").alias("successful_cycles"),
         )
@@ -92,7 +91,10 @@ def _one_day(state: Column, x: Column) -> Column:
         )
 
     due = _total(F.filter(state["open"], lambda o: o["t"] == x["day"]))
-    return _let(_let(due, receive), lambda now: _let(place(now), lambda order: next_state(now, order)))
+    return _let(_let(due, receive), lambda now: _let(_total(now["open"]), lambda transit: _let(
+        _let(now["closing"] + transit, lambda position: place(now, position)),
+        lambda order: next_state(now, transit, order),
+    )))
 
 
 _ROW_TYPE = (
