@@ -21,8 +21,8 @@ def unpivot_days(wide: DataFrame) -> DataFrame:
     """
     days = day_columns(wide)
     ids = [c for c in wide.columns if c not in set(days)]
-    units = F.array(*[F.col(c).cast("long") for c in days])
-    names = F.array(*[F.lit(c) for c in days])
+    units = F.expr(f"array({', '.join(f'CAST({c} AS BIGINT)' for c in days)})")
+    names = F.split(F.lit(",".join(days)), ",")
     return wide.select(*ids, F.posexplode(units).alias("_n", "units_sold")).select(
         *ids, F.element_at(names, F.col("_n") + 1).alias("d"), "units_sold"
     )

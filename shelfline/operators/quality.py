@@ -70,7 +70,8 @@ def panel_source_rules(wide: DataFrame, calendar: DataFrame, prices: DataFrame)
     days = day_columns(wide)
     if not days:
         raise QualityError("no day columns")
-    any_bad = F.exists(F.array(*[F.col(d).cast("double") for d in days]), lambda v: v.isNull() | (v < 0))
+    units = F.expr(f"array({', '.join(f'CAST({d} AS DOUBLE)' for d in days)})")
+    any_bad = F.exists(units, lambda v: v.isNull() | (v < 0))
     return [
         ("duplicate_series", repeated(wide, ["item_id", "store_id"])),
         ("duplicate_day", repeated(calendar, ["d"])),

@@ -109,7 +109,7 @@ def wide_demand(long_demand: DataFrame, days: int) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(day.alias("n"), "units_sold"))).alias("days")
     )
     units = gathered.select(*[c for c in gathered.columns if c != "days"], F.col("days.units_sold").alias("units"))
-    return units.select("*", *[F.col("units")[n].alias(f"d_{n + 1}") for n in range(days)]).drop("units")
+    return units.selectExpr("*", *[f"units[{n}] AS d_{n + 1}" for n in range(days)]).drop("units")
 
 
 def prices(sold_rows: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
