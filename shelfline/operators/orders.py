@@ -128,9 +128,9 @@ def line_facts(cleaned: DataFrame) -> DataFrame:
 
 
 def one_row_per_order(cleaned: DataFrame) -> DataFrame:
-    """Delivery facts. The attributes agree within an order (see `order_conflicts`), so the maximum
-    is the value, and it combines before the shuffle however many lines an order has."""
-    return cleaned.groupBy("order_id").agg(*[F.max(c).alias(c) for c in (*ORDER_ATTRIBUTES, "date_key")])
+    """Delivery facts. The attributes agree within an order (see `order_conflicts`), so the distinct
+    rows are one per order; they combine before the shuffle however many lines an order has."""
+    return cleaned.select("order_id", *ORDER_ATTRIBUTES, "date_key").distinct()
 
 
 def order_conflicts(cleaned: DataFrame) -> DataFrame:

@@ -135,14 +135,17 @@ def require_history(sales: DataFrame, needed: int) -> None:
 
 def conflicting_groups(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """Groups in which an attribute takes more than one value, null counting as a value.
-    Minimum against maximum finds them in one pass that combines before the shuffle."""
+
+    Rows are made distinct first, which combines before the shuffle and hashes; a group without a
+    conflict is then a single row. Only groups with a conflict reach the comparison by attribute
+    (minima of texts would sort all rows).
+    """
+    rows = df.select(key, *attributes).distinct()
+    several = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key)
     differs = [
         holds(F.min(a) != F.max(a)) | ((F.count(a) > 0) & (F.count(a) < F.count(F.lit(1)))) for a in attributes
     ]
-    return (
-        df.groupBy(key).agg(*[d.alias(a) for d, a in zip(differs, attributes)])
-        .filter(reduce(lambda a, b: a | b, [F.col(a) for a in attributes]))
-    )
+    return rows.join(several, key, "left_semi").groupBy(key).agg(*[d.alias(a) for d, a in zip(differs, attributes)])
 
 
 def table_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

@@ -68,14 +68,18 @@ RUN_SUMS = {
 
 
 def replay_measures(ledger: DataFrame, *groups: str) -> DataFrame:
-    """Sums within a run, then means over runs; rates from the sums of all runs. The ledger is read
-    once: day totals per run carry everything the measures need."""
-    per_day = ledger.groupBy(*groups, "run_id", "date").agg(
-        *[F.sum(c).alias(n) for n, c in RUN_SUMS.items()],
-        F.sum("fulfilled_units").alias("fulfilled"), F.sum("actual_demand").alias("demand"),
-        F.sum("closing_inventory").alias("closing"), F.count(F.lit(1)).alias("rows"),
-        *[F.min(c).alias(f"_min_{c}") for c in SCENARIO if c not in groups],
-        *[F.max(c).alias(f"_max_{c}") for c in SCENARIO if c not in groups],
+    """Sums within a run, then means over runs; rates from the sums of all runs.
+
+    The ledger is read once and summed per day of each scenario world by hashing; the extrema of the
+    scenario labels, which tell mixed worlds apart, are taken over that short table.
+    """
+    sums = {**RUN_SUMS, "fulfilled": "fulfilled_units", "demand": "actual_demand", "closing": "closing_inventory"}
+    keys = list(dict.fromkeys([*groups, *SCENARIO, "run_id", "date"]))
+    per_world = ledger.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()], F.count(F.lit(1)).alias("rows"))
+    mixed = [c for c in SCENARIO if c not in groups]
+    per_day = per_world.groupBy(*groups, "run_id", "date").agg(
+        *[F.sum(n).alias(n) for n in (*sums, "rows")],
+        *[F.min(c).alias(f"_min_{c}") for c in mixed], *[F.max(c).alias(f"_max_{c}") for c in mixed],
     )
     per_run = per_day.groupBy(*groups, "run_id").agg(
         *[F.sum(n).alias(n) for n in (*RUN_SUMS, "fulfilled", "demand", "closing", "rows")],
