@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import month_start, ratio
-from shelfline.operators.orders import in_segments, order_categories, valid
-from shelfline.operators.panel import SERIES, sales_by, trailing
+from shelfline.operators.orders import order_categories, valid
+from shelfline.operators.panel import SERIES, trailing
 from shelfline.operators.policy import at_risk
 from shelfline.operators.segments import revenue_shares
 

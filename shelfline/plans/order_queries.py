@@ -8,7 +8,7 @@ from shelfline.operators import dimensions, orders, quality
 from shelfline.plans import marts, reports
 from shelfline.plans.data import Data
 from shelfline.plans.query import Query
-from shelfline.sources.readers import ORDER_COLUMNS, admit_order_columns, cohort_lines
+from shelfline.sources.readers import COHORT_COLUMNS, admit_order_columns
 
 _ELIGIBLE = "count(*) FILTER (delivery_eligible)"
 _LATE = f"""count(*) AS total_orders, {_ELIGIBLE} AS eligible_orders, CAST(coalesce(sum(late_order), 0) AS BIGINT) AS late_orders,
@@ -35,8 +35,6 @@ def _cohort(**wanted):
 
 def cohort_lines_unchecked(raw):
     """The cohort's columns without the plan-time checks, which have a test of their own."""
-    from shelfline.sources.readers import COHORT_COLUMNS
-
     lines = raw.select(*[F.col(f"`{old}`").alias(new) for old, new in COHORT_COLUMNS.items()])
     # The source writes nothing where the profit is unknown; the cohort counts it as no profit.
     return lines.withColumn("profit", F.coalesce("profit", F.lit(0.0)))

@@ -10,7 +10,7 @@ from shelfline.operators import segments
 from shelfline.operators.features import by_date
 from shelfline.operators.ordered import dense_ranked, exact_quantiles
 from shelfline.operators.orders import valid
-from shelfline.operators.panel import SERIES, sales_by, trailing
+from shelfline.operators.panel import SERIES, trailing
 from shelfline.settings import DEFAULTS, Settings
 
 
