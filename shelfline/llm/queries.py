@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, exact_dedup, sharding
+from shelfline.llm import bloom_lm, bpe, exact_dedup, minhash, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents")).drop("text_key")
+
+
 def op3_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"), shards=8).withColumns(
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -26,16 +30,19 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), VOCABULARY)
 
 
+def op6_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom_lm.score(table(spark, folder, "documents"), folds=7, held_out=2)
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op3_byte_shards, op5_byte_bpe, op8_exact_dedup)
+    q.__name__: q for q in (op2_minmax_near_dedup, op3_byte_shards, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup)
 }
 
 ORACLES: dict[str, str] = {
-    # DuckDB has no crc32: the checksum is folded bit by bit over a table of 256 entries that the statement makes itself.
     "op8_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
