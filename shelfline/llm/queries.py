@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bloom_lm, bpe, exact_dedup, minhash, sharding
+from shelfline.llm import bloom_lm, bpe, exact_dedup, line_rules, minhash, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -38,8 +38,13 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, folder, "documents"))
 
 
+def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.judge(table(spark, folder, "documents")).drop("cleaned_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_minmax_near_dedup, op3_byte_shards, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup)
+    q.__name__: q for q in (
+        op2_minmax_near_dedup, op3_byte_shards, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup, op10_line_rules)
 }
 
 ORACLES: dict[str, str] = {

@@ -91,16 +91,19 @@ class Block:
         np.cumsum(codes * up[: len(codes)], out=out[1:])
         return out
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Byte starts and ends of all words, and where each text's words begin in them."""
-        space, fresh = _SPACE[self.data], self.text_starts()
-        start = ~space
-        end = start.copy()
-        start[1:] &= space[:-1] | fresh[1:-1]
-        end[:-1] &= space[1:] | fresh[1:-1]
+    def spans(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Byte starts and ends of the runs of flagged bytes, and where each text's begin in them."""
+        fresh = self.text_starts()[1:-1]
+        start, end = inside.copy(), inside.copy()
+        start[1:] &= ~inside[:-1] | fresh
+        end[:-1] &= ~inside[1:] | fresh
         starts = np.flatnonzero(start)
         return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, self.offsets)
 
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Byte starts and ends of all words, and where each text's words begin in them."""
+        return self.spans(~_SPACE[self.data])
+
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Byte starts and ends of the \\n-separated lines, and where each text's lines begin in them."""
         newline = np.flatnonzero(self.data == 10)
