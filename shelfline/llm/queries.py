@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bloom_lm, bpe, exact_dedup, line_rules, minhash, sharding
+from shelfline.llm import bloom_lm, bpe, exact_dedup, line_rules, minhash, pairwise_quality, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -26,6 +26,10 @@ def op3_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
         {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op4_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return pairwise_quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), folds=4, held_out=2)
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), VOCABULARY)
 
@@ -44,7 +48,8 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op2_minmax_near_dedup, op3_byte_shards, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup, op10_line_rules)
+        op2_minmax_near_dedup, op3_byte_shards, op4_pairwise_quality, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup,
+        op10_line_rules)
 }
 
 ORACLES: dict[str, str] = {
