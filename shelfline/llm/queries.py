@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bloom_lm, bpe, exact_dedup, line_rules, minhash, pairwise_quality, sharding
+from shelfline.llm import bloom_lm, bpe, exact_dedup, line_rules, minhash, pairwise_quality, sharding, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("text_key")
+
+
 def op2_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents")).drop("text_key")
 
@@ -48,7 +52,7 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op2_minmax_near_dedup, op3_byte_shards, op4_pairwise_quality, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup,
+        op1_toxicity_chain, op2_minmax_near_dedup, op3_byte_shards, op4_pairwise_quality, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup,
         op10_line_rules)
 }
 
