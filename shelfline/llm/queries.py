@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bloom_lm, bpe, exact_dedup, line_rules, minhash, pairwise_quality, sharding, toxicity
+from shelfline.llm import bloom_lm, bpe, exact_dedup, line_rules, minhash, mixing, pairwise_quality, sharding, token_counts, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -42,18 +42,26 @@ def op6_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
     return bloom_lm.score(table(spark, folder, "documents"), folds=7, held_out=2)
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_documents(table(spark, folder, "documents"), VOCABULARY)
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, folder, "documents"))
 
 
+def op9_flow_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents")).drop("source", "digest")
+
+
 def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(table(spark, folder, "documents")).drop("cleaned_text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
-        op1_toxicity_chain, op2_minmax_near_dedup, op3_byte_shards, op4_pairwise_quality, op5_byte_bpe, op6_bloom_lm, op8_exact_dedup,
-        op10_line_rules)
+        op1_toxicity_chain, op2_minmax_near_dedup, op3_byte_shards, op4_pairwise_quality, op5_byte_bpe, op6_bloom_lm, op7_token_counts,
+        op8_exact_dedup, op9_flow_mixing, op10_line_rules)
 }
 
 ORACLES: dict[str, str] = {
