@@ -196,3 +196,11 @@ def classify(docs: DataFrame, labels: DataFrame, categories: list[str] | None =
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
         work, "doc_id long, text_key long, " + ", ".join(f"p_{c} double" for c in names) + ", toxic boolean, kept boolean")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` that are not toxic, with all their columns."""
+    gone = materialize(
+        classify(docs, labels).filter("toxic").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "toxic")
+    return docs.join(
+        gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key")), "left_anti")
