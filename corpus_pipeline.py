@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfline.llm import stages
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", stages.toxicity),
     ("exact_dedup", stages.exact),
+    ("near_dedup", stages.near),
+    ("mixing", stages.mixed),
     ("encoding", stages.encoded),
 ]
 
