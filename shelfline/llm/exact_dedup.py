@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.joins import join_counted, total
+from shelfline.llm.joins import join_counted, packed, total, unpacked
 from shelfline.session import materialize
 
 FAN_IN_BITS = 3
 
 
-def normalised(text: str = "text") -> Column:
+def normalised(text: str | Column = "text") -> Column:
     """The text with each run of white space as one space; null is empty."""
-    return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
 def digest(text: Column) -> Column:
@@ -72,9 +72,9 @@ def drop_copies(docs: DataFrame) -> DataFrame:
         marked(docs).filter("stays").select(
             F.col("doc_id").alias("__id"), F.col("digest").alias("__kept_digest"), F.col("copies").alias("__copies")),
         "stay")
-    keyed = docs.withColumn("__digest", digest(normalised()))
-    found = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept_digest")))
+    keyed = packed(docs).withColumn("__digest", digest(normalised("__row.text")))
+    found = keyed.join(stay, F.col("__row.doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept_digest")))
     if stay.filter("__copies > 1").isEmpty():
-        return found.select(docs.columns)
-    once = found.filter("__copies = 1").select(docs.columns)
-    return once.unionByName(found.filter("__copies > 1").dropDuplicates(["__id", "__digest"]).select(docs.columns))
+        return unpacked(found)
+    repeated = found.filter("__copies > 1").dropDuplicates(["__id", "__digest"])
+    return unpacked(found.filter("__copies = 1").unionByName(repeated))

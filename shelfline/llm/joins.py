@@ -32,3 +32,12 @@ def crc_of(column: Column) -> Column:
 
 def total(df: DataFrame, column: str) -> int:
     return int(df.agg(F.sum(column)).first()[0] or 0)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column `__row`, so that no name of theirs can clash; `unpacked` gives them back."""
+    return docs.select(F.struct("*").alias("__row"))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("__row.*")

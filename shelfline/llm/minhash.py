@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.components import components
-from shelfline.llm.joins import join_counted, total
+from shelfline.llm.joins import join_counted, packed, total, unpacked
 from shelfline.llm.text import blocks, column, distinct, mix, prepare, reduce_by_text, shingles, span_hash
 from shelfline.session import materialize
 
@@ -220,5 +220,6 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns."""
     gone = materialize(
         near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "gone")
-    return docs.join(
-        gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key")), "left_anti")
+    key = F.xxhash64("__row.text")
+    return unpacked(packed(docs).join(
+        gone, F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti"))

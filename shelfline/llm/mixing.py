@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.joins import join_counted, total
+from shelfline.llm.joins import join_counted, packed, total, unpacked
 from shelfline.llm.text import blocks, column, prepare
 from shelfline.session import materialize
 
@@ -170,8 +170,8 @@ def measured(docs: DataFrame) -> DataFrame:
         work, "doc_id long, source string, digest binary, size long")
 
 
-def digest() -> Column:
-    return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+def digest(text: str = "text") -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -230,8 +230,8 @@ def repeat(docs: DataFrame) -> DataFrame:
     """The mix itself: each row of `docs` as often as it is taken. Of repeated rows each counts as the one taken most."""
     plan = mixed(docs).filter("taken > 0").groupBy("doc_id", "source", "digest").agg(F.max(F.expr("taken div size")).alias("__times"))
     plan = materialize(plan.withColumnsRenamed({"doc_id": "__id", "source": "__source", "digest": "__text"}), "plan")
-    return (
-        docs.withColumn("__digest", digest())
-        .join(plan, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & docs["source"].cast("string").eqNullSafe(F.col("__source"))
-              & (F.col("__digest") == F.col("__text")))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(docs.columns))
+    same = (
+        F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__text"))
+        & F.col("__row.source").cast("string").eqNullSafe(F.col("__source")))
+    found = packed(docs).withColumn("__digest", digest("__row.text")).join(plan, same)
+    return unpacked(found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.llm.joins import packed
 from shelfline.session import materialize
 
 KEY = ("doc_id", "size", "text_crc32")
@@ -61,12 +62,14 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
     """Writes whole documents to `path`/shard=0 ... in order. Each shard's first key decides; rows that equal it start it."""
-    cuts = shard(docs, shards).filter("slot = 0").select("shard", F.struct(*KEY).alias("_cut"))
-    bounds = cuts.agg(F.sort_array(F.collect_list(F.struct("_cut", "shard"))).alias("_cuts"))  # one entry per shard
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("_key", F.struct(
-        F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")))
-    placed = keyed.crossJoin(F.broadcast(bounds)).withColumn(
-        "shard", F.element_at(F.filter("_cuts", lambda c: c["_cut"] <= F.col("_key")), -1)["shard"])
-    (placed.drop("_cuts").repartitionByRange(shards * 4, "shard", "_key").sortWithinPartitions("shard", "_key").drop("_key")
-     .write.mode("overwrite").partitionBy("shard").parquet(path))
+    cuts = shard(docs, shards).filter("slot = 0").select("shard", F.struct(*KEY).alias("cut"))
+    cuts = F.broadcast(cuts.agg(F.sort_array(F.collect_list(F.struct("cut", "shard"))).alias("__cuts")))  # one entry per shard
+    text = F.coalesce("__row.text", F.lit(""))
+    key = F.struct(
+        F.col("__row.doc_id").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = packed(docs).withColumn("__key", key).join(cuts).select(
+        "__row", "__key", F.element_at(F.filter("__cuts", lambda c: c["cut"] <= F.col("__key")), -1)["shard"].alias("__shard"))
+    ordered = placed.repartitionByRange(shards * 4, "__shard", "__key").sortWithinPartitions("__shard", "__key")
+    # The table's columns come first; the folder names the shard.
+    ordered.select("__row.*", F.col("__shard").alias("shard")).write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -48,7 +48,7 @@ def write_flat(docs: DataFrame, path: str, vocabulary: str) -> None:
                     None, pa.py_buffer((first * 2).astype(np.int64)), pa.py_buffer(ids.astype("<u2"))]).cast(pa.binary())})
 
     end = SEPARATOR.to_bytes(2, "little").decode("latin-1")
-    (docs.select("text").mapInArrow(work, "ids binary").select(F.col("ids").cast("string").alias("value"))
+    (docs.select("doc_id", "text").mapInArrow(work, "ids binary").select(F.col("ids").cast("string").alias("value"))
      .write.mode("overwrite").option("lineSep", end).option("encoding", "ISO-8859-1").text(path))
 
 
@@ -114,14 +114,17 @@ def count_tokens(pieces: DataFrame, separator: int = SEPARATOR) -> DataFrame:
 def count_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, part (number of the flat file), ordinal, n_tokens: documents written to flat files, counted from the files.
 
-    One row per row of `docs`; a file whose documents don't agree in number with its part of the table is an error.
+    One row per row of `docs`, which is read twice and has to come in the same order, as a table of files does. A file whose
+    documents don't agree in number with its part of the table, or that has tokens for an empty text, is an error.
     """
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/flat-{uuid.uuid4().hex}"
     write_flat(docs, path, vocabulary)
     counted = count_tokens(read_blocks(spark, path)).withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
     row = F.monotonically_increasing_id()  # the partition's number and the row's in it
-    names = docs.select(F.col("doc_id").cast("long"), F.shiftright(row, 33).cast("int").alias("part"), row.bitwiseAND((1 << 33) - 1).alias("ordinal"))
-    both = counted.join(names.withColumn("_named", F.lit(True)), ["part", "ordinal"], "full")
+    names = docs.select("doc_id", "text").select(
+        F.col("doc_id").cast("long"), F.shiftright(row, 33).cast("int").alias("part"), row.bitwiseAND((1 << 33) - 1).alias("ordinal"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).alias("_bytes"))
+    both = counted.join(names, ["part", "ordinal"], "full")
     lost = F.raise_error(F.concat(F.lit("flat file and table differ in part "), F.col("part")))
-    return both.filter(F.when(F.col("_named") & F.col("ended"), True).otherwise(lost)).select("doc_id", "part", "ordinal", "n_tokens")
+    return both.filter(F.when(F.col("ended") & ((F.col("n_tokens") > 0) == (F.col("_bytes") > 0)), True).otherwise(lost)).select("doc_id", "part", "ordinal", "n_tokens")

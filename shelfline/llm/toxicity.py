@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.joins import packed, unpacked
 from shelfline.llm.text import Block, blocks, column, distinct, prepare, span_hash
 from shelfline.session import materialize
 
@@ -202,5 +203,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that are not toxic, with all their columns."""
     gone = materialize(
         classify(docs, labels).filter("toxic").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "toxic")
-    return docs.join(
-        gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key")), "left_anti")
+    key = F.xxhash64("__row.text")
+    return unpacked(packed(docs).join(
+        gone, F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti"))
