@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.quality import rule_counts, unique_key_violations
+from shelfline.operators.quality import counted_conditions, rule_counts, unique_key_violations
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,12 @@ CONSTRAINTS: tuple[Constraint, ...] = (
 
 def constraint_counts(tables: Mapping[str, DataFrame], constraints: Sequence[Constraint] = CONSTRAINTS) -> DataFrame:
     """(test, failures) for every constraint on a table that is given."""
-    return rule_counts([(c.name, c.violations(tables)) for c in constraints if c.table in tables])
+    given = [c for c in constraints if c.table in tables]
+    counts = [rule_counts([(c.name, c.violations(tables)) for c in given if not isinstance(c, Check)])]
+    for name in dict.fromkeys(c.table for c in given if isinstance(c, Check)):  # the row rules of a table in one scan
+        counts.append(counted_conditions(
+            tables[name], {c.name: f"NOT ({c.condition})" for c in given if isinstance(c, Check) and c.table == name}))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def integrity_tests(tables: Mapping[str, DataFrame], column_names: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -87,22 +93,31 @@ def integrity_tests(tables: Mapping[str, DataFrame], column_names: Mapping[str,
 
     sales, forecast, policy, ledger = (tables[n] for n in ("sales", "forecast", "policy", "ledger"))
     dates = tables["dim_date"].select("date_key", F.col("date").alias("_date"))
-    rules = [
-        ("negative_sales_units", sales.filter("units_sold < 0")),
-        ("negative_prices", tables["sell_price"].filter("sell_price < 0")),
-        ("sales_orphan_product", sales.join(tables["dim_product"], "item_id", "left_anti")),
-        ("sales_orphan_date", sales.join(F.broadcast(dates), "date_key", "left_anti")),  # one row per day
-        ("sales_date_key_mismatch", sales.join(F.broadcast(dates), "date_key").filter("date <> _date")),
-        ("forecast_alignment", forecast.filter("datediff(date, origin) <> horizon OR forecast_units < 0")),
-        ("invalid_intervals", forecast.filter(
-            "lower_95 > lower_80 OR lower_80 > forecast_units OR upper_80 < forecast_units OR upper_95 < upper_80")),
-        ("invalid_service", policy.filter("target_service_level <= 0 OR target_service_level >= 1")),
-        ("inventory_balance", ledger.filter(
-            "abs(opening_inventory + arrivals - fulfilled_units - closing_inventory) > 0.00001")),
-        ("invalid_fulfillment", ledger.filter("fulfilled_units > actual_demand OR fulfilled_units < 0")),
-        ("invalid_late_rate", tables["shipping_mode"].filter("late_delivery_rate NOT BETWEEN 0 AND 1")),
-    ]
-    counted = rule_counts(rules)
+    # One row per item and one per day: the panel is summed before it meets the dimensions.
+    items = tables["dim_product"].select("item_id").distinct().withColumn("_item", F.lit(True))
+    keyed = sales.groupBy("item_id", "date", "date_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("units_sold") < 0).alias("negative"))
+    matched = keyed.join(items, "item_id", "left").join(F.broadcast(dates), "date_key", "left")
+    found = {
+        "negative_sales_units": F.sum("negative"),
+        "sales_orphan_product": F.sum(F.when(F.col("_item").isNull(), F.col("rows")).otherwise(0)),
+        "sales_orphan_date": F.sum(F.when(F.col("_date").isNull(), F.col("rows")).otherwise(0)),
+        "sales_date_key_mismatch": F.sum(F.when(F.col("date") != F.col("_date"), F.col("rows")).otherwise(0)),
+    }
+    counted = reduce(DataFrame.unionByName, [
+        matched.agg(*[F.coalesce(v, F.lit(0).cast("long")).alias(n) for n, v in found.items()]).select(F.inline(F.array(
+            *[F.struct(F.lit(n).alias("test"), F.col(n).alias("failures")) for n in found]))),
+        counted_conditions(tables["sell_price"], {"negative_prices": "sell_price < 0"}),
+        counted_conditions(forecast, {
+            "forecast_alignment": "datediff(date, origin) <> horizon OR forecast_units < 0",
+            "invalid_intervals":
+                "lower_95 > lower_80 OR lower_80 > forecast_units OR upper_80 < forecast_units OR upper_95 < upper_80"}),
+        counted_conditions(policy, {"invalid_service": "target_service_level <= 0 OR target_service_level >= 1"}),
+        counted_conditions(ledger, {
+            "inventory_balance": "abs(opening_inventory + arrivals - fulfilled_units - closing_inventory) > 0.00001",
+            "invalid_fulfillment": "fulfilled_units > actual_demand OR fulfilled_units < 0"}),
+        counted_conditions(tables["shipping_mode"], {"invalid_late_rate": "late_delivery_rate NOT BETWEEN 0 AND 1"}),
+    ])
     personal = len(personal_columns(column_names))
     spark = sales.sparkSession
     return counted.unionByName(

@@ -43,7 +43,7 @@ def create_assumptions(history: DataFrame, settings: Settings = DEFAULTS) -> Dat
         number(settings.lead_time_std_days).alias("lead_time_standard_deviation"),
         number(settings.ordering_cost).alias("ordering_cost_per_order"),
         number(settings.holding_rate).alias("annual_holding_cost_rate"),
-        F.greatest(F.lit(0.01), F.col("last_price") * settings.cost_to_price).alias("estimated_unit_cost"),
+        F.when(F.col("last_price").isNotNull(), F.greatest(F.lit(0.01), F.col("last_price") * settings.cost_to_price)).alias("estimated_unit_cost"),
         number(settings.default_service_level).alias("target_service_level"),
         F.ceil(F.col("average_daily_demand") * settings.initial_days_supply).cast("double").alias("initial_inventory"),
         number(settings.review_period_days).alias("review_period_days"),

@@ -107,6 +107,26 @@ def panel_rules(sales: DataFrame) -> list[tuple[str, DataFrame]]:
     ]
 
 
+def counted_conditions(df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
+    """(test, failures) of row rules, all in one scan: the rows for which each condition holds."""
+    counts = df.agg(*[F.count_if(F.expr(condition)).alias(name) for name, condition in conditions.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("test"), F.col(n).alias("failures")) for n in conditions])))
+
+
+def panel_rule_counts(sales: DataFrame) -> DataFrame:
+    """The counts of `panel_rules`: row rules in one scan, repeated days and gaps in one grouped pass."""
+    rows = counted_conditions(sales, {
+        "invalid_demand_or_date": "units_sold IS NULL OR units_sold < 0 OR date IS NULL",
+        "sold_without_price": "units_sold > 0 AND sell_price IS NULL"})
+    per_day = sales.groupBy("item_id", "store_id", "date").agg(F.count(F.lit(1)).alias("rows"))
+    per_series = per_day.groupBy("item_id", "store_id").agg(
+        F.count_if(F.col("rows") > 1).alias("repeated"),
+        (F.sum("rows") != F.datediff(F.max("date"), F.min("date")) + 1).cast("long").alias("gap"))
+    totals = per_series.agg(F.sum("repeated").alias("repeated_day"), F.sum("gap").alias("gap_in_history"))
+    return rows.unionByName(totals.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("test"), F.coalesce(n, F.lit(0).cast("long")).alias("failures")) for n in ("repeated_day", "gap_in_history")]))))
+
+
 def contiguity(sales: DataFrame) -> DataFrame:
     """Days held and days between first and last day, per series."""
     return sales.groupBy("item_id", "store_id").agg(

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.operators import forecast, learned, panel, policy, replay, risk, segments
+from shelfline.operators import dimensions, forecast, learned, panel, policy, quality, replay, risk, segments
 from shelfline.operators import orders as orders_ops
 from shelfline.operators.features import add_features
 from shelfline.session import materialize, tune
@@ -67,9 +67,9 @@ class Data:
         """Units per item, store and day on which anything was sold."""
         return testdata.sold(self.spark, self.folder)
 
-    @property
-    def calendar(self) -> DataFrame:
-        return testdata.calendar(self.spark, *self.dates)
+    @stored()
+    def calendar(self):
+        return testdata.calendar(self.spark, self.folder, *self.dates)
 
     @stored()
     def prices(self):
@@ -90,6 +90,33 @@ class Data:
         """The long panel, partitioned as it is served."""
         return panel.build_sales(self.demand, self.calendar, self.prices)
 
+    @property
+    def delivered(self) -> DataFrame:
+        """The panel as a careless source would deliver it, for the rules that look for defects."""
+        return testdata.delivered_sales(self.sales)
+
+    @property
+    def delivered_wide(self) -> DataFrame:
+        return testdata.delivered_wide(self.wide)
+
+    @property
+    def delivered_prices(self) -> DataFrame:
+        return testdata.delivered_prices(self.prices)
+
+    @property
+    def catalogue(self) -> DataFrame:
+        return testdata.catalogue(self.spark, self.folder)
+
+    @stored()
+    def products(self):
+        """The product dimension, one row per item."""
+        return dimensions.distinct_of(self.sales, "item_id", "department_id", "category_id")
+
+    @stored()
+    def stores(self):
+        """The store dimension, one row per store."""
+        return dimensions.distinct_of(self.sales, "store_id", "state_id")
+
     # --- order lines ---
 
     @property
@@ -105,8 +132,14 @@ class Data:
     def lines(self) -> DataFrame:
         return orders_ops.line_facts(self.cleaned)
 
+    @property
+    def delivered_lines(self) -> DataFrame:
+        """Lines with conflicts inside orders, for the rule that looks for them."""
+        return testdata.delivered_lines(self.cleaned)
+
     @stored()
     def delivery(self):
+        quality.require_none(orders_ops.order_conflicts(self.cleaned), "order lines: conflicting values inside an order")
         return orders_ops.one_row_per_order(self.cleaned)
 
     # --- forecasts ---

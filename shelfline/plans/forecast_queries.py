@@ -16,10 +16,6 @@ _BOUNDS = "lower_80 upper_80 lower_95 upper_95"
 _ROWS = "item_id, store_id, origin, date, horizon, model, fold, split_role, forecast_units, actual_units, error, absolute_error"
 
 
-def _products(d: Data):
-    return dimensions.distinct_of(d.sales, "item_id", "department_id", "category_id")
-
-
 def _folds(d: Data):
     """The validation windows, joined to the panel days they cover."""
     table = d.spark.createDataFrame([(f.number, f.origin, f.role) for f in d.folds], "fold int, origin date, split_role string")
@@ -50,7 +46,7 @@ QUERIES = [
     Query("i14_wape_by_store", lambda d: reports.wape_by(d.backtest.filter("split_role = 'test'"), "store_id", "model"),
           "SELECT store_id, model, sum(absolute_error) / nullif(sum(actual_units), 0) AS wape FROM backtest WHERE split_role = 'test' GROUP BY 1, 2",
           "wape"),
-    Query("i15_wape_by_category", lambda d: reports.wape_by_category(d.backtest.filter("split_role = 'test'"), _products(d)),
+    Query("i15_wape_by_category", lambda d: reports.wape_by_category(d.backtest.filter("split_role = 'test'"), d.products),
           """SELECT p.category_id, b.model, sum(b.absolute_error) / nullif(sum(b.actual_units), 0) AS wape
              FROM backtest AS b JOIN dim_product AS p ON p.item_id = b.item_id WHERE b.split_role = 'test' GROUP BY 1, 2""", "wape"),
     Query("b01_rolling_folds", _folds,

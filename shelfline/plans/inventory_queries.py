@@ -38,10 +38,6 @@ def _sql(table: str, *groups: str, where: str = "true") -> str:
     return f"SELECT {', '.join(_names(*groups))} FROM {table} WHERE {where}"
 
 
-def _products(d: Data):
-    return dimensions.distinct_of(d.sales, "item_id", "department_id", "category_id")
-
-
 def _assumed(d: Data):
     return policy.create_assumptions(d.history, d.settings)
 
@@ -83,7 +79,7 @@ QUERIES = [
     Query("i17_excess_inventory", lambda d: reports.excess_inventory(d.policy, 0.95),
           "SELECT item_id, store_id, excess_units, excess_value FROM policy_now WHERE target_service_level = 0.95 AND excess_units > 0",
           "excess_units excess_value"),
-    Query("i18_inventory_value_by_category", lambda d: reports.inventory_value_by_category(d.policy, 0.95, _products(d)),
+    Query("i18_inventory_value_by_category", lambda d: reports.inventory_value_by_category(d.policy, 0.95, d.products),
           """SELECT d.category_id, sum(p.inventory_value) AS value FROM policy_now AS p JOIN dim_product AS d ON d.item_id = p.item_id
              WHERE p.target_service_level = 0.95 GROUP BY 1""", "value"),
     Query("i28_paired_cost_reduction", lambda d: reports.paired_cost_reduction(d.kpis, 0.95),

@@ -14,10 +14,10 @@ from shelfline.plans.query import Query
 
 def _tables(d: Data) -> dict:
     return {
-        "sales": d.sales, "forecast": d.future, "policy": d.policy, "ledger": d.ledger, "lines": d.lines,
-        "delivery": d.delivery, "dim_product": dimensions.distinct_of(d.sales, "item_id", "department_id", "category_id"),
-        "dim_store": dimensions.distinct_of(d.sales, "store_id", "state_id"), "dim_date": dimensions.dim_date(d.calendar, d.lines),
-        "sell_price": dimensions.fact_sell_price(d.sales), "shipping_mode": marts.shipping_mode_performance(d.delivery),
+        "sales": d.delivered, "forecast": d.future, "policy": d.policy, "ledger": d.ledger, "lines": d.lines,
+        "delivery": d.delivery, "dim_product": d.catalogue,
+        "dim_store": d.stores, "dim_date": dimensions.dim_date(d.calendar, d.lines),
+        "sell_price": d.delivered_prices, "shipping_mode": marts.shipping_mode_performance(d.delivery),
     }
 
 
@@ -30,17 +30,22 @@ def _count(name: str, source: str, where: str) -> str:
     return f"SELECT '{name}' AS test, count(*) AS failures FROM {source} WHERE {where}"
 
 
+def _missing(name: str, column: str, source: str, target: str) -> str:
+    return f"SELECT '{name}' AS test, count(DISTINCT {column}) AS failures FROM {source} WHERE {column} NOT IN ({target})"
+
+
 def _repeats(name: str, table: str, keys: str) -> str:
     return f"SELECT '{name}' AS test, count(*) AS failures FROM (SELECT count(*) FROM {table} GROUP BY {keys} HAVING count(*) > 1)"
 
 
 _BALANCE = "abs(opening_inventory + arrivals - fulfilled_units - closing_inventory) > 0.00001"
 _SPREAD = "lower_95 > lower_80 OR lower_80 > forecast_units OR upper_80 < forecast_units OR upper_95 < upper_80"
+_KEY = "CAST(strftime(date, '%Y%m%d') AS INTEGER)"
 _INTEGRITY_SQL = " UNION ALL ".join([
-    _count("negative_sales_units", "sales", "units_sold < 0"), _count("negative_prices", "sales", "sell_price < 0"),
-    _count("sales_orphan_product", "sales", "item_id NOT IN (SELECT item_id FROM dim_product)"),
-    _count("sales_orphan_date", "sales", "date NOT IN (SELECT date FROM calendar)"),
-    _count("sales_date_key_mismatch", "sales", "date_key <> CAST(strftime(date, '%Y%m%d') AS INTEGER)"),
+    _count("negative_sales_units", "delivered", "units_sold < 0"), _count("negative_prices", "delivered_prices", "sell_price < 0"),
+    _count("sales_orphan_product", "delivered", "item_id NOT IN (SELECT item_id FROM catalogue)"),
+    _count("sales_orphan_date", "delivered", f"date_key NOT IN (SELECT {_KEY} FROM calendar)"),
+    _count("sales_date_key_mismatch", "delivered", f"date_key <> {_KEY} AND date_key IN (SELECT {_KEY} FROM calendar)"),
     _count("forecast_alignment", "future", "date_diff('day', origin, date) <> horizon OR forecast_units < 0"),
     _count("invalid_intervals", "future", _SPREAD),
     _count("invalid_service", "policy_now", "target_service_level <= 0 OR target_service_level >= 1"),
@@ -50,12 +55,12 @@ _INTEGRITY_SQL = " UNION ALL ".join([
     "SELECT 'personal_columns', 0",
 ])
 _CONSTRAINT_SQL = " UNION ALL ".join([
-    _repeats("dim_product_key", "dim_product", "item_id"), _repeats("dim_store_key", "dim_store", "store_id"),
-    _repeats("dim_date_key", "calendar", "date"), _repeats("sales_key", "sales", "item_id, store_id, date_key"),
-    _count("sales_item_id_reference", "sales", "item_id NOT IN (SELECT item_id FROM dim_product)"),
-    _count("sales_store_id_reference", "sales", "store_id NOT IN (SELECT store_id FROM dim_store)"),
-    _count("sales_date_key_reference", "sales", "date NOT IN (SELECT date FROM calendar)"),
-    _count("sales_units", "sales", "units_sold < 0"), _count("sales_price", "sales", "sell_price < 0"),
+    _repeats("dim_product_key", "catalogue", "item_id"), _repeats("dim_store_key", "dim_store", "store_id"),
+    _repeats("dim_date_key", "calendar", "date"), _repeats("sales_key", "delivered", "item_id, store_id, date_key"),
+    _missing("sales_item_id_reference", "item_id", "delivered", "SELECT item_id FROM catalogue"),
+    _missing("sales_store_id_reference", "store_id", "delivered", "SELECT store_id FROM dim_store"),
+    _missing("sales_date_key_reference", "date_key", "delivered", f"SELECT {_KEY} FROM calendar"),
+    _count("sales_units", "delivered", "units_sold < 0"), _count("sales_price", "delivered", "sell_price < 0"),
     _repeats("forecast_key", "future", "item_id, store_id, origin, date, model"),
     _count("forecast_units", "future", "forecast_units < 0"),
     _count("forecast_horizon", "future", "horizon NOT BETWEEN 1 AND 28 OR date_diff('day', origin, date) <> horizon"),
@@ -241,11 +246,11 @@ QUERIES = [
              UNION ALL SELECT 'forecast', item_id, store_id, date, NULL, forecast_units, lower_80, upper_80, lower_95, upper_95, NULL, NULL FROM future
              UNION ALL SELECT 'policy', item_id, store_id, as_of_date, NULL, NULL, NULL, NULL, NULL, NULL, safety_stock, reorder_point FROM policy_now
              WHERE target_service_level = 0.95""", "forecast_units lower_80 upper_80 lower_95 upper_95 safety_stock reorder_point"),
-    Query("j10_first_series_errors",
-          lambda d: d.test.join(F.broadcast(panel.first_series(d.test, 24)), panel.SERIES, "left_semi").groupBy("item_id", "store_id").agg(
-              F.sum("absolute_error").alias("absolute_error")),
-          """SELECT item_id, store_id, sum(absolute_error) AS absolute_error FROM test WHERE (item_id, store_id) IN (
-               SELECT DISTINCT (item_id, store_id) FROM test ORDER BY 1 LIMIT 24) GROUP BY 1, 2""", "absolute_error"),
+    Query("j10_class_a_errors",
+          lambda d: d.test.join(d.pretest_segments.filter("abc = 'A'").select(*panel.SERIES), panel.SERIES, "left_semi").groupBy(
+              "item_id", "store_id").agg(F.sum("absolute_error").alias("absolute_error")),
+          """SELECT t.item_id, t.store_id, sum(t.absolute_error) AS absolute_error FROM test AS t
+             JOIN segments_pretest AS g ON g.item_id = t.item_id AND g.store_id = t.store_id WHERE g.abc = 'A' GROUP BY 1, 2""", "absolute_error"),
     Query("q11_integrity_tests", _integrity, _INTEGRITY_SQL),
     Query("q12_constraints", lambda d: constraints.constraint_counts(_tables(d)), _CONSTRAINT_SQL),
     Query("o10_recommendations", _recommendations, _RECOMMENDATION_SQL),

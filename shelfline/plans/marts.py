@@ -49,11 +49,9 @@ def shipping_mode_performance(delivery: DataFrame) -> DataFrame:
     )
 
 
-def profitability(orders: DataFrame, profits: DataFrame) -> DataFrame:
-    """Category, market and region of valid lines; amounts come from the profit fact of the line."""
-    amounts = profits.select("order_item_id", "sales", "profit")
-    labels = valid(orders).select("order_item_id", "category", "market", "region")
-    return labels.join(amounts, "order_item_id").groupBy("category", "market", "region").agg(
+def profitability(lines: DataFrame) -> DataFrame:
+    """Sales and profit of valid lines by category, market and region."""
+    return valid(lines).groupBy("category", "market", "region").agg(
         F.sum("sales").alias("sales"), F.sum("profit").alias("profit"),
         ratio(F.sum("profit"), F.sum("sales")).alias("profit_margin"),
     )

@@ -42,11 +42,37 @@ SELECT CAST(lo + n AS DATE) AS date, CAST(n // 7 + 1000 AS INTEGER) AS wm_yr_wk,
        CAST(day(lo + n) <= 10 AS INTEGER) AS snap_CA,
        CAST(day(lo + n) BETWEEN 6 AND 15 AS INTEGER) AS snap_TX,
        CAST(day(lo + n) BETWEEN 11 AND 20 AS INTEGER) AS snap_WI,
-       CASE WHEN n % 60 = 0 THEN 'Festival' END AS event_name_1,
-       CASE WHEN n % 60 = 0 THEN 'Cultural' END AS event_type_1,
-       CASE WHEN n % 90 = 30 THEN 'Holiday' END AS event_name_2,
-       CASE WHEN n % 90 = 30 THEN 'National' END AS event_type_2
-FROM (SELECT lo, CAST(unnest(range(0, date_diff('day', lo, hi) + 29)) AS INTEGER) AS n FROM bounds)"""
+       names[1] AS event_name_1, CASE WHEN names[1] IS NOT NULL THEN 'Order peak' END AS event_type_1,
+       names[2] AS event_name_2, CASE WHEN names[2] IS NOT NULL THEN 'Second priority' END AS event_type_2
+FROM (SELECT lo, CAST(unnest(range(0, date_diff('day', lo, hi) + 29)) AS INTEGER) AS n FROM bounds)
+     LEFT JOIN peaks ON peaks.day = lo + n"""
+
+TABLES["peaks"] = """
+SELECT day, names FROM (SELECT day, sum(n) AS n, list(o_orderpriority ORDER BY n DESC, o_orderpriority) AS names
+      FROM (SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL) GROUP BY 1)
+QUALIFY n > avg(n) OVER () + 1.5::DOUBLE * stddev_samp(n) OVER ()"""
+
+TABLES["catalogue"] = """
+SELECT DISTINCT 'ITEM_' || lpad(CAST(item_no AS VARCHAR), 6, '0') AS item_id
+FROM (SELECT CAST(CASE WHEN p_partkey % 4 = 0 THEN floor(sqrt(p_partkey)) ELSE floor(sqrt(sqrt(p_partkey)) * 3.0) END AS INTEGER) AS item_no
+      FROM part) WHERE item_no % 50 <> 7"""
+
+TABLES["delivered_demand"] = """
+SELECT id, item_id, store_id, CASE WHEN n % 17 = 5 THEN 'XX' ELSE state_id END AS state_id, d,
+       CASE WHEN n % 13 = 4 AND d = 'd_1' THEN -1 ELSE units_sold END AS units_sold
+FROM (SELECT *, CAST(substr(item_id, 6, 6) AS INTEGER) AS n FROM demand) JOIN (SELECT unnest([0, 1]) AS c) ON c = 0 OR n % 11 = 3"""
+
+TABLES["delivered_prices"] = """
+SELECT store_id, item_id, wm_yr_wk, CASE WHEN k % 211 = 3 THEN NULL WHEN k % 307 = 5 THEN -sell_price ELSE sell_price END AS sell_price
+FROM (SELECT *, CAST(substr(item_id, 6, 6) AS INTEGER) + wm_yr_wk AS k FROM prices) JOIN (SELECT unnest([0, 1]) AS c) ON c = 0 OR k % 401 = 7"""
+
+TABLES["delivered"] = """
+SELECT * EXCLUDE (k, c, units_sold, sell_price, date_key), CASE WHEN k % 503 = 11 THEN -1 ELSE units_sold END AS units_sold,
+       CASE WHEN k % 53 = 7 THEN NULL WHEN k % 307 = 5 THEN -sell_price ELSE sell_price END AS sell_price,
+       CASE WHEN k % 809 = 19 THEN date_key + 1 ELSE date_key END AS date_key
+FROM (SELECT *, CAST(substr(item_id, 6, 6) AS INTEGER) + date_diff('day', DATE '1990-01-01', date) AS k FROM sales)
+     JOIN (SELECT unnest([0, 1]) AS c) ON c = 0 OR k % 607 = 13
+WHERE k % 701 <> 17"""
 
 TABLES["sold"] = """
 SELECT item_no, store_no, 'ITEM_' || lpad(CAST(item_no AS VARCHAR), 6, '0') AS item_id, 'S_' || store_no AS store_id,
@@ -95,6 +121,23 @@ SELECT m.id AS series_id, m.item_id, m.dept_id AS department_id, m.cat_id AS cat
 FROM demand AS m LEFT JOIN calendar AS c ON c.d = m.d
      LEFT JOIN prices AS p ON p.item_id = m.item_id AND p.store_id = m.store_id AND p.wm_yr_wk = c.wm_yr_wk"""
 
+TABLES["item_totals"] = "SELECT item_id, sum(revenue) AS revenue FROM sales GROUP BY 1"
+TABLES["series_totals"] = """
+SELECT item_id, store_id, sum(revenue) AS revenue, stddev_samp(units_sold) / nullif(avg(units_sold), 0) AS cv,
+       avg(zero_sales_flag) AS zero_share FROM sales GROUP BY 1, 2"""
+
+
+def ahead(totals: str, keys: str) -> str:
+    """Rows of `totals` with `share`: what ranks before a row, as the running sum through the row less the row itself."""
+    return f"""
+SELECT *, (through - revenue) / nullif(whole, 0) AS share
+FROM (SELECT *, sum(revenue) OVER (ORDER BY place) AS through, sum(revenue) OVER () AS whole
+      FROM (SELECT *, row_number() OVER (ORDER BY revenue DESC, {keys}) AS place FROM {totals}))"""
+
+
+ABC_CLASS = "coalesce((SELECT max(label) FROM (VALUES (-1.0, 'A'), (0.8, 'B'), (0.95, 'C')) AS cut(low, label) WHERE share >= low), 'C')"
+XYZ_CLASS = "CASE WHEN zero_share < 0.5 AND cv <= 1.0 THEN CASE WHEN cv <= 0.5 THEN 'X' ELSE 'Y' END ELSE 'Z' END"
+
 TABLES["dim_product"] = "SELECT DISTINCT item_id, department_id, category_id FROM sales"
 TABLES["dim_store"] = "SELECT DISTINCT store_id, state_id FROM sales"
 
@@ -186,6 +229,12 @@ FROM (SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
                    (CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) + 50) // 100 AS net FROM lineitem)
            JOIN order_heads ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey)"""
 
+TABLES["delivered_lines"] = """
+SELECT * REPLACE (CASE WHEN order_id % 211 = 9 AND substr(order_item_id, 1, 1) < '8' THEN 'elsewhere' ELSE market END AS market,
+                  CASE WHEN order_id % 307 = 5 AND substr(order_item_id, 1, 1) < '8' THEN NULL ELSE customer_segment END AS customer_segment)
+FROM lines JOIN (SELECT order_id AS delivered_order, actual_shipping_days, scheduled_shipping_days, delivery_eligible, late_order, delay_days,
+                        positive_delay_days FROM delivery) ON delivered_order = order_id"""
+
 # --- forecasts ----------------------------------------------------------------------------------
 
 TABLES["folds"] = """
@@ -287,7 +336,7 @@ def assumptions(history_table: str) -> str:
     return f"""
 SELECT item_id, store_id, 'SUP_' || category_id AS supplier_id, CAST(3 + {draw(8, 'item_id', 'store_id', "'42'")} AS DOUBLE) AS average_lead_time_days,
        1.5::DOUBLE AS lead_time_standard_deviation, 25.0::DOUBLE AS ordering_cost_per_order, 0.25::DOUBLE AS annual_holding_cost_rate,
-       greatest(0.01::DOUBLE, last_price * 0.65::DOUBLE) AS estimated_unit_cost, 0.95::DOUBLE AS target_service_level,
+       CASE WHEN last_price IS NOT NULL THEN greatest(0.01::DOUBLE, last_price * 0.65::DOUBLE) END AS estimated_unit_cost, 0.95::DOUBLE AS target_service_level,
        ceil(average_daily_demand * 14) AS initial_inventory, 7.0::DOUBLE AS review_period_days, last_price * 0.4::DOUBLE AS lost_sale_penalty,
        6.0::DOUBLE AS minimum_order_quantity, 6.0::DOUBLE AS case_pack_size, 'simulated' AS assumption_type, 42 AS seed
 FROM {history_table}"""
@@ -425,4 +474,4 @@ for _name, _policy in (("ledger", "policy_pretest"), ("grid_ledger", "policy_gri
 
 TABLES["training"] = """
 SELECT * FROM features WHERE date <= (SELECT origin FROM folds WHERE fold = 3) AND date > (SELECT origin FROM folds WHERE fold = 3) - 365
-  AND lag_56 IS NOT NULL ORDER BY md5(concat_ws('|', item_id, store_id, strftime(date, '%Y-%m-%d'), '42')) LIMIT 500000"""
+  AND lag_56 IS NOT NULL"""

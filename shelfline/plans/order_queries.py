@@ -40,6 +40,8 @@ def cohort_lines_unchecked(raw):
     return lines.withColumn("profit", F.coalesce("profit", F.lit(0.0)))
 
 
+_CONFLICT = "(count(DISTINCT {c}) > 1 OR (count({c}) > 0 AND count({c}) < count(*)))"
+
 QUERIES = [
     # --- analytical queries ---
     Query("i19_late_rate_by_mode", lambda d: reports.late_rate_by_mode(d.delivery),
@@ -107,9 +109,9 @@ QUERIES = [
           "SELECT order_item_id, invalid_sales_flag, abnormal_profit_flag, loss_making_line, profit_margin FROM lines", "profit_margin"),
     Query("p13_duration_mismatch", lambda d: d.cleaned.groupBy("date_duration_mismatch").agg(F.count(F.lit(1)).alias("rows")),
           """SELECT (order_id % 50 <> 7 AND order_id % 10 = 0) AS date_duration_mismatch, count(*) AS rows FROM lines GROUP BY 1"""),
-    Query("q08_order_conflicts", lambda d: orders.order_conflicts(d.cleaned),
-          "SELECT order_id, " + ", ".join(f"false AS {c}" for c in orders.ORDER_ATTRIBUTES) + """ FROM (
-             SELECT order_id FROM lines GROUP BY 1 HAVING count(DISTINCT order_date) > 1 OR count(DISTINCT market) > 1 OR count(DISTINCT shipping_mode) > 1)"""),
+    Query("q08_order_conflicts", lambda d: orders.order_conflicts(d.delivered_lines),
+          "SELECT * FROM (SELECT order_id, " + ", ".join(f"{_CONFLICT.format(c=c)} AS {c}" for c in orders.ORDER_ATTRIBUTES)
+          + " FROM delivered_lines GROUP BY 1) WHERE " + " OR ".join(orders.ORDER_ATTRIBUTES)),
     Query("q10_quality_counts", lambda d: orders.quality_counts(d.cleaned),
           """SELECT issue, rows FROM (
                SELECT count(*) AS source_rows, count(*) - count(DISTINCT order_id) AS repeated_order_ids, 0::BIGINT AS invalid_order_date,
@@ -133,7 +135,7 @@ QUERIES = [
           f"""SELECT shipping_mode, {_ELIGIBLE} AS eligible_orders, CAST(sum(late_order) AS BIGINT) AS late_orders,
                      avg(late_order) AS late_delivery_rate, avg(positive_delay_days) AS average_delay_days FROM delivery GROUP BY 1""",
           "late_delivery_rate average_delay_days"),
-    Query("d12_mart_profitability", lambda d: marts.profitability(d.lines, d.lines),
+    Query("d12_mart_profitability", lambda d: marts.profitability(d.lines),
           f"""SELECT category, market, region, {_SUMS}, sum(profit) / nullif(sum(sales), 0) AS profit_margin FROM lines
               WHERE NOT invalid_sales_flag GROUP BY 1, 2, 3""", "sales profit profit_margin"),
     Query("d14_mart_delivery", lambda d: d.delivery.select("order_id", "delivery_eligible", "late_order"),

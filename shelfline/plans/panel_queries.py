@@ -15,14 +15,6 @@ DAY = ["item_id", "store_id", "date"]
 _END = "(SELECT hi FROM bounds)"
 
 
-def _products(d: Data):
-    return dimensions.distinct_of(d.sales, "item_id", "department_id", "category_id")
-
-
-def _stores(d: Data):
-    return dimensions.distinct_of(d.sales, "store_id", "state_id")
-
-
 def _featured(columns):
     """Only the windows that make `columns`, so the plan carries nothing it does not show."""
     return lambda d: d.sales.withColumns(columns()).select(*DAY, *columns())
@@ -32,13 +24,16 @@ def _history(d: Data):
     return panel.history_summary(d.sales, d.today)
 
 
-def _integrity(d: Data):
-    dates = dimensions.date_spine(d.spark, *d.dates)
-    products = _products(d)
-    return quality.rule_counts([
-        ("sales_orphan_product", d.sales.join(products, "item_id", "left_anti")),
-        ("sales_orphan_date", d.sales.join(F.broadcast(dates), "date_key", "left_anti")),  # one row per day
-    ])
+def _orphans(d: Data):
+    """Panel rows of items that are not on offer and of days without an order."""
+    keys = d.sales.groupBy("item_id", "date_key").agg(F.count(F.lit(1)).alias("rows"))
+    days = testdata.order_days(d.spark, d.folder)
+    flagged = keys.join(d.catalogue.withColumn("_item", F.lit(True)), "item_id", "left").join(
+        days.withColumn("_day", F.lit(True)), "date_key", "left")
+    return flagged.select(F.inline(F.array(
+        F.struct(F.lit("sales_orphan_product").alias("test"), F.when(F.col("_item").isNull(), F.col("rows")).otherwise(0).alias("n")),
+        F.struct(F.lit("sales_orphan_date").alias("test"), F.when(F.col("_day").isNull(), F.col("rows")).otherwise(0).alias("n")),
+    ))).groupBy("test").agg(F.sum("n").alias("failures"))
 
 
 def _best_and_worst(d: Data):
@@ -87,7 +82,7 @@ QUERIES = [
     Query("i03_store_ranking", lambda d: reports.store_ranking(d.sales),
           """SELECT store_id, revenue, dense_rank() OVER (ORDER BY revenue DESC) AS rank
              FROM (SELECT store_id, sum(revenue) AS revenue FROM sales GROUP BY 1)""", "revenue"),
-    Query("i04_category_contribution", lambda d: reports.category_contribution(d.sales, _products(d)),
+    Query("i04_category_contribution", lambda d: reports.category_contribution(d.sales, d.products),
           """SELECT category_id, revenue, revenue / nullif(sum(revenue) OVER (), 0) AS contribution
              FROM (SELECT p.category_id, sum(s.revenue) AS revenue FROM sales AS s JOIN dim_product AS p ON p.item_id = s.item_id GROUP BY 1)""",
           "revenue contribution"),
@@ -105,22 +100,15 @@ QUERIES = [
                     avg(CASE WHEN units_sold = 0 THEN 1.0::DOUBLE ELSE 0 END) AS zero_share FROM sales GROUP BY 1, 2""",
           "cv zero_share"),
     Query("i09_abc_by_item", lambda d: reports.abc_by_item(d.sales),
-          """SELECT item_id, revenue, prior_share, CASE WHEN prior_share < 0.8 THEN 'A' WHEN prior_share < 0.95 THEN 'B' ELSE 'C' END AS abc
-             FROM (SELECT item_id, revenue, coalesce(sum(revenue) OVER (ORDER BY revenue DESC, item_id
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / nullif(sum(revenue) OVER (), 0) AS prior_share
-                   FROM (SELECT item_id, sum(revenue) AS revenue FROM sales GROUP BY 1))""", "revenue prior_share"),
+          f"SELECT item_id, revenue, share AS prior_share, {oracle.ABC_CLASS} AS abc FROM ({oracle.ahead('item_totals', 'item_id')})",
+          "revenue prior_share"),
     Query("i10_xyz_by_series", lambda d: reports.xyz_by_series(d.sales),
           """SELECT item_id, store_id, CASE WHEN zeros >= 0.5 THEN 'Z' WHEN cv <= 0.5 THEN 'X' WHEN cv <= 1.0 THEN 'Y' ELSE 'Z' END AS xyz
              FROM (SELECT item_id, store_id, stddev_samp(units_sold) / nullif(avg(units_sold), 0) AS cv, avg(zero_sales_flag) AS zeros
                    FROM sales GROUP BY 1, 2)"""),
     Query("i11_abc_xyz_by_series", lambda d: reports.abc_xyz_by_series(d.sales),
-          """SELECT item_id, store_id, revenue, cv, zero_share, prior_share,
-                    CASE WHEN prior_share < 0.8 THEN 'A' WHEN prior_share < 0.95 THEN 'B' ELSE 'C' END || '-' ||
-                    CASE WHEN zero_share >= 0.5 THEN 'Z' WHEN cv <= 0.5 THEN 'X' WHEN cv <= 1.0 THEN 'Y' ELSE 'Z' END AS abc_xyz
-             FROM (SELECT *, coalesce(sum(revenue) OVER (ORDER BY revenue DESC, item_id, store_id
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / nullif(sum(revenue) OVER (), 0) AS prior_share
-                   FROM (SELECT item_id, store_id, sum(revenue) AS revenue, stddev_samp(units_sold) / nullif(avg(units_sold), 0) AS cv,
-                                avg(zero_sales_flag) AS zero_share FROM sales GROUP BY 1, 2))""",
+          f"""SELECT item_id, store_id, revenue, cv, zero_share, share AS prior_share, {oracle.ABC_CLASS} || '-' || {oracle.XYZ_CLASS} AS abc_xyz
+             FROM ({oracle.ahead('series_totals', 'item_id, store_id')})""",
           "revenue cv zero_share prior_share"),
     Query("i12_price_and_demand_changes", lambda d: reports.price_and_demand_changes(d.sales),
           """SELECT item_id, store_id, date, price_change_percentage AS price_change, units_sold - lag_1 AS demand_change,
@@ -156,10 +144,9 @@ QUERIES = [
     Query("j04_series_of_top_stores", lambda d: panel.in_top_stores(panel.revenue_before_validation(d.sales), 2),
           """SELECT item_id, store_id, revenue FROM cohort_revenue WHERE store_id IN (
                SELECT store_id FROM cohort_revenue GROUP BY 1 ORDER BY sum(revenue) DESC, store_id LIMIT 2)""", "revenue"),
-    Query("j11_orphans", _integrity,
-          """SELECT 'sales_orphan_product' AS test, count(*) AS failures FROM sales WHERE item_id NOT IN (SELECT item_id FROM dim_product)
-             UNION ALL SELECT 'sales_orphan_date', count(*) FROM sales WHERE date_key NOT IN (
-               SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) FROM calendar)"""),
+    Query("j11_orphans", _orphans,
+          """SELECT 'sales_orphan_product' AS test, count(*) AS failures FROM sales WHERE item_id NOT IN (SELECT item_id FROM catalogue)
+             UNION ALL SELECT 'sales_orphan_date', count(*) FROM sales WHERE date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)"""),
     Query("t03_best_and_worst_series", _best_and_worst,
           """SELECT b.item_id AS best_item, b.store_id AS best_store, b.revenue AS best_revenue, w.item_id AS worst_item, w.store_id AS worst_store, w.revenue AS worst_revenue
              FROM (SELECT item_id, store_id, sum(revenue) AS revenue FROM sales GROUP BY 1, 2 ORDER BY revenue DESC, item_id DESC, store_id DESC LIMIT 1) AS b,
@@ -219,8 +206,8 @@ QUERIES = [
     Query("d04_segmentation", lambda d: segments.segmentation(_history(d)), "SELECT * FROM segments_now",
           "average_daily_demand demand_std revenue zero_demand_share last_price coefficient_of_variation cumulative_revenue_share"),
     # --- dimensions and marts ---
-    Query("d01_dim_product", _products, "SELECT * FROM dim_product"),
-    Query("d01_dim_store", _stores, "SELECT * FROM dim_store"),
+    Query("d01_dim_product", lambda d: d.products, "SELECT * FROM dim_product"),
+    Query("d01_dim_store", lambda d: d.stores, "SELECT * FROM dim_store"),
     Query("d01_dim_state", lambda d: dimensions.distinct_of(d.sales, "state_id"), "SELECT DISTINCT state_id FROM sales"),
     Query("d01_dim_category", lambda d: dimensions.distinct_of(d.sales, "category_id"), "SELECT DISTINCT category_id FROM sales"),
     Query("d01_dim_department", lambda d: dimensions.distinct_of(d.sales, "department_id", "category_id"),
@@ -236,7 +223,7 @@ QUERIES = [
     Query("d02_dim_date", lambda d: dimensions.dim_date(d.calendar, d.lines),
           """SELECT date, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, CAST(year(date) AS INTEGER) AS year,
                     CAST(month(date) AS INTEGER) AS month, CAST(quarter(date) AS INTEGER) AS quarter FROM calendar"""),
-    Query("d08_mart_sales_performance", lambda d: marts.sales_performance(d.sales, _products(d), _stores(d)),
+    Query("d08_mart_sales_performance", lambda d: marts.sales_performance(d.sales, d.products, d.stores),
           """SELECT CAST(date_trunc('month', f.date) AS DATE) AS month, p.category_id, t.state_id, f.store_id,
                     CAST(sum(f.units_sold) AS BIGINT) AS units_sold, sum(f.revenue) AS revenue
              FROM sales AS f JOIN dim_product AS p ON p.item_id = f.item_id JOIN dim_store AS t ON t.store_id = f.store_id GROUP BY ALL""",
@@ -248,20 +235,20 @@ QUERIES = [
     # --- quality ---
     Query("q04_table_profile", _profile, _profile_sql(), "minimum maximum"),
     Query("q05_panel_source_rules",
-          lambda d: quality.rule_counts(quality.panel_source_rules(d.wide, d.calendar, d.prices)),
-          """SELECT 'duplicate_series' AS test, count(*) AS failures FROM (SELECT id FROM demand GROUP BY item_id, store_id, id, d HAVING count(*) > 1)
+          lambda d: quality.rule_counts(quality.panel_source_rules(d.delivered_wide, d.calendar, d.delivered_prices)),
+          """SELECT 'duplicate_series' AS test, count(*) AS failures FROM (SELECT id FROM delivered_demand WHERE d = 'd_1' GROUP BY item_id, store_id, id HAVING count(*) > 1)
              UNION ALL SELECT 'duplicate_day', count(*) FROM (SELECT d FROM calendar GROUP BY d HAVING count(*) > 1)
              UNION ALL SELECT 'duplicate_date', count(*) FROM (SELECT date FROM calendar GROUP BY date HAVING count(*) > 1)
              UNION ALL SELECT 'invalid_date', count(*) FROM calendar WHERE date IS NULL
-             UNION ALL SELECT 'invalid_price', count(*) FROM prices WHERE sell_price IS NULL OR sell_price < 0
-             UNION ALL SELECT 'invalid_demand', count(*) FROM demand WHERE units_sold IS NULL OR units_sold < 0
-             UNION ALL SELECT 'invalid_identity', count(*) FROM demand WHERE item_id IS NULL OR store_id IS NULL OR state_id NOT IN ('CA', 'TX', 'WI')
-             UNION ALL SELECT 'duplicate_price', count(*) FROM (SELECT item_id FROM prices GROUP BY item_id, store_id, wm_yr_wk HAVING count(*) > 1)"""),
-    Query("q06_panel_rules", lambda d: quality.rule_counts(quality.panel_rules(d.sales)),
-          """SELECT 'invalid_demand_or_date' AS test, count(*) AS failures FROM sales WHERE units_sold IS NULL OR units_sold < 0 OR date IS NULL
-             UNION ALL SELECT 'sold_without_price', count(*) FROM sales WHERE units_sold > 0 AND sell_price IS NULL
-             UNION ALL SELECT 'repeated_day', count(*) FROM (SELECT date FROM sales GROUP BY item_id, store_id, date HAVING count(*) > 1)
-             UNION ALL SELECT 'gap_in_history', count(*) FROM (SELECT item_id FROM sales GROUP BY item_id, store_id
+             UNION ALL SELECT 'invalid_price', count(*) FROM delivered_prices WHERE sell_price IS NULL OR sell_price < 0
+             UNION ALL SELECT 'invalid_demand', count(*) FROM delivered_demand WHERE d = 'd_1' AND (units_sold IS NULL OR units_sold < 0)
+             UNION ALL SELECT 'invalid_identity', count(*) FROM delivered_demand WHERE d = 'd_1' AND (item_id IS NULL OR store_id IS NULL OR state_id NOT IN ('CA', 'TX', 'WI'))
+             UNION ALL SELECT 'duplicate_price', count(*) FROM (SELECT item_id FROM delivered_prices GROUP BY item_id, store_id, wm_yr_wk HAVING count(*) > 1)"""),
+    Query("q06_panel_rules", lambda d: quality.panel_rule_counts(d.delivered),
+          """SELECT 'invalid_demand_or_date' AS test, count(*) AS failures FROM delivered WHERE units_sold IS NULL OR units_sold < 0 OR date IS NULL
+             UNION ALL SELECT 'sold_without_price', count(*) FROM delivered WHERE units_sold > 0 AND sell_price IS NULL
+             UNION ALL SELECT 'repeated_day', count(*) FROM (SELECT date FROM delivered GROUP BY item_id, store_id, date HAVING count(*) > 1)
+             UNION ALL SELECT 'gap_in_history', count(*) FROM (SELECT item_id FROM delivered GROUP BY item_id, store_id
                          HAVING count(*) <> date_diff('day', min(date), max(date)) + 1)"""),
     Query("q07_contiguity", lambda d: quality.contiguity(d.sales),
           "SELECT item_id, store_id, count(*) AS days, CAST(date_diff('day', min(date), max(date)) + 1 AS BIGINT) AS expected_days FROM sales GROUP BY 1, 2"),

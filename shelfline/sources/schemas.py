@@ -5,67 +5,67 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _TYPES = {
-    "s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(),
-    "f": T.DoubleType(), "b": T.BooleanType(), "d": T.DateType(), "t": T.TimestampType(),
+    "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
 }
 
 
-def table(spec: str) -> T.StructType:
-    """`"item_id:s units:l"` -> StructType."""
-    pairs = (field.split(":") for field in spec.split())
+def table(columns: str) -> T.StructType:
+    """A schema from its DDL string, without the session that Spark's own parser needs."""
+    pairs = (column.split() for column in columns.split(","))
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 CALENDAR = table(
-    "date:d wm_yr_wk:i d:s snap_CA:i snap_TX:i snap_WI:i "
-    "event_name_1:s event_type_1:s event_name_2:s event_type_2:s"
+    "date date, wm_yr_wk int, d string, snap_CA int, snap_TX int, snap_WI int, "
+    "event_name_1 string, event_type_1 string, event_name_2 string, event_type_2 string"
 )
-PRICES = table("store_id:s item_id:s wm_yr_wk:i sell_price:f")
+PRICES = table("store_id string, item_id string, wm_yr_wk int, sell_price double")
 
 SALES = table(
-    "series_id:s item_id:s department_id:s category_id:s store_id:s state_id:s d:s date:d date_key:i "
-    "units_sold:l sell_price:f revenue:f wm_yr_wk:i weekday:i month:i quarter:i year:i event_name:s "
-    "event_type:s event_name_2:s event_type_2:s snap_flag:i event_flag:i weekend_flag:i "
-    "month_start_flag:i month_end_flag:i zero_sales_flag:i"
+    "series_id string, item_id string, department_id string, category_id string, store_id string, state_id string, d string, date date, date_key int, "
+    "units_sold long, sell_price double, revenue double, wm_yr_wk int, weekday int, month int, quarter int, year int, event_name string, "
+    "event_type string, event_name_2 string, event_type_2 string, snap_flag int, event_flag int, weekend_flag int, "
+    "month_start_flag int, month_end_flag int, zero_sales_flag int"
 )
 LINES = table(
-    "order_item_id:s order_id:l order_date:d date_key:i shipping_mode:s market:s region:s category:s "
-    "customer_segment:s product_name:s quantity:f sales:f profit:f invalid_sales_flag:b "
-    "abnormal_profit_flag:b profit_margin:f loss_making_line:b"
+    "order_item_id string, order_id long, order_date date, date_key int, shipping_mode string, market string, region string, category string, "
+    "customer_segment string, product_name string, quantity double, sales double, profit double, invalid_sales_flag boolean, "
+    "abnormal_profit_flag boolean, profit_margin double, loss_making_line boolean"
 )
 DELIVERY = table(
-    "order_id:l order_date:d date_key:i shipping_mode:s market:s region:s customer_segment:s "
-    "actual_shipping_days:f scheduled_shipping_days:f delivery_eligible:b late_order:i "
-    "delay_days:f positive_delay_days:f"
+    "order_id long, order_date date, date_key int, shipping_mode string, market string, region string, customer_segment string, "
+    "actual_shipping_days double, scheduled_shipping_days double, delivery_eligible boolean, late_order int, "
+    "delay_days double, positive_delay_days double"
 )
 FORECAST = table(
-    "item_id:s store_id:s origin:d date:d date_key:i horizon:i model:s forecast_units:f "
-    "lower_80:f upper_80:f lower_95:f upper_95:f"
+    "item_id string, store_id string, origin date, date date, date_key int, horizon int, model string, forecast_units double, "
+    "lower_80 double, upper_80 double, lower_95 double, upper_95 double"
 )
 BACKTEST = table(
-    "item_id:s store_id:s state_id:s category_id:s department_id:s origin:d date:d date_key:i "
-    "horizon:i model:s fold:i split_role:s forecast_units:f actual_units:f error:f absolute_error:f scale:f"
+    "item_id string, store_id string, state_id string, category_id string, department_id string, origin date, date date, date_key int, "
+    "horizon int, model string, fold int, split_role string, forecast_units double, actual_units double, error double, absolute_error double, scale double"
 )
 POLICY = table(
-    "item_id:s store_id:s as_of_date:d target_service_level:f initial_inventory:f "
-    "forecast_daily_demand:f safety_stock:f reorder_point:f order_up_to_level:f eoq:f "
-    "days_of_supply:f inventory_value:f stockout_probability:f recommended_order_quantity:f "
-    "excess_units:f excess_value:f"
+    "item_id string, store_id string, as_of_date date, target_service_level double, initial_inventory double, "
+    "forecast_daily_demand double, safety_stock double, reorder_point double, order_up_to_level double, eoq double, "
+    "days_of_supply double, inventory_value double, stockout_probability double, recommended_order_quantity double, "
+    "excess_units double, excess_value double"
 )
 LEDGER = table(
-    "item_id:s store_id:s date:d policy:s scenario:s run_id:i target_service_level:f "
-    "opening_inventory:f arrivals:f forecast_demand:f actual_demand:f fulfilled_units:f "
-    "lost_sales_units:f order_quantity:f in_transit_units:f closing_inventory:f stockout_event:i "
-    "holding_cost:f ordering_cost:f lost_sale_cost:f total_inventory_cost:f lost_sales_value:f"
+    "item_id string, store_id string, date date, policy string, scenario string, run_id int, target_service_level double, "
+    "opening_inventory double, arrivals double, forecast_demand double, actual_demand double, fulfilled_units double, "
+    "lost_sales_units double, order_quantity double, in_transit_units double, closing_inventory double, stockout_event int, "
+    "holding_cost double, ordering_cost double, lost_sale_cost double, total_inventory_cost double, lost_sales_value double"
 )
 
 # Serving tables: target name -> schema. A load keeps only the columns named here.
 SERVING = {
-    "common.dim_date": table("date:d date_key:i year:i month:i quarter:i"),
-    "panel.dim_product": table("item_id:s department_id:s category_id:s"),
-    "panel.dim_store": table("store_id:s state_id:s"),
+    "common.dim_date": table("date date, date_key int, year int, month int, quarter int"),
+    "panel.dim_product": table("item_id string, department_id string, category_id string"),
+    "panel.dim_store": table("store_id string, state_id string"),
     "panel.fact_sales_daily": table(
-        "item_id:s store_id:s date:d date_key:i units_sold:l sell_price:f revenue:f event_flag:i snap_flag:i"
+        "item_id string, store_id string, date date, date_key int, units_sold long, sell_price double, revenue double, event_flag int, snap_flag int"
     ),
     "panel.fact_forecast": FORECAST,
     "panel.fact_forecast_accuracy": BACKTEST,

@@ -34,24 +34,89 @@ def date_range(spark: SparkSession, folder: str) -> tuple[dt.date, dt.date]:
     return lo, hi
 
 
-def calendar(spark: SparkSession, lo: dt.date, hi: dt.date) -> DataFrame:
-    """One row per day, with the days to forecast after the last day of history."""
+def order_peaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Days with far more orders than usual, with their most and second most frequent priority."""
+    per_priority = table(spark, folder, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date"), "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"))
+    ranked = F.array_sort(F.collect_list(F.struct(-F.col("n"), "o_orderpriority")))["o_orderpriority"]  # a handful of priorities
+    days = per_priority.groupBy("date").agg(F.sum("n").alias("n"), ranked.alias("names"))
+    usual = days.agg((F.avg("n") + 1.5 * F.stddev_samp("n")).alias("bound")).select("bound").scalar()
+    return days.filter(F.col("n") > usual).select("date", F.get("names", F.lit(0)).alias("leading"), F.get("names", F.lit(1)).alias("second"))
+
+
+def calendar(spark: SparkSession, folder: str, lo: dt.date, hi: dt.date) -> DataFrame:
+    """One row per day, with the days to forecast after the last day of history. Its events are the peaks of the order table:
+    the leading priority in the first slot, the second in the other."""
     days = (hi - lo).days + 1 + FUTURE_DAYS
     n = F.col("id").cast("int")
     date = F.date_add(F.lit(lo), n)
     day = F.dayofmonth(date)
-    first, second = n % 60 == 0, n % 90 == 30
-    return spark.range(0, days, 1, 1).select(
+    peaks = order_peaks(spark, folder)
+    first, second = F.col("leading").isNotNull(), F.col("second").isNotNull()
+    plain = spark.range(0, days, 1, 1).withColumn("_date", date).join(
+        peaks.withColumnRenamed("date", "_peak"), F.col("_date") == F.col("_peak"), "left")
+    return plain.select(
         date.alias("date"), (F.floor(n / 7) + 1000).cast("int").alias("wm_yr_wk"),
         F.concat(F.lit("d_"), n + 1).alias("d"),
         (day <= 10).cast("int").alias("snap_CA"),
         day.between(6, 15).cast("int").alias("snap_TX"),
         day.between(11, 20).cast("int").alias("snap_WI"),
-        F.when(first, "Festival").alias("event_name_1"), F.when(first, "Cultural").alias("event_type_1"),
-        F.when(second, "Holiday").alias("event_name_2"), F.when(second, "National").alias("event_type_2"),
+        F.col("leading").alias("event_name_1"), F.when(first, "Order peak").alias("event_type_1"),
+        F.col("second").alias("event_name_2"), F.when(second, "Second priority").alias("event_type_2"),
     )
 
 
+def catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """Items on offer, from the part table: one number in fifty has been taken off."""
+    numbers = table(spark, folder, "part").select(item_number("p_partkey").alias("item_no")).distinct()
+    return numbers.filter("item_no % 50 <> 7").select(_padded("ITEM_", F.col("item_no"), 6).alias("item_id"))
+
+
+def order_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days with an order, as keys."""
+    return table(spark, folder, "orders").select(F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("date_key")).distinct()
+
+
+def delivered_wide(wide: DataFrame) -> DataFrame:
+    """The wide demand with repeated series, negative first days and unknown states, planted by item number."""
+    n = F.substring("item_id", 6, 6).cast("int")
+    planted = wide.withColumns({
+        "d_1": F.when(n % 13 == 4, F.lit(-1).cast("long")).otherwise(F.col("d_1")),
+        "state_id": F.when(n % 17 == 5, F.lit("XX")).otherwise(F.col("state_id")),
+    })
+    return planted.unionByName(planted.filter(n % 11 == 3))
+
+
+def delivered_prices(prices_rows: DataFrame) -> DataFrame:
+    """The prices with missing, negative and repeated ones."""
+    key = F.substring("item_id", 6, 6).cast("int") + F.col("wm_yr_wk")
+    planted = prices_rows.withColumn(
+        "sell_price", F.when(key % 211 == 3, F.lit(None).cast("double")).when(key % 307 == 5, -F.col("sell_price")).otherwise(F.col("sell_price")))
+    return planted.unionByName(planted.filter(key % 401 == 7))
+
+
+def delivered_lines(cleaned: DataFrame) -> DataFrame:
+    """Clean lines with conflicts inside orders: another market, or no segment, on about half the lines of some orders."""
+    some = F.substring("order_item_id", 1, 1) < "8"
+    return cleaned.withColumns({
+        "market": F.when((F.col("order_id") % 211 == 9) & some, F.lit("elsewhere")).otherwise(F.col("market")),
+        "customer_segment": F.when((F.col("order_id") % 307 == 5) & some, F.lit(None).cast("string")).otherwise(F.col("customer_segment")),
+    })
+
+
+def delivered_sales(sales: DataFrame) -> DataFrame:
+    """The panel with the defects a delivery may have, planted by key arithmetic: negative units, missing and negative prices,
+    repeated and missing days, date keys that belong to another day."""
+    key = F.substring("item_id", 6, 6).cast("int") + F.datediff("date", F.lit(dt.date(1990, 1, 1)))
+    hit = lambda n, rest: key % n == rest
+    planted = sales.filter(~hit(701, 17)).withColumns({
+        "units_sold": F.when(hit(503, 11), F.lit(-1).cast("long")).otherwise(F.col("units_sold")),
+        "sell_price": F.when(hit(53, 7), F.lit(None).cast("double")).when(hit(307, 5), -F.col("sell_price")).otherwise(F.col("sell_price")),
+        "date_key": F.when(hit(809, 19), F.col("date_key") + 1).otherwise(F.col("date_key")),
+    })
+    return planted.withColumn("_copy", F.explode(F.when(hit(607, 13), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("_copy")
+
+
 def item_number(part_key: str) -> Column:
     root = F.sqrt(F.col(part_key).cast("double"))
     return F.when(F.col(part_key) % 4 == 0, F.floor(root)).otherwise(F.floor(F.sqrt(root) * 3.0)).cast("int")

@@ -100,7 +100,7 @@ def test_export_and_json(spark, data, tmp_path):
 
 def test_serving_load_keeps_target_columns(spark, data):
     frames = {"panel.fact_sales_daily": data.sales, "orders.fact_delivery_performance": data.delivery,
-              "common.dim_date": testdata.calendar(spark, *data.dates).withColumn("date_key", F.lit(1))}
+              "common.dim_date": data.calendar.withColumn("date_key", F.lit(1))}
     for _ in range(2):
         assert set(sinks.load_serving(spark, frames)) == set(frames)
     served = spark.table("panel.fact_sales_daily")
