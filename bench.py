@@ -30,6 +30,7 @@ HEADLINE = (
     "i14_wape_by_store", "b11_model_metrics", "b14_test_intervals", "b16_segment_metrics", "b18_production_forecast",
     "v06_policy", "v08_sensitivity", "v09_ledger", "v10_ledger_kpis", "i28_paired_cost_reduction", "k06_replay_measures",
     "k18_profit_decomposition", "i25_executive_kpis", "o10_recommendations",
+    "b05_poisson_forecast", "b08_tree_forecast", "o07_risk_metrics", "o09_feature_importance",
 )
 
 

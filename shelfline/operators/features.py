@@ -6,6 +6,8 @@ window partition is as long as the calendar and does not grow with the number of
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +69,18 @@ def add_features(sales: DataFrame) -> DataFrame:
     })
 
 
+def recent_features(sales: DataFrame, after: dt.date, until: dt.date) -> DataFrame:
+    """The features of the days after `after` up to `until`, from those days and the longest lag before them alone. What lies
+    further back enters as one row per series: the day of its last sale."""
+    start = after - dt.timedelta(days=max(*LAGS, *MEAN_DAYS) + 1)
+    date = F.col("date")
+    read = sales.filter((date > F.lit(start)) & (date <= F.lit(until)) & F.col("year").between(start.year, until.year))
+    before = sales.filter((date <= F.lit(start)) & (F.col("year") <= start.year) & (F.col("units_sold") > 0)).groupBy(*SERIES).agg(
+        F.max("date").alias("_sold_before"))
+    featured = add_features(read).filter(date > F.lit(after)).join(before, SERIES, "left")
+    return featured.withColumn("days_since_last_sale", F.coalesce("days_since_last_sale", F.datediff("date", "_sold_before"))).drop("_sold_before")
+
+
 def error_scale_parts(sales: DataFrame) -> DataFrame:
     """Squared day-to-day change of each day after the first sale of its series (null before it)."""
     series = Window.partitionBy(*SERIES)

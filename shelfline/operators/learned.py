@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PredictionModel
 from pyspark.ml.feature import VectorAssembler
@@ -13,17 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import date_key, sunday_zero_weekday
-from shelfline.operators.features import CATEGORICAL, LAGS, MEAN_DAYS, NUMERIC, SPREAD_DAYS, training_sample
-from shelfline.operators.forecast import require_calendar
-from shelfline.operators.panel import SERIES_ATTRIBUTES
+from shelfline.operators.features import CATEGORICAL, LAGS, MEAN_DAYS, NUMERIC, SPREAD_DAYS, recent_features
+from shelfline.operators.forecast import Fold, actual_units, join_actuals, require_calendar
+from shelfline.operators.panel import SERIES, SERIES_ATTRIBUTES
 from shelfline.operators.quality import QualityError
 from shelfline.session import materialize
 from shelfline.settings import DEFAULTS, Settings
 
 KEPT_DAYS = max(*LAGS, *MEAN_DAYS)
 MISSING = "Unknown"
-# The learners need a number everywhere; trees read an unlikely value as a missing one.
+# Trees read an unlikely value as a missing one. A regression gets the mean and a mark that it is one.
 FILL = -1.0
+GAPS = (*(f"lag_{k}" for k in LAGS), *(f"rolling_std_{k}" for k in SPREAD_DAYS), "sell_price", "price_change_percentage", "days_since_last_sale")
 NAME = "global_model"
 _STATIC = ("item_id", "store_id", "state_id", "category_id", "department_id")
 
@@ -35,6 +37,10 @@ class Learned:
     """(column, level, code): the frozen vocabulary of every categorical column."""
     overall: float
     """Code of a level that was not in the training data."""
+    means: dict[str, float] | None = None
+    """What a regression reads for a missing number; None for trees."""
+    most: float = float("inf")
+    """No forecast is above this: a log link could run away when its own forecasts are its inputs."""
 
 
 def fit_levels(train: DataFrame) -> DataFrame:
@@ -44,7 +50,8 @@ def fit_levels(train: DataFrame) -> DataFrame:
         F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("level"))
         for c in CATEGORICAL
     ])
-    return train.select(F.inline(cells), "units_sold").groupBy("column", "level").agg(F.avg("units_sold").alias("code"))
+    return train.select(F.inline(cells), "units_sold").groupBy("column", "level").agg(
+        F.avg("units_sold").alias("code"), F.count("units_sold").alias("rows"))
 
 
 def encode(df: DataFrame, levels: DataFrame, overall: float, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
@@ -56,45 +63,57 @@ def encode(df: DataFrame, levels: DataFrame, overall: float, columns: Sequence[s
     return df
 
 
-def assemble(encoded: DataFrame) -> DataFrame:
-    """One feature vector per row."""
-    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(FILL)).alias(f"_{c}") for c in NUMERIC]
-    inputs = [f"_{c}" for c in NUMERIC] + [f"{c}_code" for c in CATEGORICAL]
-    kept = encoded.select("*", *numbers)
-    return VectorAssembler(inputCols=inputs, outputCol="vector").transform(kept).drop(*[f"_{c}" for c in NUMERIC])
+def encode_training(df: DataFrame, levels: DataFrame, overall: float) -> DataFrame:
+    """The codes of training rows leave the row itself out, so that no row's own demand enters its features."""
+    for c in CATEGORICAL:
+        codes = levels.filter(F.col("column") == c).select(
+            F.col("level").alias("_level"), (F.col("code") * F.col("rows")).alias("_sum"), F.col("rows").alias("_rows"))
+        df = df.join(codes, F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) == F.col("_level")).withColumn(
+            f"{c}_code", F.when(F.col("_rows") > 1, (F.col("_sum") - F.col("units_sold")) / (F.col("_rows") - 1)).otherwise(F.lit(overall))
+        ).drop("_level", "_sum", "_rows")
+    return df
 
 
-def training_rows(features: DataFrame, origin: dt.date, settings: Settings = DEFAULTS) -> DataFrame:
-    """The year up to the origin, rows with a full set of lags, at most the configured number."""
-    date = F.col("date")
-    recent = features.filter(
-        (date <= F.lit(origin)) & (date > F.date_sub(F.lit(origin), settings.training_days)) & F.col("lag_56").isNotNull()
-    )
-    return training_sample(recent, settings.max_training_rows, settings.seed)
+def assemble(encoded: DataFrame, means: dict[str, float] | None = None) -> DataFrame:
+    """One feature vector per row; with `means`, missing numbers are the mean and have a mark beside them."""
+    value = lambda c: F.col(c).cast("double")
+    numbers = [F.coalesce(value(c), F.lit(means[c] if means else FILL)).alias(f"_{c}") for c in NUMERIC]
+    marks = [F.col(c).isNull().cast("double").alias(f"_no_{c}") for c in GAPS] if means else []
+    names = [f"_{c}" for c in NUMERIC] + ([f"_no_{c}" for c in GAPS] if means else [])
+    kept = encoded.select("*", *numbers, *marks)
+    return VectorAssembler(inputCols=names + [f"{c}_code" for c in CATEGORICAL], outputCol="vector").transform(kept).drop(*names)
+
+
+def training_rows(sales: DataFrame, origin: dt.date, settings: Settings = DEFAULTS) -> DataFrame:
+    """All rows of the year up to the origin that have a full set of lags."""
+    return recent_features(sales, origin - dt.timedelta(days=settings.training_days), origin).filter("lag_56 IS NOT NULL")
 
 
 def train_model(
-    features: DataFrame, origin: dt.date, settings: Settings = DEFAULTS, learner: str = "trees"
+    sales: DataFrame, origin: dt.date, settings: Settings = DEFAULTS, learner: str = "trees"
 ) -> Learned:
-    """Boosted trees (squared loss) or a Poisson regression on the sampled rows."""
-    # The exact top-n leaves its rows in one partition; the learner should read them from all.
-    partitions = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    train = materialize(training_rows(features, origin, settings).repartition(partitions), "training")
-    overall = train.agg(F.avg("units_sold")).first()[0]
+    """Boosted trees (squared loss) or a Poisson regression on all training rows."""
+    train = materialize(training_rows(sales, origin, settings), "training")
+    overall, highest = train.agg(F.avg("units_sold"), F.max("units_sold")).first()
     if overall is None:
         raise QualityError("not enough history to train on")
+    means = None
+    if learner == "poisson":
+        found = train.agg(*[F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in NUMERIC]).first()
+        means = {c: float(found[c]) for c in NUMERIC}
     levels = materialize(fit_levels(train), "levels")
-    rows = assemble(encode(train, levels, overall)).select("vector", F.col("units_sold").cast("double").alias("label"))
+    rows = assemble(encode_training(train, levels, overall), means).select("vector", F.col("units_sold").cast("double").alias("label"))
     common = {"featuresCol": "vector", "labelCol": "label", "predictionCol": "prediction"}
     if learner == "trees":
         fit = GBTRegressor(maxIter=settings.boosting_rounds, maxDepth=5, stepSize=0.05, seed=settings.seed, **common)
     elif learner == "poisson":
+        # Spark's regression scales its features itself.
         fit = GeneralizedLinearRegression(family="poisson", link="log", regParam=0.01, maxIter=25, **common)
     else:
         raise ValueError(f"no learner named {learner}")
     rows = rows.persist()  # the boosting rounds read these rows once each
     try:
-        return Learned(fit.fit(rows), levels, float(overall))
+        return Learned(fit.fit(rows), levels, float(overall), means, 2.0 * float(highest))
     finally:
         rows.unpersist()
 
@@ -185,7 +204,8 @@ def forecast_recursively(
     for step in range(1, horizon + 1):
         dated = state.withColumn("date", F.date_add(F.lit(origin), F.size("forecasts") + 1))
         ready = dated.join(F.broadcast(days), "date").withColumns(features)
-        predicted = learned.model.transform(assemble(ready)).withColumn("_next", F.greatest(F.col("prediction"), F.lit(0.0)))
+        predicted = learned.model.transform(assemble(ready, learned.means)).withColumn(
+            "_next", F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(learned.most)))
         state = predicted.select(*next_state)
         if step % cut_every == 0 or step == horizon:
             state = materialize(state, "state")
@@ -198,8 +218,22 @@ def forecast_recursively(
 
 
 def learned_forecast(
-    features: DataFrame, sales: DataFrame, calendar: DataFrame, origin: dt.date, horizon: int,
+    sales: DataFrame, calendar: DataFrame, origin: dt.date, horizon: int, settings: Settings = DEFAULTS, learner: str = "trees",
+) -> DataFrame:
+    return forecast_recursively(train_model(sales, origin, settings, learner), sales, calendar, origin, horizon)
+
+
+def backtest_rows(
+    baselines: DataFrame, sales: DataFrame, calendar: DataFrame, folds: Sequence[Fold], horizon: int,
     settings: Settings = DEFAULTS, learner: str = "trees",
 ) -> DataFrame:
-    return forecast_recursively(train_model(features, origin, settings, learner), sales, calendar, origin, horizon)
+    """The learned model in every fold, trained anew on what was known at its origin, next to the outcomes and with the error
+    scales of the baselines' rows."""
+    scales = baselines.filter("model = 'naive' AND horizon = 1").select(*SERIES, "fold", "split_role", "scale")
+    actuals = actual_units(sales, min(f.origin for f in folds))
+    rows = []
+    for fold in folds:
+        predicted = learned_forecast(sales, calendar, fold.origin, horizon, settings, learner)
+        rows.append(join_actuals(predicted.join(scales.filter(F.col("fold") == fold.number), SERIES), actuals))
+    return reduce(DataFrame.unionByName, rows)
 

@@ -171,6 +171,7 @@ class Data:
 
     @stored()
     def future(self):
+        forecast.require_calendar(self.calendar, self.end, self.settings.forecast_horizon)
         return forecast.production_forecast(
             self.sales, self.end, self.champion, self.errors, self.settings.forecast_horizon
         )
@@ -196,10 +197,10 @@ class Data:
     @stored()
     def policy(self):
         """Policies at the end of history."""
+        assumptions = policy.create_assumptions(self.history, self.settings)
+        policy.require_inputs(assumptions, self.settings.service_levels)
         return policy.compute_policies(
-            self.history, self.future, policy.create_assumptions(self.history, self.settings), self.errors,
-            self.settings.service_levels, self.end,
-        )
+            self.history, self.future, assumptions, self.errors, self.settings.service_levels, self.end)
 
     def _pretest_policies(self, cases) -> DataFrame:
         """Policies as they would have been set at the test origin, from what was known then."""
@@ -238,15 +239,25 @@ class Data:
 
     @stored()
     def training(self):
-        return learned.training_rows(self.features, self.test_origin, self.settings)
+        return learned.training_rows(self.sales, self.test_origin, self.settings)
 
     def learned_forecast(self, learner: str) -> DataFrame:
         """Held-out forecast of a model trained up to the test origin."""
         return learned.learned_forecast(
-            self.features, self.sales, self.calendar, self.test_origin, self.settings.forecast_horizon,
-            self.settings, learner,
+            self.sales, self.calendar, self.test_origin, self.settings.forecast_horizon, self.settings, learner,
         )
 
+    @stored()
+    def learned_backtest(self):
+        """The learned model in every fold, next to the outcomes."""
+        return learned.backtest_rows(
+            self.backtest, self.sales, self.calendar, self.folds, self.settings.fold_days, self.settings, "poisson")
+
+    @property
+    def contest(self) -> DataFrame:
+        """The backtest of all models, the learned one among them."""
+        return self.backtest.unionByName(self.learned_backtest.select(self.backtest.columns))
+
     @property
     def risk(self) -> tuple[DataFrame, DataFrame]:
         """(scores, feature weights) of the late-delivery models, fitted once."""

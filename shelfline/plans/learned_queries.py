@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfline.operators import learned, risk
+from shelfline.operators import forecast, learned, risk
 from shelfline.operators.features import CATEGORICAL, LAGS, MEAN_DAYS, SPREAD_DAYS
 from shelfline.plans.data import Data
 from shelfline.plans.query import Query
@@ -27,7 +27,16 @@ def _risk_metrics(d: Data):
 QUERIES = [
     Query("b05_poisson_forecast", lambda d: d.learned_forecast("poisson")),
     Query("b08_tree_forecast", lambda d: d.learned_forecast("trees")),
-    Query("b06_category_levels", lambda d: learned.fit_levels(d.training),
+    Query("b10_learned_folds", lambda d: d.learned_backtest.groupBy("fold", "split_role", "origin").agg(
+              F.countDistinct("item_id", "store_id").alias("series"), F.countDistinct("date").alias("days"), F.count(F.lit(1)).alias("rows"),
+              F.count_if(F.col("forecast_units").isNull()).alias("unknown"), F.count_if(F.col("forecast_units") < 0).alias("negative"),
+              F.count_if(~F.datediff("date", "origin").between(1, d.settings.fold_days)).alias("outside"), F.sum("actual_units").alias("actual_units")),
+          """SELECT fold, split_role, origin, count(DISTINCT (item_id, store_id)) AS series, count(DISTINCT date) AS days, count(*) AS rows,
+                    0 AS unknown, 0 AS negative, 0 AS outside, CAST(sum(actual_units) AS BIGINT) AS actual_units
+             FROM backtest WHERE model = 'naive' GROUP BY 1, 2, 3"""),
+    Query("b11_all_model_metrics", lambda d: forecast.model_metrics(d.contest)),
+    Query("b13_champion_of_all", lambda d: forecast.champion(forecast.model_metrics(d.contest))),
+    Query("b06_category_levels", lambda d: learned.fit_levels(d.training).drop("rows"),
           " UNION ALL ".join(
               f"SELECT '{c}' AS column, coalesce({c}, 'Unknown') AS level, avg(units_sold) AS code FROM training GROUP BY 2" for c in CATEGORICAL),
           "code"),
@@ -35,5 +44,13 @@ QUERIES = [
           f"""SELECT item_id, store_id, {', '.join(_PAST)}, CAST(days_since_last_sale AS DOUBLE) AS days_since_last_sale, snap_flag, weekday, week
               FROM features WHERE date = (SELECT origin FROM folds WHERE fold = 3) + 1""", " ".join(_PAST)),
     Query("o07_risk_metrics", _risk_metrics),
+    Query("o07_test_outcomes", lambda d: _risk_metrics(d).select(
+              "model", (F.col("tn") + F.col("fp")).alias("on_time"), (F.col("fn") + F.col("tp")).alias("late")),
+          """SELECT model, count(*) FILTER (late_order = 0) AS on_time, count(*) FILTER (late_order = 1) AS late
+             FROM (SELECT *, unnest(['logistic_regression', 'decision_tree', 'random_forest', 'boosted_trees']) AS model FROM delivery
+                   WHERE delivery_eligible AND order_date >= (
+                     SELECT order_date FROM (SELECT order_date, row_number() OVER (ORDER BY order_date) - 1 AS place, count(*) OVER () AS n
+                                             FROM (SELECT DISTINCT order_date FROM delivery WHERE delivery_eligible))
+                     WHERE place = CAST(floor(0.8::DOUBLE * n) AS BIGINT))) GROUP BY 1"""),
     Query("o09_feature_importance", lambda d: d.risk[1]),
 ]

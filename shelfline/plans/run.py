@@ -18,32 +18,31 @@ from shelfline.sources import sinks
 
 
 def compare_models(
-    sales: DataFrame, features: DataFrame, calendar: DataFrame, folds: list[forecast.Fold], settings: Settings,
-    with_learned: bool,
+    sales: DataFrame, calendar: DataFrame, folds: list[forecast.Fold], settings: Settings, with_learned: bool,
 ) -> DataFrame:
     """Backtest rows of the baselines and, if wanted, of the learned model trained anew per fold."""
     rows = forecast.backtest(sales, folds, settings.fold_days)
     if not with_learned:
         return rows
-    scales = rows.filter("model = 'naive' AND horizon = 1").select(*panel.SERIES, "fold", "split_role", "scale")
-    actuals = forecast.actual_units(sales, folds[0].origin)
-    for fold in folds:
-        predicted = learned.learned_forecast(features, sales, calendar, fold.origin, settings.fold_days, settings)
-        own = predicted.join(scales.filter(F.col("fold") == fold.number), panel.SERIES)
-        rows = rows.unionByName(forecast.join_actuals(own, actuals))
-    return rows
+    rows = materialize(rows, "baselines")
+    return rows.unionByName(learned.backtest_rows(rows, sales, calendar, folds, settings.fold_days, settings))
 
 
 def next_forecast(
-    sales: DataFrame, features: DataFrame, calendar: DataFrame, end, chosen: DataFrame, errors: DataFrame, settings: Settings,
+    sales: DataFrame, calendar: DataFrame, end, chosen: DataFrame, errors: DataFrame, settings: Settings,
 ) -> DataFrame:
     """The champion's forecast after the last day, whichever kind of model it is."""
+    forecast.require_calendar(calendar, end, settings.forecast_horizon)
     if chosen.first()["model"] == learned.NAME:
-        predicted = learned.learned_forecast(features, sales, calendar, end, settings.forecast_horizon, settings)
+        predicted = learned.learned_forecast(sales, calendar, end, settings.forecast_horizon, settings)
         return forecast.add_intervals(predicted, errors)
     return forecast.production_forecast(sales, end, chosen, errors, settings.forecast_horizon)
 
 
+# Facts are exported as Parquet only.
+FACTS = ("fact_lines", "fact_delivery", "fact_sell_price", "backtest", "test", "ledger", "order_profit")
+
+
 def run(
     wide: DataFrame, calendar: DataFrame, prices: DataFrame, raw_lines: DataFrame, out: str,
     settings: Settings = DEFAULTS, mode: str = "full", provenance: str = "source", with_learned: bool = True,
@@ -77,12 +76,12 @@ def run(
     performance = materialize(segments.segmentation(current, settings), "segments")
 
     folds = forecast.rolling_folds(end, settings)
-    backtest = materialize(compare_models(sales, features, calendar, folds, settings, with_learned), "backtest")
+    backtest = materialize(compare_models(sales, calendar, folds, settings, with_learned), "backtest")
     metrics = forecast.model_metrics(backtest).unionByName(forecast.portfolio_metrics(backtest))
     chosen = materialize(forecast.champion(metrics), "champion")
     test = materialize(forecast.selected_test(backtest, chosen, settings), "test")
     errors = forecast.pretest_errors(backtest, chosen, settings)
-    future = materialize(next_forecast(sales, features, calendar, end, chosen, errors, settings), "future")
+    future = materialize(next_forecast(sales, calendar, end, chosen, errors, settings), "future")
 
     def assumed(history: DataFrame) -> DataFrame:
         return policy.create_assumptions(history, settings)
@@ -127,7 +126,7 @@ def run(
         scores, weights = risk.fit_risk_models(delivery, settings)
         tables.update(delivery_risk_metrics=risk.risk_metrics(scores), delivery_risk_weights=weights)
     for name, df in tables.items():
-        sinks.export(df, name, out)
+        (sinks.export_large if name in FACTS else sinks.export)(df, name, out)
     exported = {name: spark.read.schema(df.schema).parquet(f"{out}/{name}.parquet") for name, df in tables.items()}
 
     checked = {**exported, "sales": sales, "lines": exported["fact_lines"], "delivery": exported["fact_delivery"],

@@ -14,11 +14,10 @@ class Settings:
     sample_series: int = 24
     selection_days: int = 90
     training_days: int = 365
-    max_training_rows: int = 500_000
     minimum_history_days: int = 180
 
     # Learners.
-    boosting_rounds: int = 120
+    boosting_rounds: int = 40
     forest_trees: int = 100
     classifier_rounds: int = 100
 

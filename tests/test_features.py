@@ -98,7 +98,7 @@ def test_training_sample_is_exact_and_stable(data):
 
 def test_learned_forecast_ignores_the_future_and_is_not_negative(data):
     fold, few = data.folds[-1], Settings(boosting_rounds=3)
-    model = learned.train_model(data.features, fold.origin, few)
+    model = learned.train_model(data.sales, fold.origin, few)
     later = data.sales.withColumn("units_sold", F.when(F.col("date") > F.lit(fold.origin), 999).otherwise(F.col("units_sold")))
     a, b = (learned.forecast_recursively(model, s, data.calendar, fold.origin, 5) for s in (data.sales, later))
     assert a.exceptAll(b).count() == 0

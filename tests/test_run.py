@@ -30,7 +30,7 @@ def test_run(data, tmp_path):
 
 def test_learned_model_is_a_candidate(data):
     folds = data.folds[-1:]
-    rows = compare_models(data.sales, data.features, data.calendar, folds, Settings(boosting_rounds=2), with_learned=True)
+    rows = compare_models(data.sales, data.calendar, folds, Settings(boosting_rounds=2), with_learned=True)
     counts = {r["model"]: r["count"] for r in rows.groupBy("model").count().collect()}
     assert len(counts) == 5 and len(set(counts.values())) == 1
     assert rows.filter("model = 'global_model' AND (error IS NULL OR scale IS NULL AND fold <> 3)").count() == 0
