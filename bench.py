@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfline.plans.catalog import CATALOG  # noqa: E402
 from shelfline.plans.data import Data  # noqa: E402
-from shelfline.session import local_session  # noqa: E402
+from shelfline.session import local_session, release  # noqa: E402
 
 BUILDS = ("sold", "prices", "sales", "cleaned", "delivery", "backtest", "champion", "test", "future", "policy",
           "pretest_policy", "ledger", "kpis")
@@ -48,6 +48,7 @@ def main() -> None:
         started = time.perf_counter()
         CATALOG[name].run(spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    release(spark)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import dimensions, forecast, learned, panel, policy, quality, replay, risk, segments
 from shelfline.operators import orders as orders_ops
 from shelfline.operators.features import add_features
-from shelfline.session import materialize, tune
+from shelfline.session import last_change, materialize, tune
 from shelfline.settings import DEFAULTS, Settings
 from shelfline.sources import testdata
 from shelfline.sources.readers import admit_order_columns
@@ -26,7 +26,7 @@ def stored(partition_by: tuple[str, ...] = ()):
 
     def decorate(build: Callable[[Data], DataFrame]):
         def get(self: Data) -> DataFrame:
-            key = (self.spark.sparkContext.applicationId, self.folder, self.settings, build.__name__)
+            key = (*self.source, self.settings, build.__name__)
             if key not in _BUILT:
                 _BUILT[key] = materialize(build(self), build.__name__, partition_by)
             return _BUILT[key]
@@ -47,6 +47,11 @@ class Data:
     def __init__(self, spark: SparkSession, folder: str, settings: Settings = DEFAULTS):
         self.spark, self.folder, self.settings = tune(spark), folder, settings
 
+    @cached_property
+    def source(self) -> tuple[str, str, int]:
+        """What stored tables belong to: the application, the folder, and the state of the folder's files."""
+        return self.spark.sparkContext.applicationId, self.folder, last_change(self.spark, self.folder)
+
     @cached_property
     def dates(self) -> tuple[dt.date, dt.date]:
         return testdata.date_range(self.spark, self.folder)
@@ -261,7 +266,7 @@ class Data:
     @property
     def risk(self) -> tuple[DataFrame, DataFrame]:
         """(scores, feature weights) of the late-delivery models, fitted once."""
-        key = (self.spark.sparkContext.applicationId, self.folder, self.settings, "risk")
+        key = (*self.source, self.settings, "risk")
         if key not in _BUILT:
             _BUILT[key] = risk.fit_risk_models(self.delivery, self.settings)
         return _BUILT[key]

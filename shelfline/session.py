@@ -43,7 +43,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach. A temporary one is made only on a local master."""
+    """The folder every executor can reach, which the session names in `spark.checkpoint.dir`. Where it names none, a folder is
+    made only on a local master, whose executors are this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
@@ -54,6 +55,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _files(spark: SparkSession, folder: str):
+    """The folder's path and file system, whatever store it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def last_change(spark: SparkSession, folder: str) -> int:
+    """When the newest entry of a folder was written, in milliseconds; 0 for an empty one."""
+    path, files = _files(spark, folder)
+    return max((entry.getModificationTime() for entry in files.listStatus(path)), default=0)
+
+
+def own_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this application. Tables that read them can't be used any more."""
+    path, files = _files(spark, own_folder(spark))
+    files.delete(path, True)
+
+
 def materialize(df: DataFrame, name: str = "step", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write `df` as Parquet to the shared folder and return a scan of it.
 
@@ -61,7 +85,7 @@ def materialize(df: DataFrame, name: str = "step", partition_by: tuple[str, ...]
     real file sizes to choose their joins by.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     if partition_by:
         # Gathers small partitions and splits a folder that holds much more than the others.
         df = df.hint("rebalance", *partition_by)

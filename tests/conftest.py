@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from shelfline.session import local_session  # noqa: E402
+from shelfline.session import local_session, release  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
     session = local_session(8, partitions=4, spark__sql__warehouse__dir=str(folder / "warehouse"),
                             spark__checkpoint__dir=str(folder / "checkpoints"))
     yield session
+    release(session)
     session.stop()
 
 
