@@ -78,18 +78,18 @@ def average_percent_ranked(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probabilities: dict[str, float]
+    df: DataFrame, groups: Sequence[str], value: str, probabilities: dict[str, float], count: str | None = None
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group, one column per entry of `probabilities`.
 
     The built-in `percentile` keeps every distinct value of a group in one buffer. Here equal values
     are counted first and the counts are accumulated along (groups, value) in ranges, so a group may
-    be larger than a task. Group columns must not be null.
+    be larger than a task. Group columns must not be null. `count` names a column that says how
+    often a row's value occurs, if the values come counted.
     """
     groups = list(groups)
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    )
+    times = F.sum(count) if count else F.count(F.lit(1))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(times.alias("_n"))
     placed = _ranges(counted, [F.col(c).asc() for c in [*groups, value]], None)
     per_range = placed.groupBy(*groups, BUCKET).agg(F.sum("_n").alias("_in_range"))
     # At most one row per range and group enters these windows.

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from shelfline.functions.columns import holds
 from shelfline.operators.ordered import exact_quantiles
+from shelfline.session import materialize
 
 # Words that mark a column as personal.
 PERSONAL_WORDS = ("customer_id", "customer_fname", "customer_lname", "phone", "password", "email", "street", "zip")
@@ -202,27 +203,29 @@ def table_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
 
     base = df.agg(F.array(*[F.struct(*facts(c)) for c in columns]).alias("facts")).select(F.inline("facts"))
 
-    # Distinct values: (column, value) pairs spread over all tasks, however skewed one value is.
+    # Each column's values, counted: pairs of column and value spread over all tasks, however skewed one value is. Distinct
+    # values, quartiles and outliers all come from this one table.
     cells = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), number.get(c, none.cast("double")).alias("number"))
+        for c in columns
     ])).alias("cell")).select("cell.*").filter("value IS NOT NULL")
-    distinct = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("unique_values")
-    )
-
+    counted = materialize(
+        cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"), F.first("number").alias("number")), "profile")
+    distinct = counted.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_values"))
     profile = base.join(distinct, "column_name", "left").withColumn(
         "unique_values", F.coalesce("unique_values", F.lit(0).cast("long"))
     )
     if numeric:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), number[c].alias("value")) for c in numeric
-        ])).alias("cell")).select("cell.*")
-        q = exact_quantiles(long, ["column_name"], "value", {"q1": 0.25, "q3": 0.75})
+        numbers = counted.filter("number IS NOT NULL")
+        q = exact_quantiles(numbers, ["column_name"], "number", {"q1": 0.25, "q3": 0.75}, count="n")
         spread = 1.5 * (F.col("q3") - F.col("q1"))
-        outliers = long.join(F.broadcast(q), "column_name").groupBy("column_name").agg(  # one row per column
-            F.count_if((F.col("value") < F.col("q1") - spread) | (F.col("value") > F.col("q3") + spread)).alias("outliers_iqr")
-        )
+        outside = (F.col("number") < F.col("q1") - spread) | (F.col("number") > F.col("q3") + spread)
+        outliers = numbers.join(F.broadcast(q), "column_name").groupBy("column_name").agg(  # one row per column
+            F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers_iqr"))
         profile = profile.join(outliers, "column_name", "left")
+        # A numeric column without a value has no outliers.
+        profile = profile.withColumn("outliers_iqr", F.when(
+            F.col("column_name").isin(numeric), F.coalesce("outliers_iqr", F.lit(0).cast("long"))))
     else:
         profile = profile.withColumn("outliers_iqr", none.cast("long"))
     repeats = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).agg(F.struct(

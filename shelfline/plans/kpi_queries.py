@@ -10,6 +10,7 @@ from shelfline.plans import kpis, marts
 from shelfline.plans.data import Data
 from shelfline.plans.order_queries import _stacked
 from shelfline.plans.query import Query
+from shelfline.session import materialize
 
 
 def _tables(d: Data) -> dict:
@@ -131,7 +132,7 @@ def _recommendations(d: Data):
     rounded = lambda df, *names: df.withColumns({n: F.round(n, 9) for n in names})
     return kpis.recommendations(
         rounded(d.policy, "stockout_probability"), segment_metrics(d.test, d.pretest_segments), d.segments, _segment_profiles(d),
-        orders.delivery_summary(d.delivery), orders.profit_summary(d.lines), d.kpis, d.settings.default_service_level, "driver_tables",
+        materialize(orders.delivery_summary(d.delivery), "delivery_summary"), materialize(orders.profit_summary(d.lines), "profit_summary"), d.kpis, d.settings.default_service_level, "driver_tables",
     )
 
 
