@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.text import Block, blocks, column, mix, prepare, span_hash
 
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 KEYS_PER_BUCKET = 4
 
 # The code points of Unicode's White_Space property.

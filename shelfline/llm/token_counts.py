@@ -20,7 +20,7 @@ from shelfline.llm.text import blocks, column, prepare
 from shelfline.session import materialize, shared_folder
 
 SEPARATOR = 50256
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 
 def _pin_splits(spark: SparkSession) -> None:
@@ -55,8 +55,9 @@ def write_flat(docs: DataFrame, path: str, vocabulary: str) -> None:
 def read_blocks(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """file (its path), block (its number in the file), payload: the files of a folder, cut without regard to documents."""
     whole = spark.read.format("binaryFile").load(path).filter("length > 0")
-    cut = F.expr(f"transform(sequence(0, (length - 1) div {block_bytes}), i -> substring(content, cast(i * {block_bytes} + 1 as int), {block_bytes}))")
-    return whole.select(F.col("path").alias("file"), F.posexplode(cut).alias("block", "payload"))
+    # Each block is taken from the file's bytes as it is handed on; there is never a second copy of the file.
+    numbered = whole.select("path", "content", F.explode(F.expr(f"sequence(0, cast((length - 1) div {block_bytes} as int))")).alias("block"))
+    return numbered.select(F.col("path").alias("file"), "block", F.expr(f"substring(content, block * {block_bytes} + 1, {block_bytes})").alias("payload"))
 
 
 def scan(pieces: DataFrame, separator: int = SEPARATOR) -> DataFrame:
