@@ -18,7 +18,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.joins import packed, unpacked
 from shelfline.llm.text import Block, blocks, column, distinct, prepare, span_hash
 from shelfline.session import materialize
 
@@ -200,9 +199,16 @@ def classify(docs: DataFrame, labels: DataFrame, categories: list[str] | None =
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that are not toxic, with all their columns."""
-    gone = materialize(
-        classify(docs, labels).filter("toxic").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "toxic")
-    key = F.xxhash64("__row.text")
-    return unpacked(packed(docs).join(
-        gone, F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti"))
+    """The rows of `docs` that are not toxic, with all their columns. Each is judged where it is read; nothing is shuffled."""
+    chain = train(docs, labels)
+    if chain is None:
+        return docs
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(chain)  # FEATURES weights a category
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [(shared.value.predict(block) < THRESHOLD).all(0) for block in blocks(batch)]
+            yield batch.filter(pa.array(np.concatenate(kept))) if kept else batch
+
+    return docs.mapInArrow(work, docs.schema)
