@@ -1,14 +1,16 @@
-"""A bigram language model in a log-frequency Bloom filter.
-
-Tokens and bigrams of all training texts are counted by Spark. Tokens that make up at least one 2**20th of the training
-tokens, of which there can be no more than 2**20, go to the workers with their counts; bigrams that make up at least one
-2**18th go into the Bloom filter, each once per step of its count on a logarithmic scale, so the count is read back by
-probing steps until one is absent. Both bounds hold for a corpus of any size, and the shares mean the same at every size.
-The counts of all other tokens stay in a table that their (document, token) pairs are joined with.
-
-With c exact counts, q the filter's lower step of a bigram's count and S(v) the sum of q over the bigrams of v that are held:
-P(w | v) = q(v, w) / (c(v) + D) + (c(v) - S(v) + D) / (c(v) + D) * (c(w) + 1) / (N + V + 1).
-Over all words this adds up to no more than one; an absent bigram is taken for present with the filter's error rate.
+"""A bigram language model: a log-frequency Bloom filter of the frequent bigrams, exact counts of all others.
+
+Tokens and bigrams of all training texts are counted by Spark, and every bigram is part of the model. Tokens that make up at
+least one 2**20th of the training tokens, of which there can be no more than 2**20, go to the workers with their counts;
+bigrams that make up at least one 2**18th go into the Bloom filter, each once per step of its count on a logarithmic scale, so
+the count is read back by probing steps until one is absent. The shares only say what is looked up in a worker: the counts of
+all other tokens and bigrams stay in tables that the (document, token) and (document, bigram) pairs are joined with.
+
+With c exact counts, q(v, w) a bigram's count (for those in the filter, the lower step of it) and S(v) the sum of q over v's
+bigrams: P(w | v) = q(v, w) / (c(v) + D) + (c(v) - S(v) + D) / (c(v) + D) * (c(w) + 1) / (N + V + 1).
+Over all words this adds up to no more than one; a bigram that isn't in the filter is taken for one with the filter's error rate.
+Every word of a text has a successor, so c(v) - S(v) is what rounding takes from v's bigrams in the filter, and log10 P is a sum
+over tokens and bigrams: log10 share(w) + log10((c(v) - S(v) + D) / (c(v) + D)) + log10(1 + q / ((c(v) - S(v) + D) share(w))).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,9 @@ SMOOTHING = 8.0
 STEP = 2 ** 0.25
 PROBES, BITS_PER_ENTRY = 7, 12
 END = np.uint64(0x5851F42D4C957F2D)
+LIGHT = np.uint64(1 << 63)
+UNIT = float(1 << 20)
+"""What bigrams add is summed in whole 2**20ths, so the order of the sum doesn't matter."""
 _SECOND = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -138,63 +144,106 @@ class Filter:
 
 
 class Model:
-    """What every worker gets: at most TOKEN_SHARE tokens with counts, the filter, and the held mass of its contexts."""
+    """What every worker gets: at most TOKEN_SHARE tokens with counts, the filter, and per token what rounding took from its bigrams."""
 
-    def __init__(self, total: int, distinct: int, heavy: Table, bigrams: Filter, held: Table):
-        self.total, self.distinct, self.heavy, self.bigrams, self.held = total, distinct, heavy, bigrams, held
+    def __init__(self, total: int, distinct: int, heavy: Table, bigrams: Filter, lost: np.ndarray):
+        self.total, self.distinct, self.heavy, self.bigrams, self.lost = total, distinct, heavy, bigrams, lost
+        self.least = bigrams.least
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1.0) / (self.total + self.distinct + 1.0)
 
-    def score(self, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per token: whether its count is known here, that count, log10 of its base share (0 if unknown here), and what the
-        model adds to that log10."""
-        known, count = self.heavy.find(keys)
+    def room(self, places: np.ndarray) -> np.ndarray:
+        """c(v) - S(v) + D by the place of v, -1 for tokens that are not here: these have no bigram in the filter."""
+        if not len(self.lost):
+            return np.full(len(places), SMOOTHING)
+        return np.where(places >= 0, self.lost[places], 0.0) + SMOOTHING
+
+    def parts(self, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per token: its place or -1, log10 of its base share (0 if unknown here), and what is known here of what the model
+        adds to that log10; and which tokens have a bigram with the one before that is not in the filter."""
+        places = self.heavy.place(keys)
+        known, count = places >= 0, self.heavy.find(keys)[1]
         base = np.where(known, np.log10(self.base(count)), 0.0)
-        before = np.arange(len(keys)) - 1
-        before[first[:-1][np.diff(first) > 0]] = -1
-        context = np.where(before >= 0, known[before], False)
-        at = np.flatnonzero(context)
-        c = count[before[at]].astype(np.float64)
-        held = self.held.find(keys[before[at]])[1]
-        rest = (c - held + SMOOTHING) / (c + SMOOTHING)
         more = np.zeros(len(keys))
-        more[at] = np.log10(rest)
-        both = known[at]
-        if both.any():
-            places = at[both]
-            q = self.bigrams.read(pair(keys[before[places]], keys[places]))
-            q = np.minimum(q, c[both])
-            share = self.base(count[places])
-            more[places] = np.log10((q / (c[both] + SMOOTHING) + rest[both] * share) / share)
-        return known, count, base, more
-
-
-def counted(docs: DataFrame, contexts: Table | None) -> DataFrame:
-    """key and count c over the training texts: of tokens, or of the bigrams in `contexts`, by the places of both tokens."""
-    spark = docs.sparkSession
-    prepare(spark)
-    shared = spark.sparkContext.broadcast(contexts)
+        follows = np.ones(len(keys), bool)
+        follows[first[:-1][np.diff(first) > 0]] = False
+        at = np.flatnonzero(follows)
+        at = at[known[at - 1]]
+        c, room = count[at - 1].astype(np.float64), self.room(places[at - 1])
+        more[at] = np.log10(room / (c + SMOOTHING))
+        both = known[at] & (c >= self.least) & (count[at] >= self.least)
+        at, c, room = at[both], c[both], room[both]
+        q = self.bigrams.read(pair(keys[at - 1], keys[at]))
+        more[at] += np.log10(1.0 + np.minimum(q, c) / (room * self.base(count[at])))
+        follows[at[q > 0]] = False
+        return places, base, more, follows
+
+    def score(self, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per token: whether its count is known here, that count, and the parts of its score that are."""
+        places, base, more, _ = self.parts(keys, first)
+        return places >= 0, self.heavy.find(keys)[1], base, more
+
+
+def bigram_keys(keys: np.ndarray, places: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of the tokens `at` with the ones before: both places, or for tokens that workers don't hold a hash with the first bit set."""
+    left, right = places[at - 1], places[at]
+    both = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+    return np.where((left >= 0) & (right >= 0), both, pair(keys[at - 1], keys[at]) | LIGHT)
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """key and count c of the training texts' tokens."""
+    prepare(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, counts = shared.value, Counts()
+        counts = Counts()
         for batch in batches:
             for block in blocks(batch):
-                keys, first = tokens(block)
-                if table is not None:
-                    at = table.place(keys)
-                    both = (at[:-1] >= 0) & (at[1:] >= 0)
-                    both[first[1:-1] - 1] = False  # from one text's end to the next text
-                    both = np.flatnonzero(both)
-                    keys = (at[both] << 32 | at[both + 1]).astype(np.uint64)
-                keys, times = np.unique(keys, return_counts=True)
-                if counts.add(keys, times):
+                if counts.add(*np.unique(tokens(block)[0], return_counts=True)):
                     yield from counts.give()
         yield from counts.give()
 
     return docs.filter("not held_out").select("text").mapInArrow(work, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
+def counted_bigrams(docs: DataFrame, heavy: Table) -> DataFrame:
+    """key and count c of all bigrams of the training texts. Of a bigram with a token that `heavy` doesn't hold, `left` is the
+    place of its first token or -1, and `word` its second token; both are null for the others."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(heavy)
+    kind = "key long, c long, left int, word long"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, counts = shared.value, Counts()
+        for batch in batches:
+            for block in blocks(batch):
+                keys, first = tokens(block)
+                places = table.place(keys)
+                follows = np.ones(len(keys), bool)
+                follows[first[:-1]] = False
+                at = np.flatnonzero(follows)
+                bigrams = bigram_keys(keys, places, at)
+                light = bigrams >= LIGHT
+                if light.any():
+                    found, where, times = np.unique(bigrams[light], return_index=True, return_counts=True)
+                    where = at[light][where]
+                    yield pa.record_batch({
+                        "key": column(found), "c": column(times), "left": column(places[where - 1].astype(np.int32)),
+                        "word": column(keys[where])})
+                if counts.add(*np.unique(bigrams[~light], return_counts=True)):
+                    yield from (without_words(out) for out in counts.give())
+        yield from (without_words(out) for out in counts.give())
+
+    return docs.filter("not held_out").select("text").mapInArrow(work, kind).groupBy("key").agg(
+        F.sum("c").alias("c"), F.max("left").alias("left"), F.max("word").alias("word"))
+
+
+def without_words(batch: pa.RecordBatch) -> pa.RecordBatch:
+    none = {"left": pa.nulls(batch.num_rows, pa.int32()), "word": pa.nulls(batch.num_rows, pa.int64())}
+    return pa.record_batch({"key": batch.column("key"), "c": batch.column("c")} | none)
+
+
 def collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The keys and counts of a table whose number of rows is bounded by a share."""
     table = rows.select("key", "c").toArrow()
@@ -203,16 +252,63 @@ def collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     """The model of the rows that are not held out, and the counts of all their tokens (key, c)."""
-    counts = materialize(counted(docs, None), "tokens")
+    model, counts, _ = fitted(docs)
+    return model, counts
+
+
+def fitted(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the counts of all tokens, and of all bigrams."""
+    counts = materialize(counted(docs), "tokens")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     heavy = Table(*collected(counts.filter(F.col("c") >= total / TOKEN_SHARE)))
     least = total / BIGRAM_SHARE
-    contexts = Table(heavy.keys[heavy.values >= least], heavy.values[heavy.values >= least])
-    places, times = collected(counted(docs, contexts).filter(F.col("c") >= least))
+    pairs = materialize(counted_bigrams(docs, heavy), "bigrams")
+    # A bigram's tokens have its count at least, so those of the frequent ones are in `heavy`.
+    places, times = collected(pairs.filter((F.col("c") >= least) & F.col("word").isNull()))
     left, right = (places >> np.uint64(32)).astype(np.int64), (places & np.uint64((1 << 32) - 1)).astype(np.int64)
-    bigrams = Filter(pair(contexts.keys[left], contexts.keys[right]), times, least)
-    held = np.bincount(left, bigrams.value(bigrams.steps(times)), minlength=len(contexts.keys))
-    return Model(total, distinct, heavy, bigrams, Table(contexts.keys, held)), counts
+    bigrams = Filter(pair(heavy.keys[left], heavy.keys[right]), times, least)
+    lost = np.bincount(left, times - bigrams.value(bigrams.steps(times)), minlength=len(heavy.keys))
+    return Model(total, distinct, heavy, bigrams, lost), counts, pairs
+
+
+def gains(pairs: DataFrame, counts: DataFrame, model: Model, shared: Broadcast) -> DataFrame:
+    """key and gain of all bigrams that are not in the filter: what each adds to log10 of a share, in whole 2**20ths."""
+    kind = "key long, c long, room double, word long, gain long"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            key = batch.column("key").to_numpy().view(np.uint64)
+            c = batch.column("c").to_numpy()
+            word = batch.column("word").fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            left = batch.column("left").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            light = key >= LIGHT
+            places = np.where(light, left, (key >> np.uint64(32)).astype(np.int64))
+            right = np.where(light, -1, (key & np.uint64((1 << 32) - 1)).astype(np.int64))
+            right[light] = model.heavy.place(word[light])
+            room, known = model.room(places), right >= 0
+            count = model.heavy.values[right] if len(model.heavy.values) else np.zeros(len(right))
+            gain = np.rint(UNIT * np.log10(1.0 + c / (room * model.base(count)))).astype(np.int64)
+            # Words known here get a key that no other row has, so none gathers many rows.
+            yield pa.record_batch({
+                "key": column(key), "c": column(c), "room": column(room), "word": column(np.where(known, key, word)),
+                "gain": pa.array(gain, pa.int64(), mask=~known)})
+
+    rare = pairs.filter((F.col("c") < model.total / BIGRAM_SHARE) | F.col("word").isNotNull())
+    known = rare.filter("word IS NULL").mapInArrow(work, kind).select("key", "gain")
+    words = counts.filter(F.col("c") < model.total / TOKEN_SHARE).select(F.col("key").alias("word"), F.col("c").alias("_c"))
+    share = (F.col("_c") + 1) / F.lit(float(model.total + model.distinct + 1))
+    other = rare.filter("word IS NOT NULL").mapInArrow(work, kind).join(words, "word", "left").select(
+        "key", F.coalesce("gain", F.rint(F.log10(1 + F.col("c") / (F.col("room") * share)) * UNIT).cast("long")).alias("gain"))
+    return known.unionByName(other)
+
+
+def lists(chosen: np.ndarray, values: np.ndarray, first: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Each text's distinct values, those of its `chosen` tokens, and how often it has each."""
+    begin = np.concatenate([[0], np.cumsum(np.add.reduceat(chosen.astype(np.int64), first[:-1]))])
+    found, times, begin = distinct(values, begin)
+    bounds = pa.array(begin, pa.int32())
+    return pa.ListArray.from_arrays(bounds, column(found)), pa.ListArray.from_arrays(bounds, column(times.astype(np.int32)))
 
 
 def score(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
@@ -224,7 +320,7 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(crc_of(F.col("doc_id")) % folds == held_out, F.lit(False)).alias("held_out"), "text")
-    model, counts = fit(rows)
+    model, counts, bigrams = fitted(rows)
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
 
@@ -232,31 +328,36 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2) -> DataFrame:
         for batch in batches:
             for block in blocks(batch):
                 keys, first = tokens(block)
-                known, _, base, more = shared.value.score(keys, first)
+                places, base, more, follows = shared.value.parts(keys, first)
+                known = places >= 0
                 sums = lambda x: np.add.reduceat(x, first[:-1])  # noqa: B023, E731  every text has a token
                 total_base = sums(base)
-                begin = np.concatenate([[0], np.cumsum(sums((~known).astype(np.int64)))])
-                rare, times, begin = distinct(keys[~known], begin)
-                bounds = pa.array(begin, pa.int32())
+                rare, times = lists(~known, keys[~known], first)
+                pairs, pair_times = lists(follows, bigram_keys(keys, places, np.flatnonzero(follows)), first)
                 yield pa.record_batch({
                     "doc_id": batch.column("doc_id").slice(block.first, block.n),
                     "held_out": batch.column("held_out").slice(block.first, block.n),
                     "n_tokens": column(np.diff(first).astype(np.int64)), "n_known": column(sums(known.astype(np.int64))),
                     "base_score": column(total_base), "score": column(total_base + sums(more)),
-                    "rare": pa.ListArray.from_arrays(bounds, column(rare)),
-                    "times": pa.ListArray.from_arrays(bounds, column(times.astype(np.int32)))})
+                    "rare": rare, "times": times, "pairs": pairs, "pair_times": pair_times})
 
     scored = materialize(
         rows.mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-                              "rare array<long>, times array<int>").withColumn("row", F.monotonically_increasing_id()), "scored")
-    pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("t")).select(
-        "row", F.col("t.rare").alias("key"), F.col("t.times").alias("n"))
-    # No key here has more than one 2**20th of the training tokens.
-    share = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.total + model.distinct + 1)))
-    rest = pairs.join(counts.filter(F.col("c") < model.total / TOKEN_SHARE), "key", "left").groupBy("row").agg(
-        F.sum(F.col("n") * share).alias("rest"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"))
-    rest_score = F.coalesce("rest", F.lit(0.0))
-    return scored.drop("rare", "times").join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base_score") + rest_score).alias("base_score"),
-        (F.col("score") + rest_score).alias("score"))
+                              "rare array<long>, times array<int>, pairs array<long>, pair_times array<int>")
+        .withColumn("row", F.monotonically_increasing_id()), "scored")
+    each = lambda keys, times: scored.select("row", F.explode(F.arrays_zip(keys, times)).alias("t")).select(
+        "row", F.col(f"t.{keys}").alias("key"), F.col(f"t.{times}").alias("n"))
+    # No token here has more than one 2**20th of the training tokens, no bigram more than one 2**18th.
+    count = F.coalesce("c", F.lit(0))
+    share = F.log10((count + 1) / F.lit(float(model.total + model.distinct + 1)))
+    room = F.when(F.col("key") == F.lit(int(END.view(np.int64))), 0.0).otherwise(F.log10(F.lit(SMOOTHING) / (count + SMOOTHING)))
+    light = each("rare", "times").join(counts.filter(F.col("c") < model.total / TOKEN_SHARE), "key", "left").groupBy("row").agg(
+        F.sum(F.col("n") * share).alias("rest"), F.sum(F.col("n") * room).alias("more"),
+        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"))
+    gained = each("pairs", "pair_times").join(gains(bigrams, counts, model, shared), "key").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("gain")).alias("gained"))
+    none = lambda c: F.coalesce(c, F.lit(0))
+    return scored.drop("rare", "times", "pairs", "pair_times").join(light, "row", "left").join(gained, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + none("more_known")).alias("n_known"),
+        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base_score") + none("rest")).alias("base_score"),
+        (F.col("score") + none("rest") + none("more") + none("gained") / UNIT).alias("score"))

@@ -78,6 +78,29 @@ def test_probabilities_add_up_to_no_more_than_one(documents):
         assert (10 ** (base + more)[1::2]).sum() <= 1.02  # the filter's errors
 
 
+def whole_scores(rows):
+    """The model over exact counts of all bigrams."""
+    texts = [(str(i), held(i, 7, 2), tokens(t)) for i, t in rows]
+    ones = Counter(w for _, apart, t in texts if not apart for w in t)
+    twos = Counter(p for _, apart, t in texts if not apart for p in zip(t, t[1:]))
+    n, v, d = sum(ones.values()), len(ones), bloom_lm.SMOOTHING
+    share = lambda w: (ones[w] + 1) / (n + v + 1)
+    return sorted((i, sum(log10(share(w)) for w in t) + sum(
+        log10((twos[a, b] + d * share(b)) / (ones[a] + d) / share(b)) for a, b in zip(t, t[1:]))) for i, _, t in texts)
+
+
+@pytest.mark.parametrize("token_share", [1 << 20, 300, 1])
+def test_every_bigram_counts_however_rare(small, documents, odd_rows, monkeypatch, token_share):
+    monkeypatch.setattr(bloom_lm, "TOKEN_SHARE", token_share)
+    monkeypatch.setattr(bloom_lm, "BIGRAM_SHARE", 1)  # none is frequent
+    rows = [(r.doc_id, r.text) for r in small[0].select("doc_id", "text").limit(60).collect()]
+    for given in (rows, odd_rows):
+        got = sorted((str(g.doc_id), g.score) for g in bloom_lm.score(documents(given)).collect())
+        want = whole_scores(given)
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-3)
+
+
 def test_filter_reads_back_the_steps_of_its_counts():
     keys = bloom_lm.mix(np.arange(1, 5001, dtype=np.uint64))
     counts = np.random.default_rng(0).integers(10, 100000, 5000)
