@@ -9,7 +9,7 @@ Within each pattern and source documents are then taken in seeded order, as ofte
 
 from __future__ import annotations
 
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +22,6 @@ from shelfline.llm.text import blocks, column, prepare
 from shelfline.session import materialize
 
 MOST, SEED, BIN_BITS = 3, 17, 10
-PATTERNS = 256
-"""Patterns of several sources that are nodes of the flow, the largest; texts of others count for their own source alone,
-which changes what a repetition costs but no quota and no document."""
 NEAR, ROUNDS = 0.002, 8
 
 
@@ -116,7 +113,10 @@ def route(cells: dict[tuple[str, int], int], distinct: dict[str, int], quotas: l
     for s, quota in enumerate(quotas):
         net.arc(1 + len(patterns) + s, end, quota)
     supply = {p: net.arc(0, place[p], 0) for p in patterns}
-    most = max((MOST * sum(w for (q, _), w in cells.items() if q == p) / max(1, distinct[p]) for p in patterns), default=0)
+    whole = Counter()
+    for (p, _), words in cells.items():
+        whole[p] += words
+    most = max((MOST * whole[p] / max(1, distinct[p]) for p in patterns), default=0)
     given = 0
     while given < most:
         for p in patterns:
@@ -134,24 +134,26 @@ def take(rows: DataFrame, group: str, quotas: DataFrame, seed: int, wanted: Colu
     """Adds `chosen`: the `wanted` rows of each group in seeded order while their sizes add up to no more than its quota.
 
     The order's leading bits make bins. Whole bins below the group's last one are chosen by their totals; only the rows of the
-    last bin, one in a thousand, are ordered. `quotas`: one row per group, with `quota`.
+    last bin, one in a thousand, are ordered. `quotas`: one row per group, with `quota`, the group's number of rows `_rows`, and
+    columns that its rows get.
     """
     keyed = rows.withColumns({"_h": order(seed), "_wanted": wanted}).withColumn("_bin", F.shiftrightunsigned("_h", 64 - BIN_BITS))
     bins = keyed.filter("_wanted").groupBy(group, "_bin").agg(F.sum("size").alias("_words"))
     before = Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     last = (
-        bins.withColumn("_before", F.coalesce(F.sum("_words").over(before), F.lit(0))).join(F.broadcast(quotas), group)
+        bins.withColumn("_before", F.coalesce(F.sum("_words").over(before), F.lit(0))).join(quotas, group)
         .filter(F.col("_before") + F.col("_words") > F.col("quota"))
         .groupBy(group).agg(F.min(F.struct("_bin", "_before", "quota")).alias("_last")))
-    placed = keyed.join(F.broadcast(quotas.select(group)), group, "left_semi").join(F.broadcast(last), group, "left")
+    # There can be as many groups as the table has texts in several sources: only those with many rows are broadcast.
+    ends = materialize(quotas.drop("quota").join(last, group, "left"), "ends")
+    placed = join_counted(keyed, ends, group, "_rows", total(ends, "_rows"))
     at_last = F.coalesce(F.col("_bin") == F.col("_last._bin"), F.lit(False)) & F.col("_wanted")
     running = Window.partitionBy(group).orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = placed.filter(at_last).withColumn("chosen", F.sum("size").over(running) + F.col("_last._before") <= F.col("_last.quota"))
     whole = placed.filter(~at_last).withColumn(
         "chosen", F.col("_wanted") & (F.col("_last").isNull() | (F.col("_bin") < F.col("_last._bin"))))
-    other = rows.join(F.broadcast(quotas.select(group)), group, "left_anti").withColumn("chosen", F.lit(False))
-    columns = [*rows.columns, "chosen"]
-    return edge.select(columns).unionByName(whole.select(columns)).unionByName(other.select(columns))
+    columns = [*rows.columns, *(c for c in quotas.columns if c not in (group, "quota", "_rows")), "chosen"]
+    return edge.select(columns).unionByName(whole.select(columns))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -179,7 +181,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     Sources in code point order, null last, have the weights 1, 2, 3, repeating. `taken` is 0 or a multiple of the size up to
     MOST. A source of empty texts has the target 0. Equal ids and texts are ordered alike, so reruns agree. Other columns are
-    not read. The driver holds one row per source and at most PATTERNS patterns, never documents.
+    not read. The driver holds one row per source and one per pattern and source, never documents.
     """
     spark = docs.sparkSession
     base = materialize(measured(docs), "sized")
@@ -192,36 +194,32 @@ def mixed(docs: DataFrame) -> DataFrame:
         [(r["source"], i, sizes[i], goals[i]) for i, r in enumerate(found)], "_name string, s int, source_size long, target double")
     rows = base.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
 
-    # Which sources hold a text; only texts in several matter.
+    # Which sources hold a text.
     shared = materialize(
         rows.groupBy("digest").agg(F.sort_array(F.collect_set("s")).alias("p"), F.count("*").alias("n"), F.first("size").alias("one"))
         .withColumn("p", F.concat_ws(",", "p")), "shared")
-    largest = shared.filter(F.col("p").contains(",")).groupBy("p").agg(F.sum("one").alias("words")).orderBy(F.desc("words"), "p").limit(PATTERNS)
-    largest = materialize(largest, "patterns")
-    named = join_counted(rows, shared, "digest", "n", total(shared, "n")).drop("n", "one").join(
-        F.broadcast(largest.select("p", F.lit(True).alias("_node"))), "p", "left")
-    single = F.col("s").cast("string")
-    rows = materialize(named.withColumn("p", F.when(F.col("_node"), F.col("p")).otherwise(single)).drop("_node")
+    distinct = {r["p"]: r["words"] for r in shared.groupBy("p").agg(F.sum("one").alias("words")).collect()}
+    rows = materialize(join_counted(rows, shared, "digest", "n", total(shared, "n")).drop("n", "one")
                        .withColumn("cell", F.concat_ws("|", "p", "s")), "cells")
-    cells = {(r["p"], r["s"]): r["w"] for r in rows.groupBy("p", "s").agg(F.sum("size").alias("w")).collect()}
-    distinct = {r["p"]: r["words"] for r in largest.collect()}
-    distinct |= {p: w for (p, s), w in cells.items() if p == str(s)}
+    held = rows.groupBy("p", "s").agg(F.sum("size").alias("w"), F.count("*").alias("n")).collect()
+    cells = {(r["p"], r["s"]): r["w"] for r in held}
     flow = route(cells, distinct, [round(g) for g in goals])
 
-    whole = spark.createDataFrame(
-        [(f"{p}|{s}", (w // cells[p, s]) if cells[p, s] else 0, w % cells[p, s] if cells[p, s] else 0) for (p, s), w in flow.items()],
-        "cell string, times long, quota long")
+    whole = materialize(spark.createDataFrame(
+        [(f"{r['p']}|{r['s']}", *(divmod(flow[r["p"], r["s"]], r["w"]) if r["w"] else (0, 0)), r["n"]) for r in held],
+        "cell string, times long, quota long, _rows long"), "quotas")
     some = F.col("size") > 0
-    picked = take(rows, "cell", whole.select("cell", "quota"), SEED, some).join(F.broadcast(whole.select("cell", "times")), "cell")
-    rows = materialize(picked.withColumn("n", F.col("times") + F.col("chosen").cast("long")).drop("times", "chosen", "cell", "p"), "picked")
+    picked = take(rows.drop("p"), "cell", whole, SEED, some)
+    rows = materialize(picked.withColumn("n", F.col("times") + F.col("chosen").cast("long")).drop("times", "chosen", "cell"), "picked")
     for turn in range(ROUNDS):
-        gaps = [(r["s"], round(goals[r["s"]]) - r["w"]) for r in rows.groupBy("s").agg(F.sum(F.col("n") * F.col("size")).alias("w")).collect()]
-        gaps = [(s, g) for s, g in gaps if g > NEAR * goals[s]]
-        if not gaps:
+        now = rows.groupBy("s").agg(F.sum(F.col("n") * F.col("size")).alias("w"), F.count("*").alias("rows")).collect()
+        gaps = [(r["s"], round(goals[r["s"]]) - r["w"], r["rows"]) for r in now]
+        gaps = [(s, g if g > NEAR * goals[s] else 0, n) for s, g, n in gaps]
+        if not any(g for _, g, _ in gaps):
             break
-        left = spark.createDataFrame(gaps, "s int, quota long")
-        fits = rows.join(F.broadcast(left.withColumnRenamed("quota", "_gap")), "s", "left")
-        more = take(fits, "s", left, SEED + 1 + turn, some & (F.col("size") <= F.coalesce("_gap", F.lit(0))) & (F.col("n") < MOST))
+        left = spark.createDataFrame(gaps, "s int, quota long, _rows long")
+        fits = rows.join(F.broadcast(left.select("s", F.col("quota").alias("_gap"))), "s")
+        more = take(fits, "s", left, SEED + 1 + turn, some & (F.col("size") <= F.col("_gap")) & (F.col("n") < MOST))
         rows = materialize(more.withColumn("n", F.col("n") + F.col("chosen").cast("long")).drop("chosen", "_gap"), "filled")
     return rows.select("doc_id", "source", "digest", "size", "source_size", "target", (F.col("n") * F.col("size")).alias("taken"))
 

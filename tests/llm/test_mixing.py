@@ -71,6 +71,37 @@ def test_mix_of_overlapping_sources(documents):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+def test_every_pattern_is_a_node_of_the_flow(documents, monkeypatch):
+    r = random.Random(8)
+    held = [(f"text {i} " * r.randint(1, 9), p) for i, p in enumerate(
+        p for size in (1, 2, 3, 4, 5) for p in itertools.combinations(range(9), size) for _ in range(2 if size == 1 else 1))]
+    held += [(t, p * 3) for t, p in held[:4]]  # copies inside a source are not distinct words
+    rows = [(i, t, "abcdefghi"[s]) for i, (t, s) in enumerate((t, s) for t, p in held for s in p)]
+    sources, cells, distinct = {}, {}, {}
+    for _, t, s in rows:
+        sources.setdefault(t, set()).add("abcdefghi".index(s))
+    name = {t: ",".join(map(str, sorted(p, key=int))) for t, p in sources.items()}
+    for _, t, s in rows:
+        cell = name[t], "abcdefghi".index(s)
+        cells[cell] = cells.get(cell, 0) + len(t.split())
+    for t, p in name.items():
+        distinct[p] = distinct.get(p, 0) + len(t.split())
+    assert len(distinct) > 256 + 9
+    flow, route = {}, mixing.route
+
+    def watched(*given):
+        assert given[:2] == (cells, distinct)
+        return flow.setdefault(0, route(*given))
+
+    monkeypatch.setattr(mixing, "route", watched)
+    monkeypatch.setattr(mixing, "ROUNDS", 0)
+    got, taken = mixing.mixed(documents(rows)).collect(), dict.fromkeys(cells, 0)
+    for g in got:
+        _, t, s = rows[g.doc_id]
+        taken[name[t], "abcdefghi".index(s)] += g.taken
+    assert len(got) == len(rows) and all(0 <= flow[0][c] - w < 40 for c, w in taken.items())
+
+
 def test_the_mix_repeats_whole_rows(documents):
     docs = documents([(i, " ".join(f"w{i}x{j}" for j in range(20)), "ab"[i % 2]) for i in range(60)])
     plan = {g.doc_id: g.taken // g.size for g in mixing.mixed(docs).collect()}
