@@ -1,8 +1,9 @@
-"""Exact duplicates by a tree merge of sorted digest runs.
+"""Exact duplicates by rounds of aggregates over runs of digests.
 
-Each partition of the digest table is a run. In every round eight neighbouring runs exchange what they hold and merge: a
-digest keeps its smallest identifier and its count. A round's runs are written sorted to the shared folder, so a lost
-executor costs one round. Rounds: the logarithm to base 8 of the number of runs; each moves one row per digest and run.
+Each partition of the digest table is a run. Every round brings eight neighbouring runs together by an ordinary aggregate on
+(run, digest), shuffled by hash: a digest keeps its smallest identifier and its count. It is not a merge of sorted files: a run
+is spread over all tasks, and the order it is written in only packs it better. A round's runs are written to the shared folder,
+so a lost executor costs one round. Rounds: the logarithm to base 8 of the number of runs; each moves one row per digest and run.
 """
 
 from __future__ import annotations
