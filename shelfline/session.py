@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -94,4 +95,19 @@ def materialize(df: DataFrame, name: str = "step", partition_by: tuple[str, ...]
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     # The declared schema spares the footer-reading job.
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    vars(table)["_written_to"] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `materialize` has written, once their last reader is done, and lets Spark drop the shuffle files of
+    plans that nothing refers to any more. Lineage that reads such a table can't be computed again, so whatever was made from it
+    has to be written first."""
+    for table in tables:
+        if folder := vars(table).get("_written_to"):
+            path, files = _files(table.sparkSession, folder)
+            files.delete(path, True)
+    gc.collect()
+    for table in tables[:1]:
+        table.sparkSession._jvm.System.gc()
