@@ -181,3 +181,32 @@ def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[Block]:
 
 def column(values: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
     return pa.array(values.view(np.int64) if values.dtype == np.uint64 else values, kind)
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span, eight at a time, each step mixed before the next: no sequence of bytes is weak."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    length = ends - starts
+    out = mix(length.astype(np.uint64) + np.uint64(_BASE))
+    left, at = np.flatnonzero(length > 0), 0
+    while len(left):
+        rest = np.minimum(length[left] - at, 8)
+        chunk = eight[starts[left] + at] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * rest.astype(np.uint64)))
+        out[left] = mix(out[left] * np.uint64(_BASE) + mix(chunk + _CODES[1]))
+        at += 8
+        left = left[length[left] > at]
+    return out
+
+
+def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of values[start:end] of each range, the same wherever the range stands. Meant for short ranges of mixed values."""
+    up, down = _power_tables(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return _LOWER[data]
