@@ -96,13 +96,26 @@ def error_scale(sales: DataFrame) -> DataFrame:
 
 
 def training_sample(features: DataFrame, rows: int, seed: int) -> DataFrame:
-    """At most `rows` rows, chosen by a hash of their key: the same rows whatever the layout.
+    """The `rows` rows with the smallest hashes of their key, or all if there are fewer: the same rows whatever the layout. Rows
+    with equal keys come in or stay out together.
 
-    A threshold on the hash keeps the rows that can be among the lowest `rows`, with room to spare,
-    so the exact top-n sorts only those instead of the whole table.
+    A histogram over the leading digits of the hash shows the bin in which the last row lies; that bin alone is counted by its
+    next digits, until the cut falls between two bins. What is left is a filter: no task sorts or holds the sample.
     """
-    key = F.md5(F.concat_ws("|", "item_id", "store_id", F.col("date").cast("string"), F.lit(str(seed))))
-    keyed = features.withColumn("_key", key)
-    share = F.least(F.lit(1.0), F.lit(1.2 * rows + 1000.0) / features.agg(F.count(F.lit(1))).scalar())
-    position = F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") / float(2**32)
-    return keyed.filter(position <= share).orderBy("_key").limit(rows).drop("_key")
+    digits, key = 3, F.md5(F.concat_ws("|", "item_id", "store_id", F.col("date").cast("string"), F.lit(str(seed))))
+    cut, before = "", 0
+    while len(cut) < 32:
+        inside = features.select(key.alias("_key")).filter(F.col("_key").startswith(cut))
+        bins = inside.groupBy(F.substring("_key", 1, len(cut) + digits).alias("bin")).count()
+        found = bins.orderBy("bin").collect()  # at most 16 ** digits rows
+        past = False
+        for r in found:
+            if before + r["count"] >= rows:
+                cut, past = r["bin"], True
+                break
+            before += r["count"]
+        if not past:
+            return features
+        if before + r["count"] == rows:
+            break
+    return features.filter(F.substring(key, 1, len(cut)) <= cut) if rows else features.limit(0)

@@ -14,7 +14,7 @@ from shelfline.operators.features import error_scale_parts
 from shelfline.operators.ordered import exact_quantiles
 from shelfline.operators.orders import in_segments
 from shelfline.operators.panel import SERIES, SERIES_ATTRIBUTES
-from shelfline.operators.quality import QualityError, require_none, unique_key_violations
+from shelfline.operators.quality import QualityError, many_to_one
 from shelfline.settings import DEFAULTS, Settings
 
 BASELINES = ("naive", "seasonal_7", "seasonal_28", "moving_average")
@@ -112,16 +112,15 @@ def actual_units(sales: DataFrame, after: dt.date) -> DataFrame:
 
 def join_actuals(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
     """Forecasts of days whose outcome is known; an outcome has to be unique."""
-    require_none(unique_key_violations(actuals, [*SERIES, "date"]), "actual units: repeated day")
-    return with_errors(predictions.join(actuals, [*SERIES, "date"]))
+    return with_errors(many_to_one(predictions, actuals, [*SERIES, "date"], "actual units"))
 
 
 def backtest(sales: DataFrame, folds: Sequence[Fold], horizon: int, models: Sequence[str] = BASELINES) -> DataFrame:
-    """Forecasts of every model in every fold next to the outcome. Outcomes join before the rows
-    multiply by model."""
+    """Forecasts of every model in every fold next to the outcome, which has to be unique. Outcomes join before the rows multiply
+    by model."""
     days = forecast_days(origins_of(sales, folds), horizon)
     actuals = actual_units(sales, min(f.origin for f in folds))
-    return with_errors(apply_baselines(days.join(actuals, [*SERIES, "date"]), models))
+    return with_errors(apply_baselines(many_to_one(days, actuals, [*SERIES, "date"], "actual units"), models))
 
 
 # --- accuracy -----------------------------------------------------------------------------------

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import PredictionModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import date_key, sunday_zero_weekday
+from shelfline.operators.boosting import DEPTH, Linear, Trees, boost_counts, of_boosted, of_linear
 from shelfline.operators.features import CATEGORICAL, LAGS, MEAN_DAYS, NUMERIC, SPREAD_DAYS, recent_features
 from shelfline.operators.forecast import Fold, actual_units, join_actuals, require_calendar
 from shelfline.operators.panel import SERIES, SERIES_ATTRIBUTES
@@ -27,12 +28,13 @@ MISSING = "Unknown"
 FILL = -1.0
 GAPS = (*(f"lag_{k}" for k in LAGS), *(f"rolling_std_{k}" for k in SPREAD_DAYS), "sell_price", "price_change_percentage", "days_since_last_sale")
 NAME = "global_model"
+LEARNERS = ("boosted", "trees", "poisson")
 _STATIC = ("item_id", "store_id", "state_id", "category_id", "department_id")
 
 
 @dataclass(frozen=True)
 class Learned:
-    model: PredictionModel
+    model: Trees | Linear
     levels: DataFrame
     """(column, level, code): the frozen vocabulary of every categorical column."""
     overall: float
@@ -41,6 +43,8 @@ class Learned:
     """What a regression reads for a missing number; None for trees."""
     most: float = float("inf")
     """No forecast is above this: a log link could run away when its own forecasts are its inputs."""
+    deviances: tuple[float, ...] = ()
+    """Mean deviance of the training rows before each round of a Poisson booster and after the last."""
 
 
 def fit_levels(train: DataFrame) -> DataFrame:
@@ -92,7 +96,10 @@ def training_rows(sales: DataFrame, origin: dt.date, settings: Settings = DEFAUL
 def train_model(
     sales: DataFrame, origin: dt.date, settings: Settings = DEFAULTS, learner: str = "trees"
 ) -> Learned:
-    """Boosted trees (squared loss) or a Poisson regression on all training rows."""
+    """On all training rows: boosted trees with a Poisson loss (`boosted`), with squared loss (`trees`), or a Poisson regression
+    (`poisson`)."""
+    if learner not in LEARNERS:
+        raise ValueError(f"no learner named {learner}")
     train = materialize(training_rows(sales, origin, settings), "training")
     overall, highest = train.agg(F.avg("units_sold"), F.max("units_sold")).first()
     if overall is None:
@@ -103,17 +110,20 @@ def train_model(
         means = {c: float(found[c]) for c in NUMERIC}
     levels = materialize(fit_levels(train), "levels")
     rows = assemble(encode_training(train, levels, overall), means).select("vector", F.col("units_sold").cast("double").alias("label"))
+    most = 2.0 * float(highest)
+    if learner == "boosted":
+        model, deviances = boost_counts(
+            rows.select(vector_to_array("vector").alias("x"), "label"), settings.count_rounds, seed=settings.seed)
+        return Learned(model, levels, float(overall), means, most, tuple(deviances))
     common = {"featuresCol": "vector", "labelCol": "label", "predictionCol": "prediction"}
-    if learner == "trees":
-        fit = GBTRegressor(maxIter=settings.boosting_rounds, maxDepth=5, stepSize=0.05, seed=settings.seed, **common)
-    elif learner == "poisson":
-        # Spark's regression scales its features itself.
-        fit = GeneralizedLinearRegression(family="poisson", link="log", regParam=0.01, maxIter=25, **common)
-    else:
-        raise ValueError(f"no learner named {learner}")
     rows = rows.persist()  # the boosting rounds read these rows once each
     try:
-        return Learned(fit.fit(rows), levels, float(overall), means, 2.0 * float(highest))
+        if learner == "trees":
+            fit = GBTRegressor(maxIter=settings.boosting_rounds, maxDepth=DEPTH, stepSize=0.05, seed=settings.seed, **common)
+            return Learned(of_boosted(fit.fit(rows), DEPTH), levels, float(overall), means, most)
+        # Spark's regression scales its features itself.
+        fit = GeneralizedLinearRegression(family="poisson", link="log", regParam=0.01, maxIter=25, **common)
+        return Learned(of_linear(fit.fit(rows)), levels, float(overall), means, most)
     finally:
         rows.unpersist()
 
@@ -152,19 +162,23 @@ def _spread(values: Column) -> Column:
     return F.coalesce(F.sqrt(variance), F.lit(0.0))
 
 
-def past_features() -> dict[str, Column]:
+_FACTS = ("y", "gap", "date", "state_id", "snap_CA", "snap_TX", "snap_WI")
+
+
+def past_features(facts: dict[str, Column] | None = None) -> dict[str, Column]:
     """Features of the day after the array `y` ends. Only `y` itself, which may end in earlier
     forecasts, and facts known in advance enter; the price stays at its last known value."""
-    y, date = F.col("y"), F.col("date")
+    facts = facts or {c: F.col(c) for c in _FACTS}
+    y, date = facts["y"], facts["date"]
     features = {f"lag_{k}": F.when(F.size(y) >= k, F.element_at(y, -k)) for k in LAGS}
     features.update({f"rolling_mean_{k}": _mean(_last(y, k)) for k in MEAN_DAYS})
     features.update({f"rolling_std_{k}": _spread(_last(y, k)) for k in SPREAD_DAYS})
-    snap = F.when(F.col("state_id") == "CA", F.col("snap_CA"))
+    snap = F.when(facts["state_id"] == "CA", facts["snap_CA"])
     for state in ("TX", "WI"):
-        snap = snap.when(F.col("state_id") == state, F.col(f"snap_{state}"))
+        snap = snap.when(facts["state_id"] == state, facts[f"snap_{state}"])
     features.update({
         "price_change_percentage": F.lit(0.0), "weekday": sunday_zero_weekday(date), "week": F.weekofyear(date),
-        "month": F.month(date), "quarter": F.quarter(date), "snap_flag": snap, "days_since_last_sale": F.col("gap"),
+        "month": F.month(date), "quarter": F.quarter(date), "snap_flag": snap, "days_since_last_sale": facts["gap"],
     })
     return features
 
@@ -179,37 +193,49 @@ def known_days(calendar: DataFrame, origin: dt.date, horizon: int, learned: Lear
     return encode(facts, learned.levels, learned.overall, ["event_type"])
 
 
-def forecast_recursively(
-    learned: Learned, sales: DataFrame, calendar: DataFrame, origin: dt.date, horizon: int, cut_every: int = 4
-) -> DataFrame:
-    """Day by day for all series at once: predict, floor at zero, append, go on.
+def _fold(features: dict[str, Column], learned: Learned) -> Column:
+    """The features of one row as the model's vector, in the order of `assemble`."""
+    value = lambda c: features[c].cast("double")
+    means = learned.means
+    numbers = [F.coalesce(value(c), F.lit(means[c] if means else FILL)) for c in NUMERIC]
+    marks = [value(c).isNull().cast("double") for c in GAPS] if means else []
+    return F.array(*numbers, *marks, *(features[f"{c}_code"] for c in CATEGORICAL))
+
+
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def forecast_recursively(learned: Learned, sales: DataFrame, calendar: DataFrame, origin: dt.date, horizon: int) -> DataFrame:
+    """Day by day for all series: predict, floor at zero, append, go on.
 
-    A step is a projection of the state, one row per series, next to a broadcast of the few days to
-    forecast, so nothing is shuffled. The date comes from the state, not from a literal: every step
-    has the same plan and runs the same compiled code. The state is written to the shared folder
-    every `cut_every` steps, which bounds the plan.
+    The days to forecast are a literal array, the model is an expression, and a series is one row whose last values are folded
+    over the days. So all steps of all series are one projection: no join, no shuffle and no write between the steps.
     """
     require_calendar(calendar, origin, horizon)
-    days = materialize(known_days(calendar, origin, horizon, learned), "days")
-    state = encode(initial_state(sales, origin), learned.levels, learned.overall, _STATIC)
-    state = materialize(state.withColumn("forecasts", F.array().cast("array<double>")), "state")
-    carried = state.columns
-    following = {
-        "forecasts": F.concat("forecasts", F.array("_next")),
-        "y": _last(F.concat("y", F.array("_next")), KEPT_DAYS),
-        "gap": F.when(F.col("_next") > 0, F.lit(1.0)).otherwise(F.col("gap") + 1),
-    }
-    next_state = [following.get(c, F.col(c)).alias(c) for c in carried]
-    features = past_features()
-    for step in range(1, horizon + 1):
-        dated = state.withColumn("date", F.date_add(F.lit(origin), F.size("forecasts") + 1))
-        ready = dated.join(F.broadcast(days), "date").withColumns(features)
-        predicted = learned.model.transform(assemble(ready, learned.means)).withColumn(
-            "_next", F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(learned.most)))
-        state = predicted.select(*next_state)
-        if step % cut_every == 0 or step == horizon:
-            state = materialize(state, "state")
-    out = state.select(*SERIES_ATTRIBUTES, F.posexplode("forecasts").alias("_n", "forecast_units"))
+    known = known_days(calendar, origin, horizon, learned).orderBy("date").collect()  # one row per day of the horizon
+    kinds = {"date": "date", "snap_CA": "int", "snap_TX": "int", "snap_WI": "int", "event_flag": "int", "event_type_code": "double"}
+    days = F.array(*[F.struct(*[F.lit(d[c]).cast(t).alias(c) for c, t in kinds.items()]) for d in known])
+    series = initial_state(sales, origin)
+    state = encode(series, learned.levels, learned.overall, _STATIC)
+    zero = F.struct(F.col("y"), F.col("gap"), F.array().cast("array<double>").alias("forecasts"))
+
+    def step(before: Column, day: Column) -> Column:
+        facts = {c: day[c] for c in kinds} | {"y": before["y"], "gap": before["gap"], "state_id": F.col("state_id")}
+        features = facts | {c: F.col(c) for c in ("sell_price", *(f"{c}_code" for c in _STATIC))} | past_features(facts)
+
+        def after(units: Column) -> Column:
+            return F.struct(
+                _last(F.concat(before["y"], F.array(units)), KEPT_DAYS).alias("y"),
+                F.when(units > 0, F.lit(1.0)).otherwise(before["gap"] + 1).alias("gap"),
+                F.concat(before["forecasts"], F.array(units)).alias("forecasts"))
+
+        predict = lambda x: F.least(F.greatest(learned.model.predict(x), F.lit(0.0)), F.lit(learned.most))
+        return _let(_let(_fold(features, learned), predict), after)
+
+    folded = state.select(*SERIES_ATTRIBUTES, F.aggregate(days, zero, step)["forecasts"].alias("forecasts"))
+    out = folded.select(*SERIES_ATTRIBUTES, F.posexplode("forecasts").alias("_n", "forecast_units"))
     date = F.date_add(F.lit(origin), F.col("_n") + 1)
     return out.select(
         *SERIES_ATTRIBUTES, F.lit(origin).alias("origin"), date.alias("date"), date_key(date).alias("date_key"),

@@ -49,6 +49,28 @@ def running_totals(
     )
 
 
+def running_totals_within(
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column], values: Sequence[str], partitions: int | None = None
+) -> DataFrame:
+    """Add `prior_<v>` (total of the group's rows before this one) and `total_<v>` (of the whole group), where a group may be
+    larger than a task: (groups, order) is cut into ranges, and the totals of a group's earlier ranges are added to a window
+    inside each. `groups` and `order` together have to be a unique key; group columns must not be null."""
+    placed = _ranges(df, [*[F.col(g).asc() for g in groups], *order], partitions)
+    per_range = placed.groupBy(*groups, BUCKET).agg(*[F.sum(v).alias(v) for v in values])
+    # One row per range that holds a part of the group.
+    earlier = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = per_range.select(
+        *groups, BUCKET,
+        *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values],
+        *[F.sum(v).over(whole).alias(f"total_{v}") for v in values])
+    inside = Window.partitionBy(*groups, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(offsets, [*groups, BUCKET]).select(
+        *df.columns,
+        *[(F.col(f"_before_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"prior_{v}") for v in values],
+        *[f"total_{v}" for v in values])
+
+
 def value_positions(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
     """One row per distinct value: `tied` rows hold it, `prior_tied` rows come before it, and
     `dense_position` distinct values up to and including it. Ties are counted before the shuffle,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.columns import date_key, holds, month_start, ratio
 from shelfline.operators.quality import (
-    QualityError, conflicting_groups, require_columns, require_none, require_unique,
+    QualityError, conflicting_groups, require_columns, require_none, require_unique, stop_unless,
 )
 from shelfline.settings import DEFAULTS, Settings
 
@@ -261,6 +261,14 @@ def shipping_conflicts(selected: DataFrame) -> DataFrame:
     ).filter("a0 <> a1 OR s0 <> s1")
 
 
+def consistent(selected: DataFrame) -> DataFrame:
+    """The cohort, as a plan that stops at an order whose lines disagree on a shipping duration; nulls agree with anything."""
+    same = lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(True))
+    orders = selected.groupBy(F.col("order_id").alias("_order")).agg((same("actual_days") & same("scheduled_days")).alias("_same"))
+    checked = orders.filter(stop_unless(F.col("_same") | F.col("_order").isNull(), "inconsistent shipping values within an order"))
+    return selected.join(checked.select("_order"), F.col("order_id").eqNullSafe(F.col("_order")), "left_semi")
+
+
 def cohort_metrics(selected: DataFrame) -> DataFrame:
     """One row: orders, revenue, profit, late orders and their share of all orders."""
     per_order = selected.groupBy("order_id").agg(
@@ -286,8 +294,7 @@ def cohort_trend(selected: DataFrame) -> DataFrame:
 
 
 def analyze_cohort(lines: DataFrame, **wanted: str) -> dict[str, DataFrame]:
-    selected = filter_cohort(lines, **wanted)
-    require_none(shipping_conflicts(selected), "inconsistent shipping values within an order")
+    selected = consistent(filter_cohort(lines, **wanted))
     return {
         "metrics": cohort_metrics(selected), "categories": cohort_categories(selected), "trend": cohort_trend(selected),
     }

@@ -39,6 +39,27 @@ def unique_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter((F.col("rows") > 1) | null_part)
 
 
+def stop_unless(condition: Column, message: str) -> Column:
+    """A filter that every row passes; the first row for which the condition doesn't hold stops the query."""
+    return F.when(F.coalesce(condition, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+
+
+def one_row_each(df: DataFrame, keys: Sequence[str], label: str = "table") -> DataFrame:
+    """`df` by its keys, as a plan that stops if one of them is null or has several rows. The check is the aggregate that the
+    join on these keys would shuffle for in any case, so no path can skip it."""
+    others = [c for c in df.columns if c not in keys]
+    row = F.first(F.struct(*others)).alias("_row") if others else F.first(F.lit(True)).alias("_row")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    checked = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), row).filter(
+        stop_unless(known & (F.col("_rows") == 1), f"{label}: null or repeated key {tuple(keys)}"))
+    return checked.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
+
+
+def many_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], label: str, how: str = "inner") -> DataFrame:
+    """A join that stops where the right side has a key twice."""
+    return left.join(one_row_each(right, keys, label), list(keys), how)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], label: str = "table") -> None:
     require_none(unique_key_violations(df, keys), f"{label}: null or repeated key {tuple(keys)}")
 

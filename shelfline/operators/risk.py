@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import ratio
+from shelfline.operators.ordered import running_totals_within
 from shelfline.operators.quality import QualityError
 from shelfline.session import materialize
 from shelfline.settings import DEFAULTS, Settings
@@ -118,11 +119,37 @@ def risk_metrics(scores: DataFrame) -> DataFrame:
         "f1": F.coalesce(ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), F.lit(0.0)),
         "threshold": F.lit(THRESHOLD),
     })
-    areas = []
-    for (name,) in scores.select("model").distinct().collect():  # a handful of models
-        own = scores.filter(F.col("model") == name)
-        area = lambda metric: BinaryClassificationEvaluator(
-            rawPredictionCol="probability", labelCol="label", metricName=metric, numBins=0).evaluate(own)
-        areas.append((name, area("areaUnderROC"), area("areaUnderPR")))
-    table = scores.sparkSession.createDataFrame(areas, "model string, roc_auc double, pr_auc double")
-    return counted.join(F.broadcast(table), "model")
+    return counted.join(areas(scores), "model")
+
+
+def areas(scores: DataFrame) -> DataFrame:
+    """Areas under the receiver and the precision-recall curve of all models at once, exact with ties.
+
+    Equal scores are counted first; their order is taken in ranges, so neither a model with very many scores nor a score that most
+    rows share meets in one task. The first area is the share of pairs of a late and a timely order in which the late one scores
+    higher, a tie counting one half; the second adds up precision times the recall gained at each score (average precision).
+    Null for a model whose rows are all of one kind.
+    """
+    counted = scores.groupBy("model", "probability").agg(
+        F.count_if(F.col("label") == 1).alias("late"), F.count_if(F.col("label") != 1).alias("timely"))
+    placed = running_totals_within(counted, ["model"], [F.desc("probability")], ["late", "timely"])
+    seen = F.col("prior_late") + F.col("late")
+    pairs = F.col("timely") * (F.col("prior_late") + F.col("late") / 2)
+    gained = F.col("late") * seen / (seen + F.col("prior_timely") + F.col("timely"))
+    both = (F.max("total_late") > 0) & (F.max("total_timely") > 0)
+    return placed.groupBy("model").agg(
+        F.when(both, F.sum(pairs) / F.nullif(F.max("total_late") * F.max("total_timely"), F.lit(0))).alias("roc_auc"),
+        F.when(both, F.sum(gained) / F.nullif(F.max("total_late"), F.lit(0))).alias("pr_auc"))
+
+
+def rate_scores(delivery: DataFrame, models: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Reference scores without a fit: for each model the late rate, before the split date, of orders with the same values in its
+    columns; orders with values not seen then get the overall rate."""
+    train, test = split_orders(delivery)
+    overall = train.agg(F.avg("label")).first()[0]
+    rows = []
+    for name, columns in models.items():
+        rates = train.groupBy(*columns).agg(F.avg("label").alias("rate"))
+        rows.append(test.join(rates, list(columns), "left").select(
+            F.lit(name).alias("model"), "order_id", "label", F.coalesce("rate", F.lit(overall)).alias("probability")))
+    return materialize(reduce(DataFrame.unionByName, rows), "rate_scores")

@@ -15,7 +15,7 @@ from shelfline.operators.features import add_features
 from shelfline.session import last_change, materialize, tune
 from shelfline.settings import DEFAULTS, Settings
 from shelfline.sources import testdata
-from shelfline.sources.readers import admit_order_columns
+from shelfline.sources.readers import admit_order_columns, cohort_lines
 
 _BUILT: dict[tuple, DataFrame] = {}
 
@@ -133,6 +133,12 @@ class Data:
         lines, _ = admit_order_columns(self.raw_lines)
         return orders_ops.clean_lines(lines, self.settings)
 
+    @stored()
+    def cohort(self):
+        """The lines of the interactive analysis, checked as they are loaded; the source writes no profit where it has none."""
+        lines = cohort_lines(self.raw_lines, unknown=("profit",))
+        return lines.withColumn("order_date", orders_ops.parsed_date_of("order_date"))
+
     @property
     def lines(self) -> DataFrame:
         return orders_ops.line_facts(self.cleaned)
@@ -246,11 +252,24 @@ class Data:
     def training(self):
         return learned.training_rows(self.sales, self.test_origin, self.settings)
 
+    def learned_model(self, learner: str) -> learned.Learned:
+        """A model trained up to the test origin, fitted once."""
+        key = (*self.source, self.settings, "model", learner)
+        if key not in _BUILT:
+            _BUILT[key] = learned.train_model(self.sales, self.test_origin, self.settings, learner)
+        return _BUILT[key]
+
+    @property
+    def boosted(self) -> learned.Learned:
+        return self.learned_model("boosted")
+
     def learned_forecast(self, learner: str) -> DataFrame:
-        """Held-out forecast of a model trained up to the test origin."""
-        return learned.learned_forecast(
-            self.sales, self.calendar, self.test_origin, self.settings.forecast_horizon, self.settings, learner,
-        )
+        """Its held-out forecast, written once."""
+        key = (*self.source, self.settings, "forecast", learner)
+        if key not in _BUILT:
+            _BUILT[key] = materialize(learned.forecast_recursively(
+                self.learned_model(learner), self.sales, self.calendar, self.test_origin, self.settings.forecast_horizon), "learned")
+        return _BUILT[key]
 
     @stored()
     def learned_backtest(self):

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators import constraints, dimensions, orders, panel
+from shelfline.operators import constraints, dimensions, orders, panel, quality
 from shelfline.operators.forecast import segment_metrics
 from shelfline.plans import kpis, marts
 from shelfline.plans.data import Data
 from shelfline.plans.order_queries import _stacked
 from shelfline.plans.query import Query
-from shelfline.session import materialize
+from shelfline.session import materialize, own_folder
+from shelfline.sources import publish, refresh, sinks
 
 
 def _tables(d: Data) -> dict:
@@ -171,7 +176,49 @@ _RECOMMENDATION_SQL = "SELECT *, 'driver_tables' AS data_provenance FROM (" + "
              FROM ledger_kpis WHERE policy = 'optimized' GROUP BY 1, 2) GROUP BY target_service_level""",
 ]) + ")"
 
+def _refreshed(d: Data):
+    """The monthly table after a wrong delivery of one store-year was refreshed, corrected, and refreshed again."""
+    root = f"{own_folder(d.spark)}/monthly-{uuid.uuid4().hex}"
+    sinks.write_partitioned(d.sales, f"{root}/sales")
+    wrong = (F.col("store_id") == "S_1") & (F.col("year") == d.end.year)
+    one = d.sales.filter(wrong)
+    for units in (F.col("units_sold") * 2, F.col("units_sold")):
+        one.withColumn("units_sold", units).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "store_id", "year").parquet(f"{root}/sales")
+        refresh.refresh_monthly(d.spark, f"{root}/sales", f"{root}/monthly")
+    return refresh.read_monthly(d.spark, f"{root}/monthly")
+
+
+def _served(d: Data):
+    """Rows of the tables that readers see after a run that was published and one whose gate failed."""
+    root = f"{own_folder(d.spark)}/serving-{uuid.uuid4().hex}"
+    frames = dimensions.all_dimensions(d.sales, d.calendar, d.lines) | {"sales": d.sales, "fact_lines": d.lines, "fact_delivery": d.delivery}
+    negative = lambda staged: quality.rule_counts([("negative", staged["panel.fact_sales_daily"].filter("units_sold < 0"))])
+    publish.publish(frames, root, negative)
+    try:
+        publish.publish(frames | {"sales": d.delivered}, root, negative)
+    except quality.QualityError:
+        pass  # negative units were delivered; readers keep the run before
+    targets = ("panel.fact_sales_daily", "panel.dim_product", "panel.dim_store", "panel.dim_event", "orders.fact_orders",
+               "orders.fact_delivery_performance", "orders.dim_shipping_mode", "orders.dim_market")
+    return reduce(DataFrame.unionByName, [
+        publish.read(d.spark, root, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("target"), "rows") for t in targets])
+
+
 QUERIES = [
+    Query("s11_refreshed_monthly", _refreshed,
+          """SELECT CAST(date_trunc('month', date) AS DATE) AS month, category_id, state_id, store_id, CAST(sum(units_sold) AS BIGINT) AS units_sold,
+                    sum(revenue) AS revenue FROM sales GROUP BY ALL""", "revenue"),
+    Query("s10_served_rows", _served,
+          """SELECT 'panel.fact_sales_daily' AS target, count(*) AS rows FROM sales
+             UNION ALL SELECT 'panel.dim_product', count(DISTINCT item_id) FROM sales
+             UNION ALL SELECT 'panel.dim_store', count(DISTINCT store_id) FROM sales
+             UNION ALL SELECT 'panel.dim_event', count(DISTINCT name) FROM (
+                 SELECT event_name_1 AS name FROM calendar UNION ALL SELECT event_name_2 FROM calendar)
+             UNION ALL SELECT 'orders.fact_orders', count(*) FROM lines
+             UNION ALL SELECT 'orders.fact_delivery_performance', count(*) FROM delivery
+             UNION ALL SELECT 'orders.dim_shipping_mode', count(DISTINCT shipping_mode) FROM delivery
+             UNION ALL SELECT 'orders.dim_market', count(DISTINCT market) FROM delivery"""),
     Query("k01_sales_measures", lambda d: kpis.sales_measures(d.sales, "category_id", "store_id"),
           """SELECT category_id, store_id, CAST(sum(units_sold) AS BIGINT) AS total_units_sold, sum(revenue) AS total_revenue,
                     sum(revenue) / nullif(sum(units_sold), 0) AS average_selling_price FROM sales GROUP BY 1, 2""", "total_revenue average_selling_price"),

@@ -42,8 +42,8 @@ SELECT CAST(lo + n AS DATE) AS date, CAST(n // 7 + 1000 AS INTEGER) AS wm_yr_wk,
        CAST(day(lo + n) <= 10 AS INTEGER) AS snap_CA,
        CAST(day(lo + n) BETWEEN 6 AND 15 AS INTEGER) AS snap_TX,
        CAST(day(lo + n) BETWEEN 11 AND 20 AS INTEGER) AS snap_WI,
-       names[1] AS event_name_1, CASE WHEN names[1] IS NOT NULL THEN 'Order peak' END AS event_type_1,
-       names[2] AS event_name_2, CASE WHEN names[2] IS NOT NULL THEN 'Second priority' END AS event_type_2
+       names[1] AS event_name_1, CASE WHEN names[1][1] <= '2' THEN 'Urgent' WHEN names[1] IS NOT NULL THEN 'Routine' END AS event_type_1,
+       names[2] AS event_name_2, CASE WHEN names[2][1] <= '2' THEN 'Urgent' WHEN names[2] IS NOT NULL THEN 'Routine' END AS event_type_2
 FROM (SELECT lo, CAST(unnest(range(0, date_diff('day', lo, hi) + 29)) AS INTEGER) AS n FROM bounds)
      LEFT JOIN peaks ON peaks.day = lo + n"""
 

@@ -8,7 +8,7 @@ from shelfline.operators import dimensions, orders, quality
 from shelfline.plans import marts, reports
 from shelfline.plans.data import Data
 from shelfline.plans.query import Query
-from shelfline.sources.readers import COHORT_COLUMNS, admit_order_columns
+from shelfline.sources.readers import admit_order_columns
 
 _ELIGIBLE = "count(*) FILTER (delivery_eligible)"
 _LATE = f"""count(*) AS total_orders, {_ELIGIBLE} AS eligible_orders, CAST(coalesce(sum(late_order), 0) AS BIGINT) AS late_orders,
@@ -25,19 +25,7 @@ def _stacked(table: str, dimensions, columns: str, where: str = "true") -> str:
 
 
 def _cohort(**wanted):
-    def selected(d: Data):
-        raw = d.raw_lines
-        lines = cohort_lines_unchecked(raw).withColumn("order_date", orders.parsed_date_of("order_date"))
-        return orders.filter_cohort(lines, **wanted)
-
-    return selected
-
-
-def cohort_lines_unchecked(raw):
-    """The cohort's columns without the plan-time checks, which have a test of their own."""
-    lines = raw.select(*[F.col(f"`{old}`").alias(new) for old, new in COHORT_COLUMNS.items()])
-    # The source writes nothing where the profit is unknown; the cohort counts it as no profit.
-    return lines.withColumn("profit", F.coalesce("profit", F.lit(0.0)))
+    return lambda d: orders.consistent(orders.filter_cohort(d.cohort, **wanted))
 
 
 _CONFLICT = "(count(DISTINCT {c}) > 1 OR (count({c}) > 0 AND count({c}) < count(*)))"

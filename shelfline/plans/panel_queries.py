@@ -213,8 +213,10 @@ QUERIES = [
     Query("d01_dim_department", lambda d: dimensions.distinct_of(d.sales, "department_id", "category_id"),
           "SELECT DISTINCT department_id, category_id FROM sales"),
     Query("d01_dim_event", lambda d: dimensions.dim_event(d.calendar),
-          """SELECT event_name_1 AS event_name, event_type_1 AS event_type FROM calendar WHERE event_name_1 IS NOT NULL
-             UNION SELECT event_name_2, event_type_2 FROM calendar WHERE event_name_2 IS NOT NULL"""),
+          # One row per name: a name with two types would make this differ.
+          """SELECT event_name, min(event_type) AS event_type FROM (
+                 SELECT event_name_1 AS event_name, event_type_1 AS event_type FROM calendar WHERE event_name_1 IS NOT NULL
+                 UNION ALL SELECT event_name_2, event_type_2 FROM calendar WHERE event_name_2 IS NOT NULL) GROUP BY 1"""),
     Query("d01_bridge_date_event", lambda d: dimensions.bridge_date_event(d.calendar),
           """SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, event_name_1 AS event_name FROM calendar WHERE event_name_1 IS NOT NULL
              UNION SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER), event_name_2 FROM calendar WHERE event_name_2 IS NOT NULL"""),

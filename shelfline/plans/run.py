@@ -14,7 +14,7 @@ from shelfline.operators.features import add_features
 from shelfline.plans import kpis, marts
 from shelfline.session import materialize, tune
 from shelfline.settings import DEFAULTS, Settings
-from shelfline.sources import sinks
+from shelfline.sources import publish, refresh, sinks
 
 
 def compare_models(
@@ -39,6 +39,22 @@ def next_forecast(
     return forecast.production_forecast(sales, end, chosen, errors, settings.forecast_horizon)
 
 
+def gate(staged: dict[str, DataFrame], report: str) -> DataFrame:
+    """Failures of the integrity tests and of all constraints on the staged tables, also written to `report`."""
+    tables = {name.split(".")[1]: df for name, df in staged.items()}
+    named = tables | {
+        "sales": tables["fact_sales_daily"], "forecast": tables["fact_forecast"], "policy": tables["fact_inventory_policy"],
+        "ledger": tables["fact_inventory_replay"], "lines": tables["fact_orders"], "delivery": tables["fact_delivery_performance"],
+        "sell_price": tables["fact_sell_price"],
+    }
+    named["shipping_mode"] = marts.shipping_mode_performance(named["delivery"])
+    tests = constraints.integrity_tests(named, {name: df.columns for name, df in named.items()}).unionByName(
+        constraints.constraint_counts(named))
+    tests = materialize(tests, "gate")
+    sinks.write_json(tests, report)
+    return tests
+
+
 # Facts are exported as Parquet only.
 FACTS = ("fact_lines", "fact_delivery", "fact_sell_price", "backtest", "test", "ledger", "order_profit")
 
@@ -129,11 +145,8 @@ def run(
         (sinks.export_large if name in FACTS else sinks.export)(df, name, out)
     exported = {name: spark.read.schema(df.schema).parquet(f"{out}/{name}.parquet") for name, df in tables.items()}
 
-    checked = {**exported, "sales": sales, "lines": exported["fact_lines"], "delivery": exported["fact_delivery"],
-               "sell_price": exported["fact_sell_price"], "shipping_mode": marts.shipping_mode_performance(delivery)}
-    tests = constraints.integrity_tests(checked, {name: df.columns for name, df in checked.items()})
-    sinks.write_json(tests, f"{out}/integrity_tests.json")
-    quality.require_none(tests.filter("failures > 0"), "integrity tests of the exported run")
+    refresh.refresh_monthly(spark, f"{out}/sales_daily", f"{out}/monthly_sales")
+    publish.publish({**exported, "sales": sales}, f"{out}/serving", lambda staged: gate(staged, f"{out}/integrity_tests.json"))
     manifest = spark.createDataFrame([(mode, provenance, chosen.first()["model"], str(dataclasses.asdict(settings)))],
                                      "mode string, provenance string, selected_model string, settings string")
     sinks.write_json(manifest, f"{out}/manifest.json")

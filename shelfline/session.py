@@ -56,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def _files(spark: SparkSession, folder: str):
+def files_of(spark: SparkSession, folder: str):
     """The folder's path and file system, whatever store it is in."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -64,7 +64,7 @@ def _files(spark: SparkSession, folder: str):
 
 def last_change(spark: SparkSession, folder: str) -> int:
     """When the newest entry of a folder was written, in milliseconds; 0 for an empty one."""
-    path, files = _files(spark, folder)
+    path, files = files_of(spark, folder)
     return max((entry.getModificationTime() for entry in files.listStatus(path)), default=0)
 
 
@@ -75,7 +75,7 @@ def own_folder(spark: SparkSession) -> str:
 
 def release(spark: SparkSession) -> None:
     """Removes the intermediate tables of this application. Tables that read them can't be used any more."""
-    path, files = _files(spark, own_folder(spark))
+    path, files = files_of(spark, own_folder(spark))
     files.delete(path, True)
 
 
@@ -106,7 +106,7 @@ def discard(*tables: DataFrame) -> None:
     has to be written first."""
     for table in tables:
         if folder := vars(table).get("_written_to"):
-            path, files = _files(table.sparkSession, folder)
+            path, files = files_of(table.sparkSession, folder)
             files.delete(path, True)
     gc.collect()
     for table in tables[:1]:

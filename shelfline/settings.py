@@ -18,6 +18,7 @@ class Settings:
 
     # Learners.
     boosting_rounds: int = 40
+    count_rounds: int = 20
     forest_trees: int = 100
     classifier_rounds: int = 100
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.columns import snake_case
-from shelfline.operators.quality import require_columns, require_none, unique_key_violations
+from shelfline.operators.quality import one_row_each, require_columns, stop_unless
 from shelfline.sources import schemas
 
 # The columns of the order-line source that may enter analysis. Everything else,
@@ -95,20 +95,21 @@ def read_order_lines(
     return admit_order_columns(raw, aliases)
 
 
-def cohort_lines(raw: DataFrame) -> DataFrame:
-    """The fifteen columns of the interactive analysis, checked: unique line ids, finite numbers."""
+def cohort_lines(raw: DataFrame, unknown: Sequence[str] = ()) -> DataFrame:
+    """The fifteen columns of the interactive analysis, as a plan that stops at a line id that is null or occurs twice and at a
+    number that is missing or not finite. Columns named in `unknown` may be empty, but not wrong."""
     require_columns(raw.columns, COHORT_COLUMNS, "order lines")
     lines = raw.select(*[F.col(f"`{old}`").alias(new) for old, new in COHORT_COLUMNS.items()])
     numbers = ("actual_days", "scheduled_days", "quantity", "revenue", "profit")
-    lines = lines.select(*[
-        F.expr(f"try_cast({c} AS double)").alias(c) if c in numbers else F.col(c) for c in lines.columns
-    ])
-    bad = F.lit(False)
+    good = F.lit(True)
     for c in ("actual_days", "scheduled_days", "revenue", "profit"):
-        bad = bad | F.col(c).isNull() | F.isnan(c) | (F.abs(F.col(c)) == float("inf"))
-    require_none(lines.filter(bad), "missing or non-finite number in the order lines")
-    require_none(unique_key_violations(lines, ["order_item_id"]), "repeated line id")
-    return lines
+        number = F.expr(f"try_cast({c} AS double)")
+        finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+        empty = F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+        good = good & (finite | empty if c in unknown else finite)
+    checked = lines.filter(stop_unless(good, "missing or non-finite number in the order lines"))
+    checked = checked.select(*[F.expr(f"try_cast({c} AS double)").alias(c) if c in numbers else F.col(c) for c in lines.columns])
+    return one_row_each(checked, ["order_item_id"], "order lines").select(*lines.columns)
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -64,6 +64,19 @@ SERVING = {
     "common.dim_date": table("date date, date_key int, year int, month int, quarter int"),
     "panel.dim_product": table("item_id string, department_id string, category_id string"),
     "panel.dim_store": table("store_id string, state_id string"),
+    "panel.dim_state": table("state_id string"),
+    "panel.dim_category": table("category_id string"),
+    "panel.dim_department": table("department_id string, category_id string"),
+    "panel.dim_event": table("event_name string, event_type string"),
+    "panel.bridge_date_event": table("date_key int, event_name string"),
+    "panel.fact_sell_price": table("item_id string, store_id string, wm_yr_wk int, sell_price double"),
+    "orders.dim_order_date": table("date date, date_key int, year int, month int, quarter int"),
+    "orders.dim_product_category": table("category string"),
+    "orders.dim_market": table("market string"),
+    "orders.dim_region": table("region string"),
+    "orders.dim_shipping_mode": table("shipping_mode string"),
+    "orders.dim_customer_segment": table("customer_segment string"),
+    "orders.fact_profitability": LINES,
     "panel.fact_sales_daily": table(
         "item_id string, store_id string, date date, date_key int, units_sold long, sell_price double, revenue double, event_flag int, snap_flag int"
     ),
@@ -74,3 +87,10 @@ SERVING = {
     "orders.fact_orders": LINES,
     "orders.fact_delivery_performance": DELIVERY,
 }
+
+# Which table of a run fills which serving table.
+SERVED = {target: target.split(".")[1] for target in SERVING} | {
+    "panel.fact_sales_daily": "sales", "panel.fact_forecast": "forecast", "panel.fact_forecast_accuracy": "backtest",
+    "panel.fact_inventory_policy": "policy", "panel.fact_inventory_replay": "ledger", "orders.fact_orders": "fact_lines",
+    "orders.fact_profitability": "fact_lines", "orders.fact_delivery_performance": "fact_delivery",
+}

@@ -46,13 +46,13 @@ def order_peaks(spark: SparkSession, folder: str) -> DataFrame:
 
 def calendar(spark: SparkSession, folder: str, lo: dt.date, hi: dt.date) -> DataFrame:
     """One row per day, with the days to forecast after the last day of history. Its events are the peaks of the order table:
-    the leading priority in the first slot, the second in the other."""
+    the leading priority in the first slot, the second in the other. A priority's type goes by its name, whichever slot it takes."""
     days = (hi - lo).days + 1 + FUTURE_DAYS
     n = F.col("id").cast("int")
     date = F.date_add(F.lit(lo), n)
     day = F.dayofmonth(date)
     peaks = order_peaks(spark, folder)
-    first, second = F.col("leading").isNotNull(), F.col("second").isNotNull()
+    kind = lambda name: F.when(F.substring(name, 1, 1) <= "2", "Urgent").when(F.col(name).isNotNull(), "Routine")
     plain = spark.range(0, days, 1, 1).withColumn("_date", date).join(
         peaks.withColumnRenamed("date", "_peak"), F.col("_date") == F.col("_peak"), "left")
     return plain.select(
@@ -61,8 +61,8 @@ def calendar(spark: SparkSession, folder: str, lo: dt.date, hi: dt.date) -> Data
         (day <= 10).cast("int").alias("snap_CA"),
         day.between(6, 15).cast("int").alias("snap_TX"),
         day.between(11, 20).cast("int").alias("snap_WI"),
-        F.col("leading").alias("event_name_1"), F.when(first, "Order peak").alias("event_type_1"),
-        F.col("second").alias("event_name_2"), F.when(second, "Second priority").alias("event_type_2"),
+        F.col("leading").alias("event_name_1"), kind("leading").alias("event_type_1"),
+        F.col("second").alias("event_name_2"), kind("second").alias("event_type_2"),
     )
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfline.operators import features, forecast, learned
@@ -55,3 +58,39 @@ def test_the_champion_is_the_least_wape_of_all_models(data):
     assert len(wape) == 5
     assert forecast.champion(forecast.model_metrics(rows)).first()["model"] == min(sorted(wape), key=wape.get)
     assert own.filter("forecast_units < 0 OR forecast_units IS NULL").isEmpty()
+
+
+def test_forecasts_follow_day_by_day(data):
+    """The fold over the days against a loop in plain Python that appends each forecast to the series."""
+    few = Settings(boosting_rounds=3, count_rounds=2)
+    origin = data.test_origin
+    for learner in learned.LEARNERS:
+        model = learned.train_model(data.sales, origin, few, learner)
+        whole = learned.forecast_recursively(model, data.sales, data.calendar, origin, 6)
+        rows = {(r["item_id"], r["store_id"], r["horizon"]): r["forecast_units"] for r in whole.collect()}
+        state = learned.encode(learned.initial_state(data.sales, origin), model.levels, model.overall, learned._STATIC)
+        days = learned.known_days(data.calendar, origin, 6, model)
+        for step in range(1, 7):
+            dated = state.withColumn("date", F.date_add(F.lit(origin), step)).join(F.broadcast(days), "date").withColumns(learned.past_features())
+            scored = learned.assemble(dated, model.means).withColumn(
+                "next", F.least(F.greatest(model.model.predict(vector_to_array("vector")), F.lit(0.0)), F.lit(model.most)))
+            found = scored.select("item_id", "store_id", "next").collect()
+            assert {rows[r["item_id"], r["store_id"], step] for r in found} and all(
+                abs(rows[r["item_id"], r["store_id"], step] - r["next"]) < 1e-9 for r in found)
+            if step == 2:
+                break
+            state = scored.select(*[{
+                "y": learned._last(F.concat("y", F.array("next")), learned.KEPT_DAYS).alias("y"),
+                "gap": F.when(F.col("next") > 0, F.lit(1.0)).otherwise(F.col("gap") + 1).alias("gap")}.get(c, F.col(c)) for c in state.columns])
+
+
+def test_a_forecast_is_one_projection(data):
+    model = learned.train_model(data.sales, data.test_origin, Settings(boosting_rounds=2), "trees")
+    plan = learned.forecast_recursively(model, data.sales, data.calendar, data.test_origin, 28)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and plan.count("Join") == 5  # the series' state, and a code for each category
+
+
+def test_a_repeated_outcome_stops_the_backtest(data):
+    day = data.sales.filter(F.col("date") > F.lit(data.test_origin)).limit(1)
+    with pytest.raises(PySparkException, match="repeated key"):
+        forecast.backtest(data.sales.unionByName(day), data.folds[-1:], 28).count()

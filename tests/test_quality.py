@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from shelfline.operators import constraints, quality
@@ -76,3 +77,14 @@ def test_constraints_count_violations(spark):
     delivery = spark.createDataFrame([(1, 1, 0.0), (2, 5, -1.0)], "order_id long, late_order int, positive_delay_days double")
     got = {r["test"]: r["failures"] for r in constraints.constraint_counts({"lines": lines, "delivery": delivery}).collect()}
     assert got == {"lines_key": 1, "lines_order_id_reference": 1, "delivery_key": 0, "delivery_late_flag": 1, "delivery_delay": 1}
+
+
+def test_a_join_that_stops_at_a_repeated_key(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, 10), (2, None)], "k int, w int")
+    joined = quality.many_to_one(left, right, ["k"], "right", "left")
+    assert sorted(map(tuple, joined.collect())) == [(1, "a", 10), (2, "b", None), (3, "c", None)]
+    for wrong in ((1, 11), (None, 1)):
+        again = right.unionByName(spark.createDataFrame([wrong], "k int, w int"))
+        with pytest.raises(PySparkException, match="right: null or repeated key"):
+            quality.many_to_one(left, again, ["k"], "right").count()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +92,26 @@ def test_metrics_with_zero_denominators(spark):
     row = risk.risk_metrics(scores).first()
     assert (row["precision"], row["recall"], row["f1"]) == (0.0, 0.0, 0.0)
     assert row["tn"] == row["fn"] == 5 and row["tp"] == row["fp"] == 0
+
+
+def brute_areas(rows):
+    late, timely = [p for y, p in rows if y], [p for y, p in rows if not y]
+    roc = sum((a > b) + (a == b) / 2 for a in late for b in timely) / (len(late) * len(timely))
+    ap = 0.0
+    for cut in sorted({p for _, p in rows}, reverse=True):
+        above, own = [y for y, p in rows if p >= cut], [y for y, p in rows if p == cut]
+        ap += sum(own) / len(late) * sum(above) / len(above)
+    return roc, ap
+
+
+def test_areas_with_ties_in_many_ranges(spark):
+    r = random.Random(2)
+    rows = [(m, i, float(r.random() < 0.3), round(r.random(), d)) for m, d in (("fine", 6), ("tied", 1)) for i in range(400)]
+    rows += [("same", i, float(i % 3 == 0), 0.5) for i in range(300)] + [("one kind", i, 1.0, r.random()) for i in range(50)]
+    scores = spark.createDataFrame(rows, "model string, order_id long, label double, probability double")
+    got = {x["model"]: x for x in risk.areas(scores).collect()}
+    for model in ("fine", "tied", "same"):
+        roc, ap = brute_areas([(y, p) for m, _, y, p in rows if m == model])
+        assert got[model]["roc_auc"] == pytest.approx(roc) and got[model]["pr_auc"] == pytest.approx(ap)
+    assert got["one kind"]["roc_auc"] is None and got["one kind"]["pr_auc"] is None
+    assert risk.areas(scores.limit(0)).collect() == []

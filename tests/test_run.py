@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfline.plans.run import compare_models, run
 from shelfline.settings import Settings
+from shelfline.sources import publish, refresh, schemas
 from shelfline.sources.readers import admit_order_columns
 
 
@@ -23,6 +24,12 @@ def test_run(data, tmp_path):
     assert tables["ledger"].count() == 6 * 3 * 3 * 2 * 28
     assert tables["sensitivity"].count() == 13 * 6 * 3 * 3 * 2
     assert tables["executive_kpis"].count() == 6
+    served = publish.read(data.spark, f"{tmp_path}/serving", "panel.fact_sales_daily")
+    assert served.count() == tables["sales"].count()
+    assert len(list((tmp_path / "serving" / "runs").iterdir())) == 1
+    assert set(p.name for p in next((tmp_path / "serving" / "runs").iterdir()).iterdir()) == set(schemas.SERVING) and len(schemas.SERVING) == 23
+    monthly = refresh.read_monthly(data.spark, f"{tmp_path}/monthly_sales")
+    assert monthly.agg(F.sum("units_sold")).first() == tables["sales"].agg(F.sum("units_sold")).first()
     assert (tmp_path / "forecast.csv").is_dir() and (tmp_path / "manifest.json").is_dir()
     for name, df in tables.items():
         assert not [c for c in df.columns if "email" in c or "fname" in c], name

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from shelfline.operators import panel, quality
@@ -67,8 +68,15 @@ def test_colliding_headers(spark):
 
 
 def test_cohort_lines_reject_bad_numbers(spark, data):
-    with pytest.raises(quality.QualityError, match="non-finite"):
-        readers.cohort_lines(data.raw_lines)  # some lines have no profit
+    with pytest.raises(PySparkException, match="non-finite"):
+        readers.cohort_lines(data.raw_lines).count()  # some lines have no profit
+    assert readers.cohort_lines(data.raw_lines, unknown=("profit",)).count() == data.raw_lines.count()
+    for wrong in ("NaN", "Infinity", "much"):
+        spoilt = data.raw_lines.withColumn("Benefit per order", F.lit(wrong))
+        with pytest.raises(PySparkException, match="non-finite"):
+            readers.cohort_lines(spoilt, unknown=("profit",)).count()
+    with pytest.raises(PySparkException, match="repeated key"):
+        readers.cohort_lines(data.raw_lines.union(data.raw_lines.limit(1)), unknown=("profit",)).count()
 
 
 def test_wide_and_long_agree(data):
