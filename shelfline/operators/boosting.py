@@ -32,8 +32,8 @@ _VALUE = re.compile(r"Predict: (\S+)")
 
 
 def _items(values, kind: str) -> Column:
-    """An array literal."""
-    return F.array(*map(F.lit, values)).cast(f"array<{kind}>")
+    """An array literal: one constant that the optimizer folds, however many numbers it holds."""
+    return F.split(F.lit(",".join("Infinity" if v == math.inf else repr(v) for v in values)), ",").cast(f"array<{kind}>")
 
 
 @dataclass
@@ -165,7 +165,8 @@ def boost_counts(
         if turn == rounds:
             deviances.append(scored.agg(F.avg(loss)).first()[0])
             break
-        fitted = learner.fit(scored.select(array_to_vector("x").alias("vector"), (y / mu - 1).alias("response"), mu.alias("weight")))
+        scored = scored.withColumns({"vector": array_to_vector("x"), "response": y / mu - 1, "weight": mu}).persist()  # for one round
+        fitted = learner.fit(scored.select("vector", "response", "weight"))
         features, thresholds, _ = complete(fitted.toDebugString, depth)[0]
         cells = Trees(depth, features=features, thresholds=thresholds)
         sums = scored.groupBy(cells.leaf(F.col("x"), F.lit(0)).alias("leaf")).agg(
@@ -173,6 +174,7 @@ def boost_counts(
         values = [0.0] * (1 << depth)
         for r in sums:
             values[r["leaf"]] = step * r["g"] / (r["h"] + ridge)
+        scored.unpersist()
         deviances.append(math.fsum(r["loss"] for r in sums) / n)
         for trees in (model, waiting):
             trees.add(features, thresholds, values)

@@ -26,6 +26,7 @@ KEPT_DAYS = max(*LAGS, *MEAN_DAYS)
 MISSING = "Unknown"
 # Trees read an unlikely value as a missing one. A regression gets the mean and a mark that it is one.
 FILL = -1.0
+PRIOR_ROWS = 20.0
 GAPS = (*(f"lag_{k}" for k in LAGS), *(f"rolling_std_{k}" for k in SPREAD_DAYS), "sell_price", "price_change_percentage", "days_since_last_sale")
 NAME = "global_model"
 LEARNERS = ("boosted", "trees", "poisson")
@@ -67,15 +68,12 @@ def encode(df: DataFrame, levels: DataFrame, overall: float, columns: Sequence[s
     return df
 
 
-def encode_training(df: DataFrame, levels: DataFrame, overall: float) -> DataFrame:
-    """The codes of training rows leave the row itself out, so that no row's own demand enters its features."""
-    for c in CATEGORICAL:
-        codes = levels.filter(F.col("column") == c).select(
-            F.col("level").alias("_level"), (F.col("code") * F.col("rows")).alias("_sum"), F.col("rows").alias("_rows"))
-        df = df.join(codes, F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) == F.col("_level")).withColumn(
-            f"{c}_code", F.when(F.col("_rows") > 1, (F.col("_sum") - F.col("units_sold")) / (F.col("_rows") - 1)).otherwise(F.lit(overall))
-        ).drop("_level", "_sum", "_rows")
-    return df
+def shrunk(levels: DataFrame, overall: float, weight: float = PRIOR_ROWS) -> DataFrame:
+    """Codes drawn towards the overall mean as if each level had `weight` more rows of it. Training rows get the same code as rows
+    to forecast: within a level it is constant, so it says nothing of a single row. (A mean without the row itself would differ
+    from row to row by just that row's demand, which trees can read.)"""
+    code = (F.col("code") * F.col("rows") + weight * overall) / (F.col("rows") + weight)
+    return levels.withColumn("code", code)
 
 
 def assemble(encoded: DataFrame, means: dict[str, float] | None = None) -> DataFrame:
@@ -108,8 +106,8 @@ def train_model(
     if learner == "poisson":
         found = train.agg(*[F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in NUMERIC]).first()
         means = {c: float(found[c]) for c in NUMERIC}
-    levels = materialize(fit_levels(train), "levels")
-    rows = assemble(encode_training(train, levels, overall), means).select("vector", F.col("units_sold").cast("double").alias("label"))
+    levels = materialize(shrunk(fit_levels(train), overall), "levels")
+    rows = assemble(encode(train, levels, overall), means).select("vector", F.col("units_sold").cast("double").alias("label"))
     most = 2.0 * float(highest)
     if learner == "boosted":
         model, deviances = boost_counts(

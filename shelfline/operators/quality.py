@@ -56,7 +56,7 @@ def one_row_each(df: DataFrame, keys: Sequence[str], label: str = "table") -> Da
 
 
 def many_to_one(left: DataFrame, right: DataFrame, keys: Sequence[str], label: str, how: str = "inner") -> DataFrame:
-    """A join that stops where the right side has a key twice."""
+    """A join that stops where the right side has a key twice; null keys meet no row."""
     return left.join(one_row_each(right, keys, label), list(keys), how)
 
 

@@ -31,12 +31,20 @@ def test_every_row_of_the_training_year_is_used(data):
     assert rows.count() == data.sales.filter((F.col("date") > F.lit(start)) & (F.col("date") <= F.lit(data.test_origin))).count()
 
 
-def test_training_codes_leave_the_row_out(spark):
+def test_codes_are_shrunk_and_constant_in_a_level(spark):
     rows = [("a", 1.0), ("a", 3.0), ("a", 8.0), ("b", 5.0)]
     train = spark.createDataFrame(rows, "item_id string, units_sold double").withColumns(
         {c: F.lit("x") for c in learned.CATEGORICAL if c != "item_id"})
-    codes = {(r["item_id"], r["units_sold"]): r["item_id_code"] for r in learned.encode_training(train, learned.fit_levels(train), 4.25).collect()}
-    assert codes == {("a", 1.0): 5.5, ("a", 3.0): 4.5, ("a", 8.0): 2.0, ("b", 5.0): 4.25}
+    levels = learned.shrunk(learned.fit_levels(train), 4.25, 20.0)
+    codes = {(r["item_id"], r["item_id_code"]) for r in learned.encode(train, levels, 4.25).collect()}
+    assert codes == {("a", pytest.approx((12 + 85) / 23)), ("b", pytest.approx((5 + 85) / 21))}
+
+
+def test_training_does_not_read_its_own_outcome(spark, data):
+    """Demand that is drawn anew for every row can't be learned: the deviance stays near that of the mean."""
+    drawn = data.sales.withColumn("units_sold", F.pmod(F.xxhash64("item_id", "store_id", "date"), F.lit(4)).cast("long"))
+    model = learned.train_model(drawn, data.test_origin, Settings(count_rounds=6), "boosted")
+    assert model.deviances[-1] > 0.9 * model.deviances[0]
 
 
 def test_a_regression_reads_means_and_marks_for_missing_numbers(spark):
