@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.joins import join_counted
-from shelfline.session import materialize
+from shelfline.session import discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -34,9 +34,11 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large_star")
         size = large.count()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
-        edges = materialize(
+        shorter = materialize(
             join_counted(large, lowest, "u", "degree", size).filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "small_star")
+        discard(edges, large)
+        edges = shorter
         state = _state(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

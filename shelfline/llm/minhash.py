@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfline.llm.components import components
 from shelfline.llm.joins import join_counted, packed, total, unpacked
 from shelfline.llm.text import blocks, column, distinct, mix, prepare, reduce_by_text, shingles, span_hash
-from shelfline.session import materialize
+from shelfline.session import discard, materialize
 
 WIDTH, PERMUTATIONS, ROWS_PER_BAND = 5, 100, 5
 BLOCK_NODES, BLOCK_SHINGLES = 512, 1 << 20
@@ -142,7 +142,7 @@ def block_links(rows: pa.Table) -> pa.Table:
 
 
 def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, root for every node that is linked with another."""
+    """node, root for every node that is linked with another. Each table is deleted once its last reader is done."""
     banded = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min(F.struct("node", "n_shingles")).alias("center"), F.bit_xor(F.xxhash64("node")).alias("members"),
@@ -153,6 +153,7 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         join_counted(banded, buckets, "bucket", "n", total(buckets, "n"))
         .select("bucket", "n", "node", "n_shingles", F.col("center.node").alias("center"), F.col("center.n_shingles").alias("center_size")),
         "members")
+    discard(buckets)
     involved = members.select("node").distinct().join(nodes.select("node", "rep"), "node").select("node", "rep.*")
     sets = materialize(sets_of(docs, involved), "sets")
 
@@ -164,10 +165,12 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         .filter(linked(common, F.size("shingles"), F.size("center_shingles")))
         .select(F.col("node").alias("a"), F.col("center").alias("b")), "stars")
     roots = materialize(components(stars), "roots")
+    discard(stars)
 
     placed = materialize(
         members.filter("node != center").join(roots, "node", "left")
         .select("bucket", "node", "n_shingles", F.coalesce("root", "node").alias("root")), "placed")
+    discard(members)
     per_root = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("w"))
     mixed = per_root.groupBy("bucket").agg(
         F.max(F.struct("k", "root")).alias("main"), F.count("*").alias("roots"), F.sum("k").alias("n"), F.sum("w").alias("w"),
@@ -177,6 +180,7 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         "bucket", "n", F.col("main.root").alias("main"),
         cuts(F.col("n") - F.col("most.k"), F.col("w") - F.col("most.w")).alias("high"), cuts(F.col("n"), F.col("w")).alias("wide")), "mixed")
     around = materialize(join_counted(placed, mixed, "bucket", "n", total(mixed, "n")), "around")
+    discard(placed, mixed)
     block = lambda parts: F.pmod(F.xxhash64("node"), parts).cast("int")
     one_side = around.filter("root != main").select(
         "bucket", F.lit(0).alias("side"), "node", "root", block(F.col("high")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("j"))
@@ -184,11 +188,14 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         "bucket", F.lit(1).alias("side"), "node", "root", F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("i"), block(F.col("wide")).alias("j"))
     rest = materialize(
         one_side.unionByName(other_side).join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(block_links, "a long, b long"), "rest")
-    above = components(rest)
+    discard(around, sets)
+    above = materialize(components(rest), "above")
     counted = above.withColumn("n", F.lit(1).cast("long")).select(F.col("node").alias("root"), F.col("root").alias("above"))
     joined = roots.join(counted, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
     # Nodes that only the second comparison linked.
-    return joined.unionByName(above.join(roots.select("node"), "node", "left_anti"))
+    found = materialize(joined.unionByName(above.join(roots.select("node"), "node", "left_anti")), "components")
+    discard(roots, rest, above)
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -204,12 +211,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.min("doc_id").alias("least"), F.count("*").alias("n_docs"), F.first("n_shingles").alias("n_shingles"),
             F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    roots = materialize(node_links(docs, nodes), "components")
+    rows = materialize(sketched.select("doc_id", "text_key", "n_shingles", "set_key"), "rows")
+    discard(sketched)
+    roots = node_links(docs, nodes)
     whole = nodes.select("node", "set_key", "least", "n_docs").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = whole.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_nodes"))
     named = join_counted(whole, lowest, "root", "n_nodes", total(lowest, "n_nodes"))
     sets = materialize(named.select("set_key", "n_docs", "component_id"), "named")
-    rows = sketched.select("doc_id", "text_key", "n_shingles", "set_key")
+    discard(nodes, roots)
     found = join_counted(rows.filter("n_shingles > 0"), sets, "set_key", "n_docs", total(sets, "n_docs"))
     alone = rows.filter("n_shingles = 0").withColumns({"n_docs": F.lit(1).cast("long"), "component_id": F.col("doc_id")})
     return found.unionByName(alone).select(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.joins import join_counted, packed, total, unpacked
 from shelfline.llm.text import blocks, column, prepare
-from shelfline.session import materialize
+from shelfline.session import discard, materialize
 
 MOST, SEED, BIN_BITS = 3, 17, 10
 NEAR, ROUNDS = 0.002, 8
@@ -201,6 +201,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     distinct = {r["p"]: r["words"] for r in shared.groupBy("p").agg(F.sum("one").alias("words")).collect()}
     rows = materialize(join_counted(rows, shared, "digest", "n", total(shared, "n")).drop("n", "one")
                        .withColumn("cell", F.concat_ws("|", "p", "s")), "cells")
+    discard(base, shared)
     held = rows.groupBy("p", "s").agg(F.sum("size").alias("w"), F.count("*").alias("n")).collect()
     cells = {(r["p"], r["s"]): r["w"] for r in held}
     flow = route(cells, distinct, [round(g) for g in goals])
@@ -210,7 +211,9 @@ def mixed(docs: DataFrame) -> DataFrame:
         "cell string, times long, quota long, _rows long"), "quotas")
     some = F.col("size") > 0
     picked = take(rows.drop("p"), "cell", whole, SEED, some)
-    rows = materialize(picked.withColumn("n", F.col("times") + F.col("chosen").cast("long")).drop("times", "chosen", "cell"), "picked")
+    cellwise, rows = rows, materialize(
+        picked.withColumn("n", F.col("times") + F.col("chosen").cast("long")).drop("times", "chosen", "cell"), "picked")
+    discard(cellwise, whole)
     for turn in range(ROUNDS):
         now = rows.groupBy("s").agg(F.sum(F.col("n") * F.col("size")).alias("w"), F.count("*").alias("rows")).collect()
         gaps = [(r["s"], round(goals[r["s"]]) - r["w"], r["rows"]) for r in now]
@@ -220,7 +223,8 @@ def mixed(docs: DataFrame) -> DataFrame:
         left = spark.createDataFrame(gaps, "s int, quota long, _rows long")
         fits = rows.join(F.broadcast(left.select("s", F.col("quota").alias("_gap"))), "s")
         more = take(fits, "s", left, SEED + 1 + turn, some & (F.col("size") <= F.col("_gap")) & (F.col("n") < MOST))
-        rows = materialize(more.withColumn("n", F.col("n") + F.col("chosen").cast("long")).drop("chosen", "_gap"), "filled")
+        before, rows = rows, materialize(more.withColumn("n", F.col("n") + F.col("chosen").cast("long")).drop("chosen", "_gap"), "filled")
+        discard(before)
     return rows.select("doc_id", "source", "digest", "size", "source_size", "target", (F.col("n") * F.col("size")).alias("taken"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.text import Block, blocks, column, distinct, prepare, span_hash
-from shelfline.session import materialize
+from shelfline.session import discard, materialize
 
 TRAINING_ROWS = 20_000
 """Bound on the labelled documents that are fitted, a seeded sample if there are more."""
@@ -138,6 +138,7 @@ def fit_chain(rows: DataFrame, categories: list[str], chosen: np.ndarray) -> Cha
             model = learner.fit(others) if others.select(name).distinct().count() == 2 else whole
             parts.append(model.transform(own).withColumn(f"_p{k}", vector_to_array("probability")[1]))
         rows = materialize(reduce(DataFrame.unionByName, parts).drop("features", "rawPrediction", "probability", "prediction"), "out_of_fold")
+        discard(data)
     return chain
 
 
@@ -170,7 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str] | None = Non
     rows = materialize(vectors(texts, chosen, ["doc_id", *given]), "vectors")
     if categories is None:
         rows, categories = rows.withColumn("severe", graded(rows, chosen)), ["severe", "toxic"]
-    return fit_chain(rows, categories, chosen)
+    chain = fit_chain(rows, categories, chosen)
+    discard(texts)
+    return chain
 
 
 def classify(docs: DataFrame, labels: DataFrame, categories: list[str] | None = None) -> DataFrame:
