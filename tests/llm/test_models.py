@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 from math import log10
@@ -61,55 +62,74 @@ def test_scores_of_the_small_table(small):
 
 def test_rare_tokens_take_the_other_path(documents, monkeypatch):
     monkeypatch.setattr(bloom_lm, "TOKEN_SHARE", 40)
-    monkeypatch.setattr(bloom_lm, "BIGRAM_SHARE", 20)
+    monkeypatch.setattr(bloom_lm, "PAIR_SHARE", 20)
     rows = [(i, " ".join(f"w{(i * j) % 37 if j % 3 else 0}" for j in range(1, 60))) for i in range(40)]
     check_base(bloom_lm.score(documents(rows)).collect(), rows)
 
 
-def test_probabilities_add_up_to_no_more_than_one(documents):
-    rows = [(i, " ".join(f"w{(i + j * j) % 11}" for j in range(80))) for i in range(60)]
-    docs = documents(rows).selectExpr("doc_id", "text", "false AS held_out")
-    model, counts = bloom_lm.fit(docs)
-    keys = bloom_lm.collected(counts)[0]
-    for v in keys:
-        pairs = np.stack([np.full(len(keys), v), keys], 1).ravel()
-        first = np.arange(0, len(pairs) + 1, 2)
-        _, _, base, more = model.score(pairs, first)
-        assert (10 ** (base + more)[1::2]).sum() <= 1.02  # the filter's errors
+def test_probabilities_add_up_to_no_more_than_one():
+    """After any word, over all words of the training texts, from counts as the filter gives them back."""
+    r = random.Random(3)
+    texts = [[*(f"w{min(r.randrange(30), r.randrange(30))}" for _ in range(80)), None] for _ in range(60)]
+    ones, twos = Counter(w for t in texts for w in t), Counter(p for t in texts for p in zip(t, t[1:]))
+    n, v, d = sum(ones.values()), len(ones), bloom_lm.SMOOTHING
+    quantised = lambda c: float(bloom_lm.value_of(bloom_lm.steps_of(np.array([c])))[0])
+    for left in ones:
+        if left is not None:
+            assert sum((quantised(twos[left, w]) + d * (ones[w] + 1) / (n + v + 1)) / (ones[left] + d) for w in ones) <= 1 + 1e-12
 
 
 def whole_scores(rows):
-    """The model over exact counts of all bigrams."""
+    """The model over the quantised counts of all bigrams."""
     texts = [(str(i), held(i, 7, 2), tokens(t)) for i, t in rows]
     ones = Counter(w for _, apart, t in texts if not apart for w in t)
     twos = Counter(p for _, apart, t in texts if not apart for p in zip(t, t[1:]))
     n, v, d = sum(ones.values()), len(ones), bloom_lm.SMOOTHING
     share = lambda w: (ones[w] + 1) / (n + v + 1)
+    twos = {p: float(bloom_lm.value_of(bloom_lm.steps_of(np.array([c])))[0]) for p, c in twos.items()}
     return sorted((i, sum(log10(share(w)) for w in t) + sum(
-        log10((twos[a, b] + d * share(b)) / (ones[a] + d) / share(b)) for a, b in zip(t, t[1:]))) for i, _, t in texts)
+        log10((twos.get((a, b), 0) + d * share(b)) / (ones[a] + d) / share(b)) for a, b in zip(t, t[1:]))) for i, _, t in texts)
 
 
-@pytest.mark.parametrize("token_share", [1 << 20, 300, 1])
-def test_every_bigram_counts_however_rare(small, documents, odd_rows, monkeypatch, token_share):
+@pytest.mark.parametrize("token_share, pair_share, range_tokens", [
+    (1 << 20, 1 << 14, 1 << 23), (300, 1, 1 << 23), (1, 1, 5000), (1 << 20, 200, 700), (1 << 20, 1 << 20, 5000)])
+def test_where_a_shard_lies_changes_no_score(small, documents, odd_rows, monkeypatch, token_share, pair_share, range_tokens):
+    """Every bigram counts however rare; all, some or none frequent, in one range or many, tokens known to workers or not. The
+    filter's errors show in few texts."""
     monkeypatch.setattr(bloom_lm, "TOKEN_SHARE", token_share)
-    monkeypatch.setattr(bloom_lm, "BIGRAM_SHARE", 1)  # none is frequent
+    monkeypatch.setattr(bloom_lm, "PAIR_SHARE", pair_share)
+    monkeypatch.setattr(bloom_lm, "RANGE_TOKENS", range_tokens)
+    monkeypatch.setattr(bloom_lm, "BITS_PER_ENTRY", 40)  # errors have a test of their own
     rows = [(r.doc_id, r.text) for r in small[0].select("doc_id", "text").limit(60).collect()]
     for given in (rows, odd_rows):
-        got = sorted((str(g.doc_id), g.score) for g in bloom_lm.score(documents(given)).collect())
+        found = bloom_lm.score(documents(given).repartition(3)).collect()
+        check_base(found, given)
+        got = sorted((str(g.doc_id), g.score) for g in found)
         want = whole_scores(given)
         assert [g[0] for g in got] == [w[0] for w in want]
-        assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-3)
+        assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-2)
 
 
 def test_filter_reads_back_the_steps_of_its_counts():
     keys = bloom_lm.mix(np.arange(1, 5001, dtype=np.uint64))
-    counts = np.random.default_rng(0).integers(10, 100000, 5000)
-    bloom = bloom_lm.Filter(keys, counts, 10)
+    counts = np.random.default_rng(0).integers(1, 10000, 5000)
+    bloom = bloom_lm.Filter(keys, counts)
     read = bloom.read(keys)
-    assert (read >= bloom.value(bloom.steps(counts))).all()
+    assert (read >= bloom_lm.value_of(bloom_lm.steps_of(counts))).all()
     assert (read <= counts).mean() > 0.97 and (read * 1.2 >= counts).all()
     assert (bloom.read(bloom_lm.mix(np.arange(10**6, 10**6 + 20000, dtype=np.uint64))) > 0).mean() < 0.02
-    assert (bloom_lm.Filter(keys[:0], counts[:0], 1).read(keys) == 0).all()
+    assert (bloom_lm.Filter(keys[:0], counts[:0]).read(keys) == 0).all()
+
+
+def test_bigrams_travel_as_bytes():
+    r = np.random.default_rng(5)
+    for width in (bloom_lm.KNOWN, bloom_lm.RARE):
+        for n in (0, 1, 300):
+            key, other = r.integers(0, 1 << 63, n, dtype=np.uint64), r.integers(0, 1 << (8 * width - 1), n, dtype=np.uint64)
+            rows, times, train = r.integers(0, 1 << 20, n), r.integers(1, 1 << 20, n), r.integers(0, 2, n).astype(bool)
+            back = bloom_lm.unpacked(bloom_lm.packed(key, other, width, rows, times, train), n, width)
+            for have, sent in zip(back, (key & np.uint64((1 << 48) - 1), other, rows, times, train)):
+                assert (have == sent).all()
 
 
 def test_quality_of_held_out_documents(small):
