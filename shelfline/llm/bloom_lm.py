@@ -29,7 +29,7 @@ from shelfline.llm.text import Block, blocks, column, lowered, mix, prepare, wor
 from shelfline.session import discard, materialize
 
 TOKEN_SHARE, PAIR_SHARE = 1 << 20, 1 << 14
-RANGE_TOKENS = 1 << 22
+RANGE_TOKENS = 1 << 21
 """A range holds this many tokens on average, and of one key less than one PAIR_SHARE-th of all more."""
 SMOOTHING = 8.0
 STEP = 2 ** 0.25
@@ -244,7 +244,7 @@ def unpacked(data: bytes, n: int, width: int) -> tuple[np.ndarray, ...]:
         nonlocal at
         out = np.ascontiguousarray(raw[at : at + 4 * n].reshape(4, n).T).view(np.uint32).ravel()
         at += 4 * n
-        return out.astype(np.int64)
+        return out.view(np.int32)
 
     return part(_KEY_BYTES), part(width), planes(), planes(), raw[at : at + n].astype(bool)
 
@@ -315,7 +315,7 @@ def shard_sums(table: pa.Table, model: Model) -> pa.Table:
     parts = []
     for i in np.flatnonzero(kinds > 0):
         key, other, row, times, train = unpacked(data[int(i)].as_py(), int(n[i]), int(kinds[i]))
-        parts.append((np.full(len(key), i), key, other, row, times, train))
+        parts.append((np.full(len(key), i, np.int32), key, other, row, times, train))
     if parts:
         chunk, key, other, row, times, train = (np.concatenate(x) for x in zip(*parts))
         del parts
@@ -333,7 +333,8 @@ def shard_sums(table: pa.Table, model: Model) -> pa.Table:
         more = model.gain(q[which], count)
         ends = rare & (other == END)
         more[rare & ~ends] += model.room(count[rare & ~ends])
-        place = chunk * np.int64(1 << 32) + row
+        place = (chunk.astype(np.int64) << 32) + row
+        del chunk, key, other, names, which, q, row
         each, at = np.unique(place, return_inverse=True)
         sums, rest = np.zeros(len(each), MORE), np.zeros(len(each), REST)
         sums["row"] = rest["row"] = each & 0xFFFFFFFF
