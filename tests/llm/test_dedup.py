@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
 import re
 from collections import defaultdict
 
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
 from shelfline.llm import components, exact_dedup, minhash
 
 
@@ -43,6 +48,49 @@ def test_large_group_of_copies_over_many_partitions(documents):
     assert got == 1001
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 33])
+def test_runs_are_sorted_and_disjoint(spark, documents, partitions):
+    rows = [(i if i % 11 else None, "same text" if i % 3 else f"own text {i // 2}") for i in range(2000)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        docs = documents(rows, extra=False).repartition(9).select(
+            "doc_id", exact_dedup.digest(exact_dedup.normalised()).alias("digest"))
+        runs = exact_dedup.merge_runs(docs.groupBy("doc_id", "digest").agg(F.count("*").alias("copies")))
+        bits = (partitions - 1).bit_length()
+        seen = []
+        for file in sorted(glob.glob(f"{runs._written_to}/*.parquet")):
+            part = pq.read_table(file).to_pylist()
+            digests = [r["digest"] for r in part]
+            assert digests == sorted(set(digests))
+            assert {r["run"] for r in part} <= {int.from_bytes(d[:4], "big") >> (32 - bits) for d in digests}
+            assert len({r["run"] for r in part}) <= 1
+            seen += part
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[hashlib.sha256(t.encode()).digest()].append(i)
+    assert len(seen) == len(groups)
+    for r in seen:
+        ids = groups[bytes(r["digest"][:32])]
+        assert r["group_size"] == len(ids)
+        assert r["n_ids"] == len(set(ids))
+        assert r["keep_id"] == min((i for i in ids if i is not None), default=None)
+    assert max(len(ids) for ids in groups.values()) > 1000
+
+
+def test_a_round_merges_where_its_exchange_leaves_the_rows(spark, documents, capsys):
+    rows = documents([(1, "a"), (2, "b")], extra=False).select(
+        "doc_id", exact_dedup.digest(F.col("text")).alias("digest"), F.lit(1).cast("long").alias("copies"))
+    plan = exact_dedup.merged(exact_dedup.sorted_runs(rows, 4), 4)
+    plan.explain()
+    text = capsys.readouterr().out
+    # One exchange deals the runs, two are rounds; none of the aggregates has a hash table.
+    assert text.count("Exchange") == 3 and text.count("REPARTITION_BY_NUM") == 2
+    assert "HashAggregate" not in text
+
+
 def test_empty_tables(documents):
     docs = documents([])
     assert exact_dedup.dedup(docs).count() == 0
