@@ -54,6 +54,39 @@ def create_assumptions(history: DataFrame, settings: Settings = DEFAULTS) -> Dat
     )
 
 
+def recorded_lead_times(durations: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Lead times per series from recorded durations (item, store, `days`, and `lines`, how many took them), for `override`.
+
+    A series' mean is drawn towards the mean over all durations as far as its own few durations leave it uncertain (empirical
+    Bayes: the variance between series against the variance inside them); its variance counts as that of `lead_time_prior` more
+    durations with the common variance. Durations that are null, negative or beyond the longest plausible one don't count. Sums of
+    whole days are exact, so the result does not depend on the layout; one aggregate by series, and one row of totals on the driver.
+    Columns: the series, recorded_durations, average_lead_time_days, lead_time_standard_deviation. Without a pair of durations in
+    any series, or without variance, means are left as they are. Without durations there are no rows.
+    """
+    days, lines = F.col("days").cast("long"), F.col("lines")
+    per_series = durations.filter(F.col("days").between(0, settings.maximum_shipping_days) & (lines > 0)).groupBy(*SERIES).agg(
+        F.sum(lines).alias("n"), F.sum(days * lines).alias("s"), F.sum(days * days * lines).alias("q"))
+    n, s, q = (F.col(c).cast("double") for c in "nsq")
+    total = per_series.agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"),
+        F.sum(F.col("n") * F.col("n")).alias("nn"), F.sum(s * s / n).alias("explained")).first()
+    mean = inside = between = 0.0
+    if total["n"]:
+        mean = total["s"] / total["n"]
+        if total["n"] > total["k"]:
+            inside = max(0.0, (total["q"] - total["explained"]) / (total["n"] - total["k"]))
+        spread = total["n"] - total["nn"] / total["n"]
+        if spread > 0:
+            between = max(0.0, (total["explained"] - total["s"] * mean - (total["k"] - 1) * inside) / spread)
+    own = n * between / (n * between + inside) if inside > 0 else F.lit(1.0)
+    prior = float(settings.lead_time_prior)
+    variance = (q - s * s / n + prior * inside) / (n - 1.0 + prior)
+    return per_series.select(
+        *SERIES, F.col("n").alias("recorded_durations"), (own * (s / n) + (1.0 - own) * mean).alias("average_lead_time_days"),
+        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("lead_time_standard_deviation"))
+
+
 def override(base: DataFrame, supplied: DataFrame, keys: Sequence[str] = tuple(SERIES)) -> DataFrame:
     """Supplied cells replace those of `base` where they are not null; other cells stay."""
     require_unique(supplied, keys, "supplied assumptions")

@@ -8,6 +8,7 @@ from shelfline.operators import dimensions, policy, replay
 from shelfline.plans import marts, reports
 from shelfline.plans.data import Data
 from shelfline.plans.query import Query
+from shelfline.sources import testdata
 
 _POLICY = (
     "safety_stock expected_lead_time_demand reorder_point protection_safety_stock order_up_to_level eoq days_of_supply "
@@ -49,11 +50,28 @@ def _overridden(d: Data):
     return policy.override(base, supplied).select("item_id", "store_id", "average_lead_time_days", "lost_sale_penalty")
 
 
+def _lead_times(d: Data):
+    return policy.recorded_lead_times(testdata.durations(d.spark, d.folder), d.settings)
+
+
+def _with_recorded_lead_times(d: Data):
+    """Assumptions in which recorded lead times replace the drawn ones; series without any keep theirs."""
+    return policy.override(_assumed(d), _lead_times(d)).select(*_names("item_id store_id", _LEAD, "estimated_unit_cost"))
+
+
+_LEAD = "average_lead_time_days lead_time_standard_deviation"
 _KEY = "item_id store_id target_service_level"
 
 QUERIES = [
     Query("v01_assumptions", lambda d: _assumed(d).select(*_names("item_id store_id supplier_id", _ASSUMED)),
           _sql("assumptions_now", "item_id store_id supplier_id", _ASSUMED), _ASSUMED),
+    Query("v01_recorded_lead_times", lambda d: _lead_times(d).select(*_names("item_id store_id recorded_durations", _LEAD)),
+          _sql("recorded_lead_times", "item_id store_id recorded_durations", _LEAD), _LEAD),
+    Query("p17_recorded_assumptions", _with_recorded_lead_times,
+          """SELECT a.item_id, a.store_id, coalesce(r.average_lead_time_days, a.average_lead_time_days) AS average_lead_time_days,
+                    coalesce(r.lead_time_standard_deviation, a.lead_time_standard_deviation) AS lead_time_standard_deviation, a.estimated_unit_cost
+             FROM assumptions_now AS a LEFT JOIN recorded_lead_times AS r ON r.item_id = a.item_id AND r.store_id = a.store_id""",
+          f"{_LEAD} estimated_unit_cost"),
     Query("p17_overridden_assumptions", _overridden,
           """SELECT item_id, store_id, CASE WHEN store_id = 'S_1' THEN 9.0::DOUBLE ELSE average_lead_time_days END AS average_lead_time_days,
                     lost_sale_penalty FROM assumptions_now""", "average_lead_time_days lost_sale_penalty"),

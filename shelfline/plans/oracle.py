@@ -84,6 +84,28 @@ FROM (SELECT CAST(CASE WHEN l_partkey % 4 = 0 THEN floor(sqrt(l_partkey)) ELSE f
            JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
 GROUP BY ALL"""
 
+TABLES["durations"] = """
+SELECT * FROM (
+  SELECT 'ITEM_' || lpad(CAST(CAST(CASE WHEN l_partkey % 4 = 0 THEN floor(sqrt(l_partkey)) ELSE floor(sqrt(sqrt(l_partkey)) * 3.0) END AS INTEGER) AS VARCHAR), 6, '0') AS item_id,
+         'S_' || (n_regionkey % 3) AS store_id, o_orderkey % 97 = 3 AS impossible,
+         (date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) % 8 + 8) % 8 AS days
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
+WHERE NOT impossible"""
+
+# Each duration's distance from its series' mean and from the mean of all, instead of sums of squares.
+TABLES["recorded_lead_times"] = """
+WITH own AS (SELECT item_id, store_id, days, avg(days) OVER series AS m, count(*) OVER series AS n, avg(days) OVER () AS g
+             FROM durations WINDOW series AS (PARTITION BY item_id, store_id)),
+     each_series AS (SELECT item_id, store_id, any_value(m) AS m, any_value(n) AS n, any_value(g) AS g, sum((days - m) ** 2) AS within_ss
+             FROM own GROUP BY ALL),
+     parts AS (SELECT count(*) AS k, sum(n) AS total, sum(n ** 2) AS squares, sum(within_ss) / nullif(sum(n) - count(*), 0) AS s2, sum(n * (m - g) ** 2) AS ssb
+             FROM each_series),
+     variances AS (SELECT coalesce(s2, 0) AS s2, greatest(0, coalesce((ssb - (k - 1) * coalesce(s2, 0)) / nullif(total - squares / total, 0), 0)) AS t2 FROM parts)
+SELECT item_id, store_id, CAST(n AS BIGINT) AS recorded_durations,
+       CASE WHEN s2 > 0 THEN (n * t2 * m + s2 * g) / (n * t2 + s2) ELSE m END AS average_lead_time_days,
+       sqrt((within_ss + 5 * s2) / (n - 1 + 5)) AS lead_time_standard_deviation
+FROM each_series JOIN variances ON true"""
+
 TABLES["demand"] = """
 SELECT s.item_id || '_' || s.store_id AS id, s.item_id, 'D' || (s.item_no % 3) AS dept_id,
        'C' || (s.item_no % 3 % 2) AS cat_id, s.store_id, ['CA', 'TX', 'WI'][s.store_no + 1] AS state_id,

@@ -39,6 +39,7 @@ class Settings:
     default_service_level: float = 0.95
     lead_time_days: tuple[int, int] = (3, 10)
     lead_time_std_days: float = 1.5
+    lead_time_prior: int = 5
     ordering_cost: float = 25.0
     holding_rate: float = 0.25
     cost_to_price: float = 0.65

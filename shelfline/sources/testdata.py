@@ -148,6 +148,23 @@ def sold(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def durations(spark: SparkSession, folder: str) -> DataFrame:
+    """Recorded days between order and shipment per item and store, with the number of lines that took them. Impossible ones are left in. Ship dates of
+    the source lie years from the order, so they count modulo eight days, as in `raw_order_lines`."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", item_number("l_partkey").alias("item_no"), "l_shipdate")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    stores = table(spark, folder, "supplier").join(
+        table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    ).select("s_suppkey", F.concat(F.lit("S_"), F.col("n_regionkey") % 3).alias("store_id"))
+    days = F.pmod(F.datediff("l_shipdate", "o_orderdate"), F.lit(8))
+    shipped = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
+        "days", F.when(F.col("o_orderkey") % 97 == 3, F.lit(-1)).otherwise(days))
+    # Equal durations of an item and supplier meet the suppliers as one row.
+    counted = shipped.groupBy("item_no", "l_suppkey", "days").agg(F.count(F.lit(1)).alias("lines"))
+    return counted.join(stores, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        _padded("ITEM_", F.col("item_no"), 6).alias("item_id"), "store_id", "days", "lines")
+
+
 def demand(sold_rows: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     """Every series on every day of history, with zero where nothing was sold."""
     series = sold_rows.select("item_id", "store_id", "item_no", "store_no").distinct()

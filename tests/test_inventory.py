@@ -50,6 +50,39 @@ def test_stockout_without_spread(spark):
     assert (p(4.0), p(5.0), p(6.0)) == (1.0, 0.0, 0.0)
 
 
+def test_recorded_lead_times(spark):
+    """Against the formulas in plain Python; planted: a slow series with many durations, one with a single one."""
+    days = {("slow", "s"): [20, 22, 24] * 40, ("fast", "s"): [2, 3, 4, 3], ("one", "s"): [30], ("other", "t"): [3, 5] * 10}
+    rows = [(i, s, d, 1) for (i, s), ds in days.items() for d in ds] + [
+        ("fast", "s", -1, 9), ("fast", "s", None, 9), ("fast", "s", 91, 9), ("gone", "s", 95, 3), ("gone", "s", 5, 0)]
+    schema = "item_id string, store_id string, days int, lines long"
+    got = {(r.item_id, r.store_id): r for r in policy.recorded_lead_times(spark.createDataFrame(rows, schema)).collect()}
+    assert got.keys() == days.keys()
+    every = [d for ds in days.values() for d in ds]
+    mean = lambda xs: sum(xs) / len(xs)
+    inner = {k: sum((d - mean(ds)) ** 2 for d in ds) for k, ds in days.items()}
+    inside = sum(inner.values()) / (len(every) - len(days))
+    outer = sum(len(ds) * (mean(ds) - mean(every)) ** 2 for ds in days.values())
+    between = (outer - (len(days) - 1) * inside) / (len(every) - sum(len(ds) ** 2 for ds in days.values()) / len(every))
+    for key, ds in days.items():
+        weight = len(ds) * between / (len(ds) * between + inside)
+        assert got[key].recorded_durations == len(ds)
+        assert got[key].average_lead_time_days == pytest.approx(weight * mean(ds) + (1 - weight) * mean(every))
+        assert got[key].lead_time_standard_deviation == pytest.approx(math.sqrt((inner[key] + 5 * inside) / (len(ds) + 4)))
+    # Lines with the same days in one row count as many.
+    counted = [(i, s, d, ds.count(d)) for (i, s), ds in days.items() for d in set(ds)]
+    again = {(r.item_id, r.store_id): r for r in policy.recorded_lead_times(spark.createDataFrame(counted, schema)).collect()}
+    assert again == got
+
+
+@pytest.mark.parametrize("days, expected", [([], []), ([4, 4, 4], [4.0]), ([7], [7.0])])
+def test_lead_times_without_spread(spark, days, expected):
+    rows = spark.createDataFrame([("a", "s", d, 1) for d in days], "item_id string, store_id string, days int, lines long")
+    got = policy.recorded_lead_times(rows).collect()
+    assert [r.average_lead_time_days for r in got] == expected
+    assert [r.lead_time_standard_deviation for r in got] == [0.0] * len(expected)
+
+
 def test_override_keeps_other_cells(spark):
     base = spark.createDataFrame([("a", "s", 1.0, 2.0), ("b", "s", 3.0, 4.0)], "item_id string, store_id string, x double, y double")
     given = spark.createDataFrame([("a", "s", 9.0, None)], "item_id string, store_id string, x double, y double")
