@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -11,7 +12,8 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from shelfline.llm import bloom_lm, line_rules, pairwise_quality, toxicity
+from shelfline.llm import bloom_lm, line_rules, pairwise_quality, queries, toxicity
+from shelfline.llm.text import Block
 from tests.conftest import SMALL
 
 
@@ -174,6 +176,63 @@ def test_later_categories_see_earlier_ones(documents, spark):
     assert chain.weights[1][-1] > 0  # a rude document is likelier to threaten
 
 
+def feature_key(piece):
+    """The key of one letter run, or of a longer run's beginning."""
+    data = piece.encode()
+    block = Block(np.frombuffer(data, np.uint8), np.array([0, len(data)]), 0)
+    return toxicity.keys_of(block)[0].tolist()
+
+
+def plain_probabilities(chain, text):
+    """The chain's probabilities of one text, term by term."""
+    keys = Counter(k for run in re.findall(rb"[A-Za-z\x80-\xff]+", (text or "").encode()) for k in feature_key(run.decode("utf-8", "replace")))
+    x = [math.log1p(keys[int(k)]) for k in chain.chosen]
+    seen = []
+    for w, b in zip(chain.weights, chain.intercepts):
+        z = b + sum(a * c for a, c in zip(w, [*x, *seen]))
+        seen.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+    return seen
+
+
+def test_toxicity_scores_term_by_term(small):
+    docs, labels = small
+    chain = toxicity.train(docs, labels)
+    got = {r.doc_id: r for r in queries.QUERIES["op1_toxicity_chain"](docs.sparkSession, SMALL).collect()}
+    for r in docs.select("doc_id", "text").limit(40).collect():
+        if (r.text or "").isascii():
+            severe, toxic = plain_probabilities(chain, r.text)
+            assert np.allclose([got[r.doc_id].p_severe, got[r.doc_id].p_toxic], [severe, toxic], atol=1e-9)
+            assert got[r.doc_id].toxic == (max(severe, toxic) >= toxicity.THRESHOLD)
+
+
+def test_fold_models_see_nothing_of_their_fold(small):
+    docs, labels = small
+    fold = "pmod(xxhash64(CAST(doc_id AS LONG), 5), 3)"
+    wrong = labels.selectExpr("doc_id", f"CASE WHEN {fold} = 1 THEN 1 - toxic ELSE toxic END AS toxic")
+    one, two = toxicity.train(docs, labels), toxicity.train(docs, wrong)
+    assert (one.folds[1][0] == two.folds[1][0]).all() and np.allclose(one.folds[1][1][0], two.folds[1][1][0])
+    assert len(one.folds[0][0]) != len(two.folds[0][0]) or (one.folds[0][0] != two.folds[0][0]).any()
+
+
+def test_newton_steps_reach_the_least_penalised_loss(spark):
+    r = np.random.default_rng(3)
+    n, d = 300, 4
+    x = np.log1p(r.poisson(1.0, (n, d)))
+    y = (r.random(n) < 1 / (1 + np.exp(-(x @ [2.0, -1.5, 0.5, 0.0] - 0.5)))).astype(int)
+    fold = r.integers(0, toxicity.FOLDS, n)
+    rows = spark.createDataFrame(
+        [(int(fold[i]), [j for j in range(d) if x[i, j]], [float(v) for v in x[i] if v], int(y[i])) for i in range(n)],
+        "fold long, at array<int>, x array<double>, c0 long")
+    places = [np.arange(d)] * (toxicity.FOLDS + 1)
+    found = toxicity.fit(rows, ["c0"] * (toxicity.FOLDS + 1), d, places, [], list(range(toxicity.FOLDS + 1)))
+    for m, w in found.items():
+        own = fold != m
+        a = np.concatenate([np.ones((own.sum(), 1)), x[own]], 1)
+        weight = np.concatenate([[0], toxicity.PENALTY * x[own].var(0)])
+        slope = a.T @ (1 / (1 + np.exp(-a @ w)) - y[own]) / own.sum() + weight * w
+        assert np.abs(slope).max() < 1e-4
+
+
 def test_toxicity_of_odd_rows(documents, odd_rows, spark):
     docs = documents(odd_rows)
     none = spark.createDataFrame([], "doc_id long, toxic int")
