@@ -10,7 +10,7 @@ A line with a word fails if it
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,10 @@ PHRASES = (
     "all rights reserved", "cookie policy", "we use cookies", "privacy policy", "terms of use", "terms of service",
     "enable javascript", "click here to", "sign up for our newsletter", "subscribe to our", "skip to content", "lorem ipsum",
     "licensed under", "powered by wordpress")
-_TERMINAL = b".!?"
-_CLOSING = b"\"')]"
+# Marks that end a sentence in the scripts that have them, and marks that may follow one.
+_TERMINAL = (".", "!", "?", "…", "。", "！", "？", "．", "।", "॥", "؟", "۔", "։", "።", "፧", "។", "။", "᠃")
+_SHOUTING = ("!", "！")
+_CLOSING = ('"', "'", ")", "]", "”", "’", "»", "」", "』", "）")
 _SEPARATORS = [s.encode() for s in ("|", ">", "<", "»", "•", "·")]
 
 
@@ -43,6 +45,17 @@ def phrase_lines(data: bytes, starts: np.ndarray) -> np.ndarray:
     return hit
 
 
+def ending(data: np.ndarray, begin: np.ndarray, end: np.ndarray, marks: Sequence[str]) -> np.ndarray:
+    """How many bytes of each span are the mark that it ends in; 0 if it ends in none of them."""
+    out = np.zeros(len(end), np.int64)
+    for mark in map(str.encode, marks):
+        same = np.flatnonzero(end - begin >= len(mark))
+        for back, byte in enumerate(reversed(mark), 1):
+            same = same[data[end[same] - back] == byte]
+        out[same] = len(mark)
+    return out
+
+
 def failing_lines(block: Block, starts: np.ndarray, ends: np.ndarray, words: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Words per line, and which lines fail a rule."""
     begin, end, _ = words
@@ -50,10 +63,8 @@ def failing_lines(block: Block, starts: np.ndarray, ends: np.ndarray, words: tup
     count = place[1] - place[0]
     inside = lambda x: np.concatenate([[0], np.cumsum(x)])[place]
     held = lambda x: np.subtract(*inside(x)[::-1])
-    last = block.data[end - 1]
-    if len(end):
-        closing = np.isin(last, list(_CLOSING)) & (end - begin > 1)
-        last = np.where(closing, block.data[np.maximum(end - 2, 0)], last)
+    closed = ending(block.data, begin, end, _CLOSING)
+    last = end - np.where(closed < end - begin, closed, 0)
     alone = np.zeros(len(begin), bool)
     for mark in _SEPARATORS:
         same = np.flatnonzero(end - begin == len(mark))
@@ -63,11 +74,11 @@ def failing_lines(block: Block, starts: np.ndarray, ends: np.ndarray, words: tup
     separators, symbols = held(alone), between(flags(block, SYMBOLS), starts, ends)
     lowered = block.data.tobytes().lower()
     bad = (
-        (10 * held(last == ord("!")) > 3 * count)
+        (10 * held(ending(block.data, begin, last, _SHOUTING) > 0) > 3 * count)
         | (10 * symbols > held(end - begin))
         | ((separators >= 3) & (8 * separators >= count))
         | phrase_lines(lowered, starts)
-        | ((count >= 8) & (held(np.isin(last, list(_TERMINAL))) == 0)))
+        | ((count >= 8) & (held(ending(block.data, begin, last, _TERMINAL) > 0) == 0)))
     return count, bad & (count > 0)
 
 

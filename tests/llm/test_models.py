@@ -274,6 +274,15 @@ def test_lines_that_fail_are_removed(documents):
     assert got[3].cleaned_text == "" and not got[3].kept
 
 
+def test_lines_may_end_in_the_marks_of_any_script(documents):
+    whole = ("これ は ペン です 。 それ は 本 です。", "यह एक अच्छा वाक्य है जो यहाँ पूरा होता है।", "هل هذه جملة كاملة من عشر كلمات أو أكثر هنا؟",
+             "one two three four five six seven eight nine ten…", "„one two three four five six seven eight nine.”", "one two three four five six seven eight (nine.)")
+    open_ended = ("これ は ペン です それ は 本 です よ", "यह एक अच्छा वाक्य है जो यहाँ पूरा नहीं", "one two three four five six seven eight nine”",
+                  "一 二 三 四 五 六 七 八！ 九！ 十！ 百！")
+    got = {r.doc_id: r.cleaned_text for r in line_rules.judge(documents([(1, "\n".join(whole)), (2, "\n".join(open_ended))])).collect()}
+    assert got[1] == "\n".join(whole) and got[2] == ""
+
+
 def test_labels_agree_with_the_rules(small):
     kept = {r.doc_id: r.kept for r in line_rules.judge(small[0]).collect()}
     marks = {r.doc_id: r.quality for r in small[1].collect()}
