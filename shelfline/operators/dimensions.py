@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import date_key
-from shelfline.operators.quality import require_unique
+from shelfline.operators.quality import key_rule_counts, require_no_failures
 
 
 def distinct_of(df: DataFrame, *columns: str) -> DataFrame:
@@ -81,7 +81,6 @@ def all_dimensions(sales: DataFrame, calendar: DataFrame, lines: DataFrame) -> d
     in a second role."""
     dims = {**panel_dimensions(sales, calendar), **order_dimensions(lines)}
     dims["dim_date"] = dims["dim_order_date"] = dim_date(calendar, lines)
-    for name, df in dims.items():
-        if name.startswith("dim_"):
-            require_unique(df, df.columns[:1], name)
+    keyed = {name: (df, df.columns[:1]) for name, df in dims.items() if name.startswith("dim_") and name != "dim_order_date"}
+    require_no_failures(key_rule_counts(keyed), "dimensions with a null or repeated key")
     return dims

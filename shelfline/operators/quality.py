@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.columns import holds
 from shelfline.operators.ordered import exact_quantiles
-from shelfline.session import materialize
+from shelfline.session import discard, materialize
 
 # Words that mark a column as personal.
 PERSONAL_WORDS = ("customer_id", "customer_fname", "customer_lname", "phone", "password", "email", "street", "zip")
@@ -64,6 +64,57 @@ def require_unique(df: DataFrame, keys: Sequence[str], label: str = "table") ->
     require_none(unique_key_violations(df, keys), f"{label}: null or repeated key {tuple(keys)}")
 
 
+def key_rule_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """(test, failures): per table the null or repeated values of its key, all tables in one job."""
+    return rule_counts([(name, unique_key_violations(df, keys)) for name, (df, keys) in tables.items()])
+
+
+def require_no_failures(counts: DataFrame, label: str) -> None:
+    """Stops if a rule of (test, failures) rows, one row per rule, has a failure; names all that have."""
+    failed = sorted(r["test"] for r in counts.filter("failures > 0").select("test").collect())
+    if failed:
+        raise QualityError(f"{label}: {', '.join(failed)}")
+
+
+class Watch:
+    """Row rules counted by the very job that writes a table, so that they need no scan of their own.
+
+    `table` is the frame to write. After the job `counts` has the rows for which each condition holds. Where Spark computes a
+    lost partition again it may count its rows again: a rule without a failing row still shows zero, and one with failing rows
+    still shows some. Exact counts after a loss come from `counted_conditions`.
+    """
+
+    def __init__(self, df: DataFrame, conditions: Mapping[str, str]):
+        self.observation = Observation()
+        self.table = df.observe(self.observation, *[
+            F.count(F.when(F.expr(condition), F.lit(1))).alias(name) for name, condition in conditions.items()])
+
+    @property
+    def counts(self) -> dict[str, int]:
+        return self.observation.get
+
+    def require_none(self, label: str) -> None:
+        failed = sorted(name for name, n in self.counts.items() if n)
+        if failed:
+            raise QualityError(f"{label}: {', '.join(failed)}")
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(test, failures), one row per rule."""
+        return spark.createDataFrame(sorted(self.counts.items()), "test string, failures long")
+
+
+def checked_table(df: DataFrame, name: str, conditions: Mapping[str, str], partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """`materialize` with row rules counted on the way; a table that breaks one is deleted again, and the run stops."""
+    watch = Watch(df, conditions)
+    table = materialize(watch.table, name, partition_by)
+    try:
+        watch.require_none(name)
+    except QualityError:
+        discard(table)
+        raise
+    return table
+
+
 def rule_counts(rules: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(test, failures), one row per rule."""
     counted = [
@@ -114,16 +165,20 @@ def validate_panel_sources(wide: DataFrame, calendar: DataFrame, prices: DataFra
         ["d", "date", "wm_yr_wk", "snap_CA", "snap_TX", "snap_WI", "event_name_1", "event_type_1",
          "event_name_2", "event_type_2"], "calendar")
     require_columns(prices.columns, ["item_id", "store_id", "wm_yr_wk", "sell_price"], "prices")
-    for name, violations in panel_source_rules(wide, calendar, prices):
-        require_none(violations, f"panel sources: {name}")
+    require_no_failures(rule_counts(panel_source_rules(wide, calendar, prices)), "panel sources")
+
+
+PANEL_ROWS = {
+    "invalid_demand_or_date": "units_sold IS NULL OR units_sold < 0 OR date IS NULL",
+    "sold_without_price": "units_sold > 0 AND sell_price IS NULL",
+}
+"""Rules on single rows of the long panel."""
 
 
 def panel_rules(sales: DataFrame) -> list[tuple[str, DataFrame]]:
-    """Rules for the long panel."""
-    units = F.col("units_sold")
+    """What violates the rules for the long panel, to look at."""
     return [
-        ("invalid_demand_or_date", sales.filter(units.isNull() | (units < 0) | F.col("date").isNull())),
-        ("sold_without_price", sales.filter((units > 0) & F.col("sell_price").isNull())),
+        *((name, sales.filter(F.expr(condition))) for name, condition in PANEL_ROWS.items()),
         ("repeated_day", repeated(sales, ["item_id", "store_id", "date"])),
         ("gap_in_history", contiguity(sales).filter(F.col("days") != F.col("expected_days"))),
     ]
@@ -135,18 +190,20 @@ def counted_conditions(df: DataFrame, conditions: Mapping[str, str]) -> DataFram
     return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("test"), F.col(n).alias("failures")) for n in conditions])))
 
 
-def panel_rule_counts(sales: DataFrame) -> DataFrame:
-    """The counts of `panel_rules`: row rules in one scan, repeated days and gaps in one grouped pass."""
-    rows = counted_conditions(sales, {
-        "invalid_demand_or_date": "units_sold IS NULL OR units_sold < 0 OR date IS NULL",
-        "sold_without_price": "units_sold > 0 AND sell_price IS NULL"})
+def panel_key_counts(sales: DataFrame) -> DataFrame:
+    """(test, failures) of the panel's rules on keys: repeated days and gaps in a history, in one grouped pass."""
     per_day = sales.groupBy("item_id", "store_id", "date").agg(F.count(F.lit(1)).alias("rows"))
     per_series = per_day.groupBy("item_id", "store_id").agg(
         F.count_if(F.col("rows") > 1).alias("repeated"),
         (F.sum("rows") != F.datediff(F.max("date"), F.min("date")) + 1).cast("long").alias("gap"))
     totals = per_series.agg(F.sum("repeated").alias("repeated_day"), F.sum("gap").alias("gap_in_history"))
-    return rows.unionByName(totals.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("test"), F.coalesce(n, F.lit(0).cast("long")).alias("failures")) for n in ("repeated_day", "gap_in_history")]))))
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("test"), F.coalesce(n, F.lit(0).cast("long")).alias("failures")) for n in ("repeated_day", "gap_in_history")])))
+
+
+def panel_rule_counts(sales: DataFrame) -> DataFrame:
+    """(test, failures) of the long panel: row rules in one scan, key rules in one grouped pass."""
+    return counted_conditions(sales, PANEL_ROWS).unionByName(panel_key_counts(sales))
 
 
 def contiguity(sales: DataFrame) -> DataFrame:
@@ -158,8 +215,7 @@ def contiguity(sales: DataFrame) -> DataFrame:
 
 
 def validate_panel(sales: DataFrame) -> None:
-    for name, violations in panel_rules(sales):
-        require_none(violations, f"panel: {name}")
+    require_no_failures(panel_rule_counts(sales), "panel")
 
 
 def shortest_history(sales: DataFrame) -> DataFrame:
@@ -203,39 +259,46 @@ def table_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
     dates = [c for c, t in kinds.items() if "date" in c.lower() and not isinstance(t, T.NumericType)]
 
     number = {c: F.col(c).cast("double") for c in numeric}
-    as_date = {c: F.expr(f"try_cast(`{c}` AS date)") for c in dates}
     none = F.lit(None)
 
-    def facts(c: str) -> list[Column]:
-        x, d, text = number.get(c), as_date.get(c), isinstance(kinds[c], T.StringType)
-        return [
-            F.lit(c).alias("column_name"),
-            F.lit(kinds[c].simpleString()).alias("data_type"),
-            F.count_if(F.col(c).isNull()).alias("missing"),
-            (F.count_if(holds(x < 0)) if x is not None else none.cast("long")).alias("negative"),
-            (F.count_if(holds(x == 0)) if x is not None else none.cast("long")).alias("zero"),
-            (F.min(x) if x is not None else none.cast("double")).alias("minimum"),
-            (F.max(x) if x is not None else none.cast("double")).alias("maximum"),
-            (F.count_if(F.col(c).isNotNull() & d.isNull()) if d is not None else none.cast("long")).alias("invalid_dates"),
-            (F.min(d) if d is not None else none.cast("date")).alias("date_min"),
-            (F.max(d) if d is not None else none.cast("date")).alias("date_max"),
-            (F.count_if(holds(F.col(c).contains("�"))) if text else F.lit(0).cast("long")).alias("replacement_characters"),
-        ]
-
-    base = df.agg(F.array(*[F.struct(*facts(c)) for c in columns]).alias("facts")).select(F.inline("facts"))
-
-    # Each column's values, counted: pairs of column and value spread over all tasks, however skewed one value is. Distinct
-    # values, quartiles and outliers all come from this one table.
+    # First scan. Each column's values, counted: pairs of column and value spread over all tasks, however skewed one value is,
+    # and added up before the shuffle. All facts about values come from this one table.
     cells = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), number.get(c, none.cast("double")).alias("number"))
         for c in columns
-    ])).alias("cell")).select("cell.*").filter("value IS NOT NULL")
+    ])).alias("cell")).select("cell.*")
     counted = materialize(
         cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"), F.first("number").alias("number")), "profile")
-    distinct = counted.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_values"))
-    profile = base.join(distinct, "column_name", "left").withColumn(
-        "unique_values", F.coalesce("unique_values", F.lit(0).cast("long"))
-    )
+
+    x, date, n = F.col("number"), F.expr("try_cast(value AS date)"), F.col("n")
+    known = F.col("value").isNotNull()
+
+    def rows_with(condition: Column) -> Column:
+        return F.sum(F.when(holds(condition), n).otherwise(0))
+
+    def of(names: Iterable[str], value: Column) -> Column:
+        return F.when(F.col("column_name").isin(list(names)), value)
+
+    texts = [c for c, t in kinds.items() if isinstance(t, T.StringType)]
+    facts = counted.groupBy("column_name").agg(
+        rows_with(~known).alias("missing"), rows_with(x < 0).alias("negative"), rows_with(x == 0).alias("zero"),
+        F.min(x).alias("minimum"), F.max(x).alias("maximum"), rows_with(known & date.isNull()).alias("invalid_dates"),
+        F.min(date).alias("date_min"), F.max(date).alias("date_max"),
+        rows_with(F.col("value").contains("�")).alias("replacement_characters"), F.count_if(known).alias("unique_values"))
+    described = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c].simpleString()).alias("data_type")) for c in columns])))
+
+    def counts_of(name: str) -> Column:
+        return F.coalesce(name, F.lit(0).cast("long"))
+
+    profile = described.join(facts, "column_name", "left").select(
+        "column_name", "data_type", counts_of("missing").alias("missing"),
+        *[of(numeric, counts_of(c)).alias(c) for c in ("negative", "zero")],
+        *[of(numeric, F.col(c)).alias(c) for c in ("minimum", "maximum")],
+        of(dates, counts_of("invalid_dates")).alias("invalid_dates"),
+        *[of(dates, F.col(c)).alias(c) for c in ("date_min", "date_max")],
+        F.when(F.col("column_name").isin(texts), counts_of("replacement_characters")).otherwise(0).alias("replacement_characters"),
+        counts_of("unique_values").alias("unique_values"))
     if numeric:
         numbers = counted.filter("number IS NOT NULL")
         q = exact_quantiles(numbers, ["column_name"], "number", {"q1": 0.25, "q3": 0.75}, count="n")
@@ -249,10 +312,23 @@ def table_profile(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
             F.col("column_name").isin(numeric), F.coalesce("outliers_iqr", F.lit(0).cast("long"))))
     else:
         profile = profile.withColumn("outliers_iqr", none.cast("long"))
-    repeats = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).agg(F.struct(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
-    ).alias("whole")).scalar()
-    return profile.select(repeats["rows"].alias("rows"), repeats["duplicate_rows"].alias("duplicate_rows"), *profile.columns)
+    duplicates = repeated_rows(df, columns)
+    rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    return profile.select(rows.alias("rows"), duplicates.scalar().alias("duplicate_rows"), *profile.columns)
+
+
+def repeated_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row, `duplicate_rows`: the rows beyond the first of each group of equal ones, null equal to null.
+
+    Only 128 bits of a row are shuffled. Rows that share them with another are few or truly repeated; they are compared whole
+    among themselves, counted before the shuffle.
+    """
+    halves = [F.xxhash64(F.lit(seed), *[part for c in columns for part in (F.col(c).isNull(), F.col(c))]) for seed in (0, 1)]
+    shared = df.select(halves[0].alias("_a"), halves[1].alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    shared = materialize(shared.filter("_n > 1").select("_a", "_b"), "shared_digests")
+    whole = df.select(*columns, halves[0].alias("_a"), halves[1].alias("_b")).join(shared, ["_a", "_b"], "left_semi")
+    return whole.groupBy("_a", "_b", *columns).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0).cast("long")).alias("duplicate_rows"))
 
 
 def personal_columns(tables: Mapping[str, Sequence[str]]) -> list[tuple[str, str]]:

@@ -9,6 +9,7 @@ from shelfline.operators import dimensions, features, ordered, panel, quality, s
 from shelfline.plans import marts, oracle, reports
 from shelfline.plans.data import Data
 from shelfline.plans.query import Query
+from shelfline.session import discard, materialize
 from shelfline.sources import testdata
 
 DAY = ["item_id", "store_id", "date"]
@@ -46,6 +47,19 @@ def _best_and_worst(d: Data):
     )
 
 
+def _watched(d: Data):
+    watch = quality.Watch(d.delivered, quality.PANEL_ROWS)
+    discard(materialize(watch.table, "watched"))
+    return watch.report(d.spark)
+
+
+def _key_counts(d: Data):
+    """Keys of delivered tables, which have repeated rows planted, and of dimensions, which have none."""
+    return quality.key_rule_counts({
+        "delivered": (d.delivered, ["item_id", "store_id", "date"]), "prices": (d.delivered_prices, ["item_id", "store_id", "wm_yr_wk"]),
+        "products": (d.products, ["item_id"]), "stores": (d.stores, ["store_id"])})
+
+
 def _profile(d: Data):
     return quality.table_profile(testdata.table(d.spark, d.folder, "lineitem"))
 
@@ -235,6 +249,16 @@ QUERIES = [
                     stddev_samp(units_sold) / nullif(avg(units_sold), 0) AS demand_cv FROM sales GROUP BY 1, 2""",
           "revenue mean_units demand_cv"),
     # --- quality ---
+    Query("q02_watched_rules", _watched,
+          """SELECT 'invalid_demand_or_date' AS test, count(*) AS failures FROM delivered WHERE units_sold IS NULL OR units_sold < 0 OR date IS NULL
+             UNION ALL SELECT 'sold_without_price', count(*) FROM delivered WHERE units_sold > 0 AND sell_price IS NULL"""),
+    Query("q03_key_counts", _key_counts,
+          """SELECT 'delivered' AS test, count(*) AS failures FROM (SELECT date FROM delivered GROUP BY item_id, store_id, date
+                         HAVING count(*) > 1 OR item_id IS NULL OR store_id IS NULL OR date IS NULL)
+             UNION ALL SELECT 'prices', count(*) FROM (SELECT item_id FROM delivered_prices GROUP BY item_id, store_id, wm_yr_wk
+                         HAVING count(*) > 1 OR item_id IS NULL OR store_id IS NULL OR wm_yr_wk IS NULL)
+             UNION ALL SELECT 'products', count(*) FROM (SELECT item_id FROM dim_product GROUP BY item_id HAVING count(*) > 1 OR item_id IS NULL)
+             UNION ALL SELECT 'stores', count(*) FROM (SELECT store_id FROM dim_store GROUP BY store_id HAVING count(*) > 1 OR store_id IS NULL)"""),
     Query("q04_table_profile", _profile, _profile_sql(), "minimum maximum"),
     Query("q05_panel_source_rules",
           lambda d: quality.rule_counts(quality.panel_source_rules(d.delivered_wide, d.calendar, d.delivered_prices)),

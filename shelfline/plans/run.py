@@ -74,9 +74,11 @@ def run(
     if mode == "sample":
         everything = materialize(panel_rows, "panel")
         panel_rows = panel.keep_cohort(everything, panel.sample_cohort(everything, settings))
-    sinks.write_partitioned(panel_rows, f"{out}/sales_daily")
+    watch = quality.Watch(panel_rows, quality.PANEL_ROWS)
+    sinks.write_partitioned(watch.table, f"{out}/sales_daily")
+    watch.require_none("panel")
     sales = spark.read.schema(panel_rows.schema).parquet(f"{out}/sales_daily")
-    quality.validate_panel(sales)
+    quality.require_no_failures(quality.panel_key_counts(sales), "panel")
     quality.require_history(sales, settings.fold_days * settings.backtest_folds + settings.minimum_history_days)
     features = add_features(sales)
     sinks.export_large(features, "forecast_features", out)

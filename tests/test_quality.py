@@ -72,6 +72,44 @@ def test_profile_finds_outliers_duplicates_and_dates(spark):
     assert got["email"]["missing"] == 2 and got["email"]["minimum"] is None and got["email"]["unique_values"] == 1
 
 
+def test_repeated_rows_are_compared_whole(spark, monkeypatch):
+    rows = [(1, "a", None), (1, "a", None), (1, "a", None), (None, "a", 1), (1, None, None), (2, None, None), (2, None, None)]
+    df = spark.createDataFrame(rows, "k int, v string, w int")
+    count = lambda: quality.repeated_rows(df, df.columns).first()["duplicate_rows"]
+    assert count() == 3
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *_: F.lit(0).cast("long"))  # all digests collide
+    assert count() == 3
+    assert quality.repeated_rows(df.limit(0), df.columns).first()["duplicate_rows"] == 0
+
+
+def test_profile_of_an_empty_table(spark):
+    got = {r["column_name"]: r for r in quality.table_profile(spark.createDataFrame([], "a int, day_date string")).collect()}
+    assert (got["a"]["rows"], got["a"]["duplicate_rows"], got["a"]["missing"], got["a"]["negative"], got["a"]["unique_values"]) == (0, 0, 0, 0, 0)
+    assert got["a"]["minimum"] is None and got["a"]["invalid_dates"] is None and got["day_date"]["invalid_dates"] == 0
+
+
+def test_rules_are_counted_by_the_job_that_writes(spark):
+    df = spark.range(100).withColumn("units", F.when(F.col("id") % 10 == 3, F.lit(-1)).otherwise(F.col("id")))
+    watch = quality.Watch(df, {"negative": "units < 0", "missing": "units IS NULL"})
+    assert quality.materialize(watch.table, "watched").count() == 100
+    assert watch.counts == {"negative": 10, "missing": 0}
+    assert sorted(map(tuple, watch.report(spark).collect())) == [("missing", 0), ("negative", 10)]
+    with pytest.raises(QualityError, match="negative"):
+        watch.require_none("table")
+    with pytest.raises(QualityError, match="short: negative"):
+        quality.checked_table(df, "short", {"negative": "units < 0"})
+    assert quality.checked_table(df.filter("units >= 0"), "sound", {"negative": "units < 0"}).count() == 90
+    assert quality.checked_table(df.limit(0), "empty", {"negative": "units < 0"}).count() == 0
+
+
+def test_keys_of_several_tables_in_one_job(spark):
+    one, two = spark.createDataFrame([(1,), (1,), (None,)], "k int"), spark.createDataFrame([(1,), (2,)], "k int")
+    counts = quality.key_rule_counts({"one": (one, ["k"]), "two": (two, ["k"])})
+    assert sorted(map(tuple, counts.collect())) == [("one", 2), ("two", 0)]
+    with pytest.raises(QualityError, match="keys: one$"):
+        quality.require_no_failures(counts, "keys")
+
+
 def test_constraints_count_violations(spark):
     lines = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "order_item_id string, order_id long")
     delivery = spark.createDataFrame([(1, 1, 0.0), (2, 5, -1.0)], "order_id long, late_order int, positive_delay_days double")
