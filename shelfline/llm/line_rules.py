@@ -48,8 +48,12 @@ def phrase_lines(data: bytes, starts: np.ndarray) -> np.ndarray:
 def ending(data: np.ndarray, begin: np.ndarray, end: np.ndarray, marks: Sequence[str]) -> np.ndarray:
     """How many bytes of each span are the mark that it ends in; 0 if it ends in none of them."""
     out = np.zeros(len(end), np.int64)
-    for mark in map(str.encode, marks):
-        same = np.flatnonzero(end - begin >= len(mark))
+    codes = [mark.encode() for mark in marks]
+    final = np.zeros(256, bool)
+    final[[code[-1] for code in codes]] = True
+    likely = np.flatnonzero(final[data[end - 1]])
+    for mark in codes:
+        same = likely[(end - begin)[likely] >= len(mark)]
         for back, byte in enumerate(reversed(mark), 1):
             same = same[data[end[same] - back] == byte]
         out[same] = len(mark)
