@@ -148,6 +148,23 @@ def test_quality_learns_nothing_from_held_out_labels(small, spark):
     assert np.allclose([one[i] for i in sorted(one)], [two[i] for i in sorted(one)])
 
 
+def test_quality_scores_are_one_weighted_sum_of_the_measures(small):
+    docs, labels = small
+    got = {r.doc_id: r for r in queries.QUERIES["op4_pairwise_quality"](docs.sparkSession, SMALL).collect()}
+    rows = pairwise_quality.measure(docs).collect()
+    x = np.array([[*r.measures, 1.0] for r in rows])
+    p = np.array([got[r.doc_id].score for r in rows])
+    assert len(rows) == len(got) > 2 * x.shape[1]
+    inner = (p > 1e-9) & (p < 1 - 1e-9)  # beyond, too few digits are left
+    z = np.log(p[inner] / (1 - p[inner]))
+    weights = np.linalg.lstsq(x[inner], z, rcond=None)[0]
+    assert np.allclose(x[inner] @ weights, z, atol=1e-4)
+    # The weights rank good above bad: most pairs of learned documents come in the right order.
+    mark = {r.doc_id: r.quality for r in labels.collect()}
+    good, bad = ([got[i].score for i, q in mark.items() if q == k and i in got] for k in (1, 0))
+    assert np.mean([a > b for a in good for b in bad]) >= 0.95
+
+
 def test_quality_of_odd_rows(documents, odd_rows, spark):
     docs = documents(odd_rows)
     none = spark.createDataFrame([], "doc_id long, quality int")
