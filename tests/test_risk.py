@@ -115,3 +115,24 @@ def test_areas_with_ties_in_many_ranges(spark):
         assert got[model]["roc_auc"] == pytest.approx(roc) and got[model]["pr_auc"] == pytest.approx(ap)
     assert got["one kind"]["roc_auc"] is None and got["one kind"]["pr_auc"] is None
     assert risk.areas(scores.limit(0)).collect() == []
+
+
+def test_learners_read_as_many_rows_as_there_are_different_orders(spark):
+    few, many = orders(spark, lambda i, mode: i % 2), orders(spark, lambda i, mode: i % 2, per_day=80)
+    sizes = []
+    for delivery in (few, many):
+        train, _ = risk.split_orders(delivery)
+        cells = risk.cells(train)
+        sizes.append(cells.count())
+        assert cells.agg(F.sum("weight")).first()[0] == pytest.approx(train.count())
+    assert sizes[0] == sizes[1]
+
+
+def test_orders_without_a_value_get_scores(spark):
+    delivery = orders(spark, lambda i, mode: mode == "ship" if i % 7 else i % 2).withColumns({
+        "region": F.when(F.col("order_id") % 4 != 1, F.col("region")),
+        "scheduled_shipping_days": F.when(F.col("order_id") % 5 != 2, F.col("scheduled_shipping_days"))})
+    scores, _ = risk.fit_risk_models(delivery, Settings(forest_trees=2, classifier_rounds=2))
+    held_out = risk.split_orders(delivery)[1]
+    assert scores.groupBy("order_id").count().filter("count = 4").count() == held_out.count()
+    assert scores.filter("probability is null or probability < 0 or probability > 1").count() == 0
