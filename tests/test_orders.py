@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import orders
 from shelfline.operators.quality import QualityError
+from shelfline.plans.data import Data
+from shelfline.session import is_stored
 from shelfline.settings import Settings
 from shelfline.sources import testdata
-from shelfline.sources.readers import admit_order_columns, cohort_lines
+from shelfline.sources.readers import admit_order_columns, cohort_lines, unique_lines
 from tests.conftest import SMALL
 
 SCHEMA = (
@@ -126,3 +128,33 @@ def test_cohort_rejects_inconsistent_shipping(spark):
             table.collect()
     agreed = lines.withColumn("actual_days", F.when(F.col("order_item_id") == "a", F.col("actual_days")))
     assert orders.analyze_cohort(agreed)["metrics"].first()["orders"] == 1
+
+
+def test_deliveries_come_from_orders_without_their_lines(spark, data, tmp_path):
+    """An order has a delivery if one of its lines has a known part; the lines themselves are not read back for it."""
+    folder = str(tmp_path)
+    for name in ("orders", "lineitem", "customer", "nation", "region", "part"):
+        testdata.table(spark, SMALL, name).write.parquet(f"{folder}/{name}.parquet")
+    keys = [r[0] for r in testdata.table(spark, SMALL, "lineitem").select("l_orderkey").distinct().orderBy("l_orderkey").limit(3).collect()]
+    first, second, third = (F.col("l_orderkey") == k for k in keys)
+    lost = testdata.table(spark, SMALL, "lineitem").withColumn(
+        "l_partkey", F.when(first, F.lit(-5).cast("long")).when(second, F.lit(None).cast("long")).when(
+            third & (F.col("l_linenumber") > 1), F.lit(-7).cast("long")).otherwise(F.col("l_partkey")))
+    lost.write.mode("overwrite").parquet(f"{folder}/lineitem.parquet")
+    own = Data(spark, folder)
+    expected = orders.one_row_per_order(own.cleaned)
+    assert expected.filter(F.col("order_id").isin(*keys[:2])).count() == 0
+    assert own.delivery.exceptAll(expected).count() == expected.exceptAll(own.delivery).count() == 0
+    assert not is_stored(own.cleaned)
+    conflicting = testdata.table(spark, SMALL, "orders").withColumn("o_orderpriority", F.lit("1-URGENT")).filter("o_orderkey % 7 = 0")
+    conflicting.write.mode("append").parquet(f"{folder}/orders.parquet")
+    with pytest.raises(QualityError, match="conflicting values"):
+        Data(spark, folder).delivery
+
+
+def test_line_keys_are_checked_on_stored_lines(spark):
+    lines = spark.createDataFrame([("a",), ("b",)], "order_item_id string")
+    assert unique_lines(lines) is lines
+    for wrong in ("a", None):
+        with pytest.raises(QualityError, match="repeated key"):
+            unique_lines(lines.union(spark.createDataFrame([(wrong,)], "order_item_id string")))
