@@ -23,11 +23,10 @@ from pyspark.sql import functions as F
 from shelfline.llm.joins import crc_of
 from shelfline.llm.measures import between, flags, per_text, repeated_lines, repeated_words
 from shelfline.llm.text import blocks, column, distinct, prepare, span_hash
+from shelfline.operators.ordered import exact_quantiles
 from shelfline.session import materialize
 
 CUT = 0.7
-TRAINING_ROWS = 40_000
-"""Bound on the labelled documents that pairs are made of, a seeded sample if there are more."""
 ROUNDS, GROUP = 4, 32
 
 MEASURES = (
@@ -109,17 +108,15 @@ def linear(weights: list[float]) -> Column:
 def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted (1 if score >= CUT): one row per row of `docs`.
 
-    Only labels of rows with crc32(doc_id as text) mod `folds` other than `held_out` are used, at most TRAINING_ROWS of them;
-    a null id has no label. Several labels of a document count as their maximum. Null and empty texts have the measures of a
-    text without words. Without good or without bad training documents every score is CUT. Other columns are not read.
+    Only labels of rows with crc32(doc_id as text) mod `folds` other than `held_out` are used, all of them however many there are;
+    a null id has no label. Several labels of a document count as their maximum. Null and empty texts have the measures of a text
+    without words. Without good or without bad training documents every score is CUT. Other columns are not read.
     """
     measured = materialize(measure(docs).withColumn(
         "held_out", F.coalesce(crc_of(F.col("doc_id")) % folds == held_out, F.lit(False))), "measures")
     marks = labels.filter("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("quality").alias("quality"))
-    training = measured.filter("not held_out").join(marks, "doc_id")
-    share = min(1.0, TRAINING_ROWS / max(1, training.count()))
-    training = materialize(training.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)), "training")
+    training = materialize(measured.filter("not held_out").join(marks, "doc_id"), "training")
     both = training.agg(F.coalesce(F.avg(1 - F.col("quality")), F.lit(0.0)).alias("bad")).first()["bad"]
     if not 0 < both < 1:
         return measured.select("doc_id", "held_out", F.lit(CUT).alias("score"), F.lit(1).alias("predicted"))
@@ -127,6 +124,6 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2)
     fitted = LogisticRegression(fitIntercept=False, regParam=1e-3, maxIter=60).fit(pairs)
     raw = linear(fitted.coefficients.toArray().tolist())
     # Half way between the scores just below and just above the share of bad documents.
-    marks = training.select(F.percentile(raw, F.array(F.lit(max(0.0, both - 0.01)), F.lit(min(1.0, both + 0.01)))).alias("q")).first()["q"]
+    marks = exact_quantiles(training.select(raw.alias("raw")), [], "raw", {"low": max(0.0, both - 0.01), "high": min(1.0, both + 0.01)}).first()
     chance = 1 / (1 + F.exp(-(raw - F.lit(sum(marks) / 2) + F.lit(log(CUT / (1 - CUT))))))
     return measured.select("doc_id", "held_out", chance.alias("score")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))

@@ -304,3 +304,15 @@ def test_labels_agree_with_the_rules(small):
     kept = {r.doc_id: r.kept for r in line_rules.judge(small[0]).collect()}
     marks = {r.doc_id: r.quality for r in small[1].collect()}
     assert np.mean([kept[i] == (q == 1) for i, q in marks.items()]) >= 0.9
+
+
+def test_every_quality_label_outside_the_held_out_part_is_learned_from(small, monkeypatch):
+    """No bound on the training documents: the pairs are made from all of them."""
+    docs, labels = small
+    seen = []
+    whole = pairwise_quality.preference_pairs
+    monkeypatch.setattr(pairwise_quality, "TRAINING_ROWS", 20, raising=False)
+    monkeypatch.setattr(pairwise_quality, "preference_pairs", lambda rows: seen.append(rows.count()) or whole(rows))
+    pairwise_quality.score(docs, labels).count()
+    marked = labels.filter("quality is not null and crc32(cast(doc_id as string)) % 4 <> 2").select("doc_id").distinct()
+    assert seen == [docs.join(marked, "doc_id").count()] and seen[0] > 20
