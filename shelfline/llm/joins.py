@@ -26,6 +26,22 @@ def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str, total:
     return light.unionByName(hot)
 
 
+FILTER_BITS = 1 << 24
+"""Places of the filter in `may_match`: at most a 64th as many rows are broadcast, whatever the tables' size."""
+
+
+def may_match(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The rows whose `key`, a hash (long, not null), may be among `wanted_key`: all that are, and of the others as many as share a place of
+    a bitmap with one. It goes before a join of wide rows, which then shuffles few that it would drop; the join itself decides.
+    """
+    word = lambda c: F.shiftright(F.pmod(F.col(c), F.lit(FILTER_BITS)), 6)
+    place = lambda c: F.pmod(F.col(c), F.lit(64)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place(wanted_key))
+    bitmap = wanted.groupBy(word(wanted_key).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    near = rows.join(F.broadcast(bitmap), word(key) == F.col("_word"))
+    return near.filter(F.getbit("_bits", place(key)) == 1).select(rows.columns)
+
+
 def crc_of(column: Column) -> Column:
     return F.crc32(column.cast("string"))
 

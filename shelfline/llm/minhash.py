@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.components import components
-from shelfline.llm.joins import join_counted, packed, total, unpacked
+from shelfline.llm.joins import join_counted, may_match, packed, total, unpacked
 from shelfline.llm.text import blocks, column, distinct, mix, prepare, reduce_by_text, shingles, span_hash
 from shelfline.session import discard, materialize
 
@@ -77,7 +77,8 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and shingles (its whole set) of the wanted nodes (node, doc_id, text_key)."""
+    """node and shingles (its whole set) of the wanted nodes (node, doc_id, text_key, a stored table). Most texts are not wanted and stay
+    where they are: a bitmap of the wanted keys leaves them out before the shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,6 +90,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     wanted = wanted.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
+    texts = may_match(texts, "text_key", wanted, "_key")
     found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).select("node", "text")
     # Rows repeated in the input would come twice.
     return found.mapInArrow(work, "node long, shingles array<long>").dropDuplicates(["node"])
@@ -154,8 +156,9 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         .select("bucket", "n", "node", "n_shingles", F.col("center.node").alias("center"), F.col("center.n_shingles").alias("center_size")),
         "members")
     discard(buckets)
-    involved = members.select("node").distinct().join(nodes.select("node", "rep"), "node").select("node", "rep.*")
+    involved = materialize(members.select("node").distinct().join(nodes.select("node", "rep"), "node").select("node", "rep.*"), "involved")
     sets = materialize(sets_of(docs, involved), "sets")
+    discard(involved)
 
     pairs = members.filter("node != center and 100 * least(n_shingles, center_size) >= 75 * greatest(n_shingles, center_size)")
     common = F.size(F.array_intersect("shingles", "center_shingles"))

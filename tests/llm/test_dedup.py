@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.llm import components, exact_dedup, minhash
+from shelfline.llm import components, exact_dedup, joins, minhash
 
 
 def plain(text):
@@ -152,3 +152,21 @@ def test_components_of_a_long_path_a_star_and_a_loop(spark):
     assert {got[i] for i in range(100, 161)} == {100}
     assert {got[i] for i in range(500, 900)} == {500}
     assert got[1] == got[2] == got[3] == 1 and 7 not in got
+
+
+def test_may_match_keeps_what_matches_and_little_else(spark):
+    rows = spark.range(20000).select(F.xxhash64("id").alias("key"), "id").withColumn("key", F.when(F.col("id") == 7, F.lit(-1)).otherwise(F.col("key")))
+    wanted = rows.filter("id % 100 = 7").select(F.col("key").alias("k"))
+    wanted = wanted.unionByName(wanted)
+    got = [r.id for r in joins.may_match(rows.unionByName(rows.filter("id = 7")), "key", wanted, "k").collect()]
+    assert sorted(i for i in got if i % 100 == 7) == [7, *range(7, 20000, 100)]
+    assert len(got) < 230
+    assert joins.may_match(rows, "key", wanted.limit(0), "k").isEmpty()
+
+
+def test_texts_that_are_not_wanted_are_not_shuffled(spark, documents):
+    docs = documents([(1, "a b c"), (2, "d e f")])
+    wanted = docs.filter("doc_id = 2").select(F.lit(9).cast("long").alias("node"), "doc_id", F.xxhash64("text").alias("text_key"))
+    sets = minhash.sets_of(docs, wanted)
+    assert "getbit" in sets._jdf.queryExecution().executedPlan().toString()
+    assert [r.node for r in sets.collect()] == [9]
