@@ -278,10 +278,10 @@ def sequences_of(docs: DataFrame, same: DataFrame, width: int) -> DataFrame:
                         | {"lo": batch.column("doc_id").take(pa.array(text[some] + block.first)),
                            "sequence": pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), column(words[place[at[0] : at[-1]]]))})
 
-    found = keyed(docs).join(marks, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key"))).select("doc_id", "text", "marks")
-    kind = "prefix long, words long, times long, hi long, large boolean, lo long, sequence array<long>"
-    # A row that the input repeats would come as often.
-    return found.mapInArrow(work, kind).dropDuplicates(["prefix", "words"])
+    found = keyed(docs).join(marks, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    # A row that the input repeats comes once. The rows lie by these keys already, which their sequences would not.
+    once = found.select("doc_id", "text_key", "text", "marks").dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text", "marks")
+    return once.mapInArrow(work, "prefix long, words long, times long, hi long, large boolean, lo long, sequence array<long>")
 
 
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline.llm import queries, substrings
 from shelfline.llm.text import word_hash
@@ -118,3 +119,16 @@ def test_word_hash_tells_structured_words_apart():
         data = np.frombuffer(morse(n, 0) + morse(n, 1) + morse(n, 0), np.uint8)
         a, b, c = word_hash(data, np.array([0, n, 2 * n]), np.array([n, 2 * n, 3 * n]))
         assert a == c != b
+
+
+def test_sequences_come_once_without_a_shuffle_of_their_own(spark, documents):
+    docs = documents([(1, " ".join(f"w{i}" for i in range(80)))])
+    docs = docs.unionByName(docs)
+    same = docs.limit(1).select(
+        F.struct("doc_id", F.xxhash64("text").alias("text_key"), F.lit(3).cast("long").alias("at")).alias("least"), F.lit(5).alias("n"),
+        F.lit(11).cast("long").alias("prefix"), F.lit(12).cast("long").alias("words"), F.lit(2).cast("long").alias("times"),
+        F.lit(4).cast("long").alias("hi"), F.lit(2).cast("long").alias("_stretches"))
+    found = substrings.sequences_of(docs, same, 50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange")
+    assert [(r.prefix, r.lo, len(r.sequence)) for r in found.collect()] == [(11, 1, 54)]
