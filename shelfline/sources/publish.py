@@ -27,13 +27,15 @@ def stage(
     frames: Mapping[str, DataFrame], root: str, run_id: str, targets: Mapping[str, T.StructType] = schemas.SERVING,
     served: Mapping[str, str] = schemas.SERVED,
 ) -> dict[str, DataFrame]:
-    """Writes every target for which there is a frame, with the target's columns, and returns scans of what was written."""
-    staged = {}
+    """Writes every target for which there is a frame, with the target's columns, and returns scans of what was written. A frame
+    that fills several targets with the same columns is computed once; the others are written from the first one's scan."""
+    staged, first = {}, {}
     for target, schema in targets.items():
         if served[target] in frames:
-            path = f"{root}/runs/{run_id}/{target}"
-            conform(frames[served[target]], schema).write.mode("errorifexists").parquet(path)
-            staged[target] = frames[served[target]].sparkSession.read.schema(schema).parquet(path)
+            path, rows = f"{root}/runs/{run_id}/{target}", frames[served[target]]
+            known = first.setdefault((served[target], schema.json()), target)
+            (staged[known] if known in staged else conform(rows, schema)).write.mode("errorifexists").parquet(path)
+            staged[target] = rows.sparkSession.read.schema(schema).parquet(path)
     return staged
 
 

@@ -118,3 +118,11 @@ def test_a_partition_that_is_gone(spark, tmp_path):
     rows.filter("store_id = 'S/0'").write.mode("overwrite").partitionBy("store_id", "year").parquet(source)
     assert refresh.refresh_monthly(spark, source, target) == [("S/0", 2020)]
     assert [(r["store_id"], r["units_sold"]) for r in refresh.read_monthly(spark, target).collect()] == [("S/0", 2)]
+
+
+def test_a_frame_of_two_targets_is_computed_once(spark, tmp_path):
+    schema = publish.schemas.table("k long, v double")
+    rows = spark.range(50).select(F.col("id").alias("k"), F.rand().alias("v"))
+    targets, served = {"a.one": schema, "a.two": schema}, {"a.one": "rows", "a.two": "rows"}
+    staged = publish.stage({"rows": rows}, str(tmp_path), "r", targets, served)
+    assert sorted(staged["a.one"].collect()) == sorted(staged["a.two"].collect())
