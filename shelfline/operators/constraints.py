@@ -9,20 +9,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators.quality import counted_conditions, rule_counts, unique_key_violations
+from shelfline.operators.quality import counted_conditions, rule_counts, unique_key_violations, unique_text_violations
 
 
 @dataclass(frozen=True)
 class Key:
     table: str
     columns: tuple[str, ...]
+    text: bool = False
+    """Whether the key is a long text that hardly two rows share."""
 
     @property
     def name(self) -> str:
         return f"{self.table}_key"
 
     def violations(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        return unique_key_violations(tables[self.table], self.columns)
+        return (unique_text_violations if self.text else unique_key_violations)(tables[self.table], self.columns)
 
 
 @dataclass(frozen=True)
@@ -71,7 +73,7 @@ CONSTRAINTS: tuple[Constraint, ...] = (
     Check("ledger", "ledger_balance", "abs(opening_inventory + arrivals - fulfilled_units - closing_inventory) <= 0.00001"),
     Check("ledger", "ledger_demand", "abs(actual_demand - fulfilled_units - lost_sales_units) <= 0.00001"),
     Check("ledger", "ledger_signs", "fulfilled_units >= 0 AND lost_sales_units >= 0 AND closing_inventory >= 0 AND in_transit_units >= 0"),
-    Key("lines", ("order_item_id",)), Key("delivery", ("order_id",)), Reference("lines", "order_id", "delivery"),
+    Key("lines", ("order_item_id",), text=True), Key("delivery", ("order_id",)), Reference("lines", "order_id", "delivery"),
     Check("delivery", "delivery_late_flag", "late_order IN (0, 1)"),
     Check("delivery", "delivery_delay", "positive_delay_days >= 0"),
 )

@@ -129,3 +129,27 @@ def test_a_join_that_stops_at_a_repeated_key(spark):
     assert quality.many_to_one(left, unknown, ["k"], "right").count() == 2  # a null meets no row
     with pytest.raises(PySparkException, match="null or repeated key"):
         quality.one_row_each(unknown, ["k"]).collect()
+
+
+def test_long_keys_are_counted_by_their_digests(spark):
+    rows = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), ("b", "y"), (None, None), (None, None), ("", "x"), (None, "x")], "k string, l string")
+    for keys in (["k"], ["k", "l"]):
+        digests = quality.unique_text_violations(rows, keys)
+        assert sorted(r.rows for r in digests.collect()) == sorted(r.rows for r in quality.unique_key_violations(rows, keys).collect())
+    key = next(c for c in constraints.CONSTRAINTS if c.name == "lines_key")
+    plan = key.violations({"lines": rows.withColumnRenamed("k", "order_item_id")})._jdf.queryExecution().executedPlan().toString()
+    shuffled = next(line for line in plan.splitlines() if "Exchange" in line)
+    assert "_0" in shuffled and "order_item_id" not in shuffled
+    empty = quality.unique_text_violations(rows.limit(0), ["k"])
+    assert empty.isEmpty()
+
+
+def test_the_date_span_reads_orders_not_lines(monkeypatch):
+    from unittest.mock import MagicMock
+
+    from shelfline.plans import kpi_queries
+
+    monkeypatch.setattr(kpi_queries.dimensions, "dim_date", lambda calendar, orders: orders)
+    monkeypatch.setattr(kpi_queries.marts, "shipping_mode_performance", lambda delivery: delivery)
+    d = MagicMock()
+    assert kpi_queries._tables(d)["dim_date"] is d.delivery
