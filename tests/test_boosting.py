@@ -111,3 +111,46 @@ def test_expressions_score_as_their_models(spark):
     for model, own in ((trees, boosting.of_boosted(trees, 4)), (single, one), (linear, boosting.of_linear(linear))):
         both = model.transform(df).select("prediction", own.predict(F.col("x")).alias("own")).collect()
         assert [r["own"] for r in both] == pytest.approx([r["prediction"] for r in both], rel=1e-12)
+
+
+def heavy_counts(spark):
+    """Mostly small counts, and a few rows whose features and counts are hundreds of times larger."""
+    rows = [([float(i % 5), 0.0], float((i * 7) % 3)) for i in range(400)] + [([400.0 + i, 1.0], 400.0 + i) for i in range(3)]
+    return spark.createDataFrame(rows, "x array<double>, label double").select(array_to_vector("x").alias("vector"), "label")
+
+
+def test_a_count_regression_with_few_heavy_rows_lowers_the_deviance(spark):
+    rows = heavy_counts(spark)
+    model = boosting.guarded_regression(rows, 0.0, 25)
+    scored = [(r["label"], model.intercept + float(np.dot(model.weights, r["vector"].toArray()))) for r in rows.collect()]
+    mean = sum(y for y, _ in scored) / len(scored)
+    loss = sum(math.exp(at) - y * at for y, at in scored)
+    assert loss < sum(mean - y * math.log(mean) for y, _ in scored)
+    # The gradient vanishes at the least deviance.
+    assert sum(math.exp(at) - y for y, at in scored) == pytest.approx(0, abs=0.05 * mean)
+
+
+def test_a_fit_that_spark_gives_up_is_finished_with_halved_steps(spark, monkeypatch):
+    from py4j.protocol import Py4JJavaError
+
+    class Stops:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, _):
+            error = Py4JJavaError.__new__(Py4JJavaError)
+            error.java_exception = "java.lang.AssertionError: assertion failed: Sum of weights cannot be zero."
+            raise error
+
+    monkeypatch.setattr(boosting, "GeneralizedLinearRegression", Stops)
+    model = boosting.count_regression(heavy_counts(spark), 0.01, 25)
+    assert model.log and all(map(math.isfinite, [*model.weights, model.intercept]))
+
+
+def test_a_round_walks_the_last_tree_only(spark, monkeypatch):
+    walked = []
+    total = boosting.Trees.total
+    monkeypatch.setattr(boosting.Trees, "total", lambda self, x: walked.append(self.count) or total(self, x))
+    rows = spark.createDataFrame([(x, y) for x, y in counts(60)], "x array<double>, label double")
+    boosting.boost_counts(rows, 10, depth=2)
+    assert set(walked) == {1}

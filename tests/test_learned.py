@@ -102,3 +102,11 @@ def test_a_repeated_outcome_stops_the_backtest(data):
     day = data.sales.filter(F.col("date") > F.lit(data.test_origin)).limit(1)
     with pytest.raises(PySparkException, match="repeated key"):
         forecast.backtest(data.sales.unionByName(day), data.folds[-1:], 28).count()
+
+
+def test_series_are_spread_before_they_are_folded(data):
+    """Few short rows carry the work of many days: they are dealt over all tasks, whatever their bytes."""
+    model = learned.Learned(learned.Linear([0.0] * 25, 0.0, True), data.spark.createDataFrame([], "column string, level string, code double"), 1.0)
+    plan = learned.forecast_recursively(model, data.sales, data.calendar, data.test_origin, 2)._jdf.queryExecution().optimizedPlan().toString()
+    tasks = data.spark.conf.get("spark.sql.shuffle.partitions")
+    assert f"RepartitionByExpression [item_id" in plan and f"], {tasks}" in plan
