@@ -96,6 +96,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(work, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
+def sets_among(sets: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """The sets of the nodes in `column` of `rows`, and few others. A join of sets then shuffles about as many as it keeps."""
+    marked = sets.withColumn("_place", F.xxhash64("node"))
+    return may_match(marked, "_place", rows.select(F.xxhash64(column).alias("_wanted")), "_wanted").drop("_place")
+
+
 def linked(common, a, b):
     return 100 * common >= 75 * (a + b - common)
 
@@ -151,8 +157,10 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     ).filter("n > 1")
     # Buckets with the same members, as bands of near copies mostly are, count once.
     buckets = materialize(buckets.groupBy("n", "center", "members").agg(F.min("bucket").alias("bucket")).drop("members"), "buckets")
+    # Most bands are alone in their bucket and are left out before the shuffle.
+    shared = may_match(banded, "bucket", buckets.select(F.col("bucket").alias("_bucket")), "_bucket")
     members = materialize(
-        join_counted(banded, buckets, "bucket", "n", total(buckets, "n"))
+        join_counted(shared, buckets, "bucket", "n", total(buckets, "n"))
         .select("bucket", "n", "node", "n_shingles", F.col("center.node").alias("center"), F.col("center.n_shingles").alias("center_size")),
         "members")
     discard(buckets)
@@ -163,8 +171,8 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     pairs = members.filter("node != center and 100 * least(n_shingles, center_size) >= 75 * greatest(n_shingles, center_size)")
     common = F.size(F.array_intersect("shingles", "center_shingles"))
     stars = materialize(
-        pairs.select("node", "center").distinct().join(sets, "node")
-        .join(sets.select(F.col("node").alias("center"), F.col("shingles").alias("center_shingles")), "center")
+        pairs.select("node", "center").distinct().join(sets_among(sets, pairs, "node"), "node")
+        .join(sets_among(sets, pairs, "center").select(F.col("node").alias("center"), F.col("shingles").alias("center_shingles")), "center")
         .filter(linked(common, F.size("shingles"), F.size("center_shingles")))
         .select(F.col("node").alias("a"), F.col("center").alias("b")), "stars")
     roots = materialize(components(stars), "roots")
@@ -190,7 +198,7 @@ def node_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     other_side = around.select(
         "bucket", F.lit(1).alias("side"), "node", "root", F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("i"), block(F.col("wide")).alias("j"))
     rest = materialize(
-        one_side.unionByName(other_side).join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(block_links, "a long, b long"), "rest")
+        one_side.unionByName(other_side).join(sets_among(sets, around, "node"), "node").groupBy("bucket", "i", "j").applyInArrow(block_links, "a long, b long"), "rest")
     discard(around, sets)
     above = materialize(components(rest), "above")
     counted = above.withColumn("n", F.lit(1).cast("long")).select(F.col("node").alias("root"), F.col("root").alias("above"))

@@ -170,3 +170,25 @@ def test_texts_that_are_not_wanted_are_not_shuffled(spark, documents):
     sets = minhash.sets_of(docs, wanted)
     assert "getbit" in sets._jdf.queryExecution().executedPlan().toString()
     assert [r.node for r in sets.collect()] == [9]
+
+
+def test_rows_that_a_join_drops_are_left_out_before_its_shuffle(spark, monkeypatch):
+    """Bands that are alone in their bucket, and sets that no comparison reads."""
+    kept = []
+
+    def spied(rows, key, wanted, wanted_key, through=minhash.may_match):
+        found = through(rows, key, wanted, wanted_key)
+        kept.append((key, found.count(), rows.count()))
+        return found
+
+    monkeypatch.setattr(minhash, "may_match", spied)
+    words = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(i, words(i, 40)) for i in range(60)] + [(100 + i, words(i, 40) + " end") for i in range(3)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found if not r["kept"]} == {100, 101, 102}
+    by_key = {}
+    for key, some, every in kept:
+        by_key.setdefault(key, []).append((some, every))
+    (some, every), = by_key["bucket"]
+    assert every == 63 * 40 and some <= 2 * 3 * 40
+    assert len(by_key["_place"]) == 3 and all(some <= every for some, every in by_key["_place"])
