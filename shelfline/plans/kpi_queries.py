@@ -137,7 +137,8 @@ def _recommendations(d: Data):
     rounded = lambda df, *names: df.withColumns({n: F.round(n, 9) for n in names})
     return kpis.recommendations(
         rounded(d.policy, "stockout_probability"), segment_metrics(d.test, d.pretest_segments), d.segments, _segment_profiles(d),
-        materialize(orders.delivery_summary(d.delivery), "delivery_summary"), materialize(orders.profit_summary(d.lines), "profit_summary"), d.kpis, d.settings.default_service_level, "driver_tables",
+        materialize(orders.delivery_summary(d.delivery), "delivery_summary"),
+        materialize(orders.segment_profit(d.line_values, ("category",)), "profit_summary"), d.kpis, d.settings.default_service_level, "driver_tables",
     )
 
 

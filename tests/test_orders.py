@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import orders
 from shelfline.operators.quality import QualityError
+from shelfline.plans import kpi_queries
 from shelfline.plans.data import Data
 from shelfline.session import is_stored
 from shelfline.settings import Settings
@@ -158,3 +159,34 @@ def test_line_keys_are_checked_on_stored_lines(spark):
     for wrong in ("a", None):
         with pytest.raises(QualityError, match="repeated key"):
             unique_lines(lines.union(spark.createDataFrame([(wrong,)], "order_item_id string")))
+
+
+def test_line_values_drop_and_repeat_lines_as_their_orders_do(spark, tmp_path):
+    folder = str(tmp_path)
+    for name in ("orders", "lineitem", "customer", "nation", "region", "part"):
+        testdata.table(spark, SMALL, name).write.parquet(f"{folder}/{name}.parquet")
+    headed, lined = testdata.table(spark, SMALL, "orders"), testdata.table(spark, SMALL, "lineitem")
+    key = F.col("o_orderkey")
+    stranger = F.when(key % 19 == 2, F.lit(-1).cast("long")).when(key % 23 == 4, F.lit(None).cast("long")).otherwise(F.col("o_custkey"))
+    several = headed.filter(key % 13 != 1).withColumn("o_custkey", stranger)
+    several.union(headed.filter(key % 17 == 3)).write.mode("overwrite").parquet(f"{folder}/orders.parquet")
+    lined.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 29 != 5, F.col("l_orderkey"))).write.mode("overwrite").parquet(f"{folder}/lineitem.parquet")
+    testdata.table(spark, SMALL, "customer").filter("c_custkey % 7 = 0").write.mode("append").parquet(f"{folder}/customer.parquet")
+    own = Data(spark, folder)
+    columns = ["order_id", "order_item_id", "category", "product_name", "quantity", "sales", "profit", "invalid_sales_flag"]
+    got, expected = own.line_values.select(columns), own.lines.select(columns)
+    assert own.uneven_orders.filter("size(copies) > 1").count() and own.uneven_orders.filter("size(copies) = 0").count()
+    assert got.exceptAll(expected).count() == expected.exceptAll(got).count() == 0 < got.count()
+    summed = lambda df: {(r["dimension"], r["segment"]): [r["sales"], r["profit"], r["profit_margin"]] for r in df.collect()}
+    got, expected = summed(orders.segment_profit(own.line_values, ("category", "product_name"))), summed(orders.profit_summary(own.lines))
+    assert got.keys() == {k for k in expected if k[0] in ("category", "product_name")}
+    for segment, sums in got.items():
+        assert sums == pytest.approx(expected[segment])
+
+
+def test_recommendations_take_no_line_to_its_order(data, monkeypatch):
+    written = {}
+    monkeypatch.setattr(kpi_queries, "materialize", lambda df, name: written.setdefault(name, df))
+    kpi_queries._recommendations(data)
+    plan = written["profit_summary"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan and "order_id" not in plan
